@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.llm.byte_bpe import bpe_round_trip
 from corpusloom.llm.common import documents
+from corpusloom.llm.language_id import languages
+from corpusloom.llm.token_shards import read_shards, write_shards
 
 
 def _tokenizer(name: str) -> str:
@@ -16,6 +18,15 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = write_shards(documents(spark, sf_dir), _tokenizer("word_bpe_49k.json"), end_id=2)
+    return read_shards(manifest, digest=True)
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(documents(spark, sf_dir))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -23,6 +34,8 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_token_shards": op5_token_shards,
+    "op7_language_id": op7_language_id,
     "op8_byte_bpe": op8_byte_bpe,
 }
 
