@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from corpusloom.llm.byte_bpe import bpe_round_trip
 from corpusloom.llm.common import documents
 from corpusloom.llm.language_id import languages
+from corpusloom.llm.pii_crf import personal_data
+from corpusloom.llm.quality_mcd import quality
 from corpusloom.llm.token_shards import read_shards, write_shards
 
 
@@ -18,11 +20,19 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(documents(spark, sf_dir))
+
+
 def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = write_shards(documents(spark, sf_dir), _tokenizer("word_bpe_49k.json"), end_id=2)
     return read_shards(manifest, digest=True)
 
 
+def op6_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(documents(spark, sf_dir))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(documents(spark, sf_dir))
 
@@ -34,7 +44,9 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_quality_mcd": op3_quality_mcd,
     "op5_token_shards": op5_token_shards,
+    "op6_pii_crf": op6_pii_crf,
     "op7_language_id": op7_language_id,
     "op8_byte_bpe": op8_byte_bpe,
 }
