@@ -9,7 +9,8 @@ text is rejected when its squared Mahalanobis distance passes the ``CUTOFF`` qua
 
 Only rows that pass the base rules take part in the estimate.  ``LEAST_SPREAD`` is added to each
 variance, so that a statistic that is nearly constant in a group does not reject its first exception.
-A group of fewer than ``LEAST_ROWS`` such rows gives no verdict: its rows that pass the base stay.
+Sources of fewer than ``LEAST_ROWS`` such rows in a language are taken together as one group; where
+even that is smaller there is no verdict, and its rows that pass the base stay.
 Null languages and sources form groups of their own; null and empty texts have no words and fail the
 base.  Repeated rows are judged one by one.
 """
@@ -190,6 +191,9 @@ def quality(docs: DataFrame) -> DataFrame:
     cols = ["doc_id", "lang", "source"]
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     stats = written(text_statistics(docs, cols).withColumn("base_failed", failed), "quality-stats")
+    sizes = stats.filter("not base_failed").groupBy("lang", "source").agg(F.count("*").alias("__n")).withColumnsRenamed({"lang": "__l", "source": "__s"})
+    known = stats.join(sizes, F.col("lang").eqNullSafe(F.col("__l")) & F.col("source").eqNullSafe(F.col("__s")), "left")
+    stats = known.withColumn("source", F.when(F.col("__n") >= LEAST_ROWS, F.concat(F.lit("="), F.col("source"))).when(F.col("__n").isNull() | (F.col("__n") < LEAST_ROWS), F.lit("*"))).drop("__l", "__s", "__n")
     params = mcd(stats.filter("not base_failed"))
     judged = _joined(stats, params, "left")
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & (F.coalesce("d2", F.lit(0.0)) <= chi2_quantile(CUTOFF, P))).alias("kept"), F.sqrt("d2").alias("distance"))

@@ -11,6 +11,7 @@ from corpusloom.llm.common import documents
 from corpusloom.llm.language_id import languages
 from corpusloom.llm.pii_crf import personal_data
 from corpusloom.llm.quality_mcd import quality
+from corpusloom.llm.suffix_dedup import suffix_dedup
 from corpusloom.llm.token_shards import read_shards, write_shards
 
 
@@ -20,6 +21,10 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(documents(spark, sf_dir), digest=True)
+
+
 def op3_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(documents(spark, sf_dir))
 
@@ -44,6 +49,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op3_quality_mcd": op3_quality_mcd,
     "op5_token_shards": op5_token_shards,
     "op6_pii_crf": op6_pii_crf,
