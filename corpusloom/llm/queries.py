@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusloom.llm import decontaminate
+from corpusloom.llm.bag_minhash import near_duplicates
 from corpusloom.llm.byte_bpe import bpe_round_trip
 from corpusloom.llm.common import documents
 from corpusloom.llm.language_id import languages
@@ -25,10 +27,19 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(documents(spark, sf_dir), digest=True)
 
 
+def op2_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir)).select("doc_id", "class_id")
+
+
 def op3_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(documents(spark, sf_dir))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.decontaminate(documents(spark, sf_dir), items).drop("items")
+
+
 def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = write_shards(documents(spark, sf_dir), _tokenizer("word_bpe_49k.json"), end_id=2)
     return read_shards(manifest, digest=True)
@@ -50,11 +61,15 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_bag_minhash": op2_bag_minhash,
     "op3_quality_mcd": op3_quality_mcd,
+    "op4_decontaminate": op4_decontaminate,
     "op5_token_shards": op5_token_shards,
     "op6_pii_crf": op6_pii_crf,
     "op7_language_id": op7_language_id,
     "op8_byte_bpe": op8_byte_bpe,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_decontaminate": decontaminate.ORACLE,
+}
