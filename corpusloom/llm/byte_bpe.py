@@ -20,6 +20,7 @@ import base64
 import hashlib
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import parts_for, text_bytes, written
+from corpusloom.llm.common import fresh_path, parts_for, text_bytes
 
 LIST_BYTES = 24 << 20  # text behind one word list
 PART_BYTES = 32 << 20
@@ -92,54 +93,70 @@ def decode_ids(ids: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> bytes:
     return data[np.repeat(at - (ends - length), length) + np.arange(total)].tobytes()
 
 
-def _pack(values) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(bytes(memoryview(values).cast("B")) if isinstance(values, np.ndarray) else values)
+def _pack(raw: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(raw)
 
 
 def _unpack(blob: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(blob)
 
 
-def _pack_words(words: list[str]) -> bytes:
-    raw = [w.encode("utf-8", "surrogatepass") for w in words]
+def _pack_ints(values: np.ndarray) -> bytes:
+    """Unsigned integers by byte planes: the high planes are nearly constant and cost little."""
+    width = 2 if len(values) == 0 or int(values.max()) < 1 << 16 else 4
+    return bytes([width]) + _pack(values.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes())
+
+
+def _unpack_ints(blob: bytes) -> np.ndarray:
+    width = blob[0]
+    planes = np.frombuffer(_unpack(blob[1:]), np.uint8).reshape(width, -1)
+    return np.ascontiguousarray(planes.T).view(f"<u{width}").ravel().astype(np.uint32)
+
+
+def _pack_words(raw: list[bytes]) -> bytes:
     return _pack(np.array([len(r) for r in raw], np.uint32).tobytes() + b"".join(raw))
 
 
-def _unpack_words(blob: bytes, n: int) -> list[str]:
+def _unpack_words(blob: bytes, n: int) -> list[bytes]:
     raw = _unpack(blob)
     ends = np.cumsum(np.frombuffer(raw, np.uint32, n), dtype=np.int64).tolist()
     body, at, out = raw[4 * n :], 0, []
     for end in ends:
-        out.append(body[at:end].decode("utf-8", "surrogatepass"))
+        out.append(body[at:end])
         at = end
     return out
 
 
-_LISTS = "list string, bucket int, n long, ids binary, body binary"
+_LISTS = "list string, bucket int, n long, ids binary, sizes binary, places binary, body binary"
+_LIST_NAMES = [c.split()[0] for c in _LISTS.split(", ")]
 
 
 def _word_lists(buckets: int):
-    """Task side of step 1: rows of documents (bucket -1) and rows of words (bucket 0 and up)."""
+    """Task side of step 1: a row of documents (bucket -1) and rows of words (bucket 0 and up).
+
+    In a list, words stand by bucket and then in byte order; documents hold ranks by frequency, and
+    ``places`` of the documents' row gives the place of each rank.
+    """
 
     def out(docs: list, index: dict[str, int]) -> pa.RecordBatch:
-        name = uuid.uuid4().hex
-        n = len(docs)
-        sizes = np.array([len(d[1]) for d in docs], np.uint32)
-        flat = np.concatenate([d[1] for d in docs]) if n else np.zeros(0, np.uint32)
+        name, n = uuid.uuid4().hex, len(docs)
+        raw = [w.encode("utf-8", "surrogatepass") for w in index]
+        flat = np.concatenate([d[1] for d in docs])
+        by_use = np.argsort(-np.bincount(flat, minlength=len(raw)), kind="stable")
+        rank = np.empty(len(raw), np.int64)
+        rank[by_use] = np.arange(len(raw))
+        keys = [zlib.crc32(w) % buckets for w in raw]
+        order = sorted(range(len(raw)), key=lambda i: (keys[i], raw[i]))
+        place = np.empty(len(raw), np.uint32)
+        place[order] = np.arange(len(raw))
         ids = np.array([0 if d[0] is None else d[0] for d in docs], np.int64).tobytes() + np.array([d[0] is None for d in docs], np.bool_).tobytes()
-        rows = [(name, -1, n, ids, _pack(sizes.tobytes() + flat.astype(np.uint32).tobytes()))]
-        words = list(index)
-        where = np.fromiter((zlib_crc(w) % buckets for w in words), np.int64, len(words))
-        order = np.argsort(where, kind="stable")
-        cuts = np.searchsorted(where[order], np.arange(buckets + 1))
+        rows = [(name, -1, n, ids, _pack_ints(np.array([len(d[1]) for d in docs], np.uint32)), _pack_ints(place[by_use]), _pack_ints(rank[flat]))]
+        cuts = np.searchsorted(np.array(keys, np.int64)[order], np.arange(buckets + 1)).tolist()
         for b in range(buckets):
-            own = order[cuts[b] : cuts[b + 1]]
-            if len(own):
-                rows.append((name, b, len(own), _pack(own.astype(np.uint32)), _pack_words([words[i] for i in own])))
-        return pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.binary()), pa.array([r[4] for r in rows], pa.binary())],
-            names=["list", "bucket", "n", "ids", "body"],
-        )
+            if cuts[b] < cuts[b + 1]:
+                rows.append((name, b, cuts[b + 1] - cuts[b], None, None, None, _pack_words([raw[i] for i in order[cuts[b] : cuts[b + 1]]])))
+        kinds = [pa.string(), pa.int32(), pa.int64(), *[pa.binary()] * 4]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=_LIST_NAMES)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, index, held = [], {}, 0
@@ -157,26 +174,22 @@ def _word_lists(buckets: int):
     return task
 
 
-def zlib_crc(word: str) -> int:
-    import zlib
-
-    return zlib.crc32(word.encode("utf-8", "surrogatepass"))
-
-
 def _encode_bucket(path: str, pattern: str):
     """Step 2: all lists' words of one bucket; each distinct word is encoded once."""
 
     def run(rows: pa.Table) -> pa.Table:
-        enc, known, bodies = encoder(path, pattern), {}, []
+        enc, known, sizes, bodies = encoder(path, pattern), {}, [], []
         for n, body in zip(rows.column("n").to_pylist(), rows.column("body").to_pylist(), strict=True):
             got = []
             for w in _unpack_words(body, n):
                 ids = known.get(w)
                 if ids is None:
-                    ids = known[w] = np.array(enc.encode_ordinary(word_text(w)), np.uint32).tobytes()
+                    ids = known[w] = np.array(enc.encode_ordinary(word_text(w.decode("utf-8", "surrogatepass"))), np.uint32).tobytes()
                 got.append(ids)
-            bodies.append(_pack(np.array([len(g) >> 2 for g in got], np.uint32).tobytes() + b"".join(got)))
-        return pa.table({"list": rows.column("list"), "bucket": rows.column("bucket"), "n": rows.column("n"), "ids": rows.column("ids"), "body": pa.array(bodies, pa.binary())})
+            sizes.append(_pack_ints(np.array([len(g) >> 2 for g in got], np.uint32)))
+            bodies.append(_pack_ints(np.frombuffer(b"".join(got), np.uint32)))
+        none = pa.nulls(rows.num_rows, pa.binary())
+        return pa.table([rows.column("list"), rows.column("bucket"), rows.column("n"), none, pa.array(sizes, pa.binary()), none, pa.array(bodies, pa.binary())], names=_LIST_NAMES)
 
     return run
 
@@ -188,26 +201,18 @@ _DIGEST = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha
 def _assemble(path: str, digest: bool):
     """Steps 3 and 4 for one word list: ids of its documents by position, then their bytes."""
 
-    def run(rows: pa.Table) -> pa.Table:
+    def run(lists: pa.Table, coded: pa.Table) -> pa.Table:
         table = token_table(path)
-        words, counts, flat_ids, docs = [], [], [], []
-        for bucket, n, ids, body in zip(*(rows.column(c).to_pylist() for c in ("bucket", "n", "ids", "body")), strict=True):
-            if bucket < 0:
-                raw = _unpack(body)
-                sizes = np.frombuffer(raw, np.uint32, n)
-                docs.append((np.frombuffer(ids, np.int64, n), np.frombuffer(ids, np.bool_, n, 8 * n), sizes, np.frombuffer(raw, np.uint32, -1, 4 * n)))
-            else:
-                raw = _unpack(body)
-                words.append(np.frombuffer(_unpack(ids), np.uint32))
-                counts.append(np.frombuffer(raw, np.uint32, n))
-                flat_ids.append(np.frombuffer(raw, np.uint32, -1, 4 * n))
-        if words:
-            order = np.concatenate(words)
-            count = np.concatenate(counts).astype(np.int64)
-            data = np.concatenate(flat_ids)
-            first = np.cumsum(count) - count
-            start_of, size_of = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
-            start_of[order], size_of[order] = first, count
+        coded = coded.sort_by("bucket")
+        sizes, bodies = coded.column("sizes").to_pylist(), coded.column("body").to_pylist()
+        if bodies:
+            size_of = np.concatenate([_unpack_ints(x) for x in sizes]).astype(np.int64)
+            data = np.concatenate([_unpack_ints(x) for x in bodies])
+            start_of = np.cumsum(size_of) - size_of
+        docs = []
+        for n, ids, sizes, places, body in zip(*(lists.column(c).to_pylist() for c in ("n", "ids", "sizes", "places", "body")), strict=True):
+            words = _unpack_ints(places)[_unpack_ints(body)] if bodies else np.zeros(0, np.uint32)
+            docs.append((np.frombuffer(ids, np.int64, n), np.frombuffer(ids, np.bool_, n, 8 * n), _unpack_ints(sizes), words))
         out = {name: [] for name in (_DIGEST if digest else _OUT).names}
         for doc_ids, nulls, sizes, flat in docs:
             at = 0
@@ -243,7 +248,17 @@ def bpe_round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
     """
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     buckets = parts_for(text_bytes(narrow), PART_BYTES)
-    lists = written(narrow.mapInArrow(_word_lists(buckets), _LISTS), "word-lists")
+    lists = _listed(narrow.mapInArrow(_word_lists(buckets), _LISTS), buckets)
     coded = lists.filter("bucket >= 0").groupBy("bucket").applyInArrow(_encode_bucket(ranks_path, pattern), _LISTS)
     out = "doc_id long, n_tokens long, " + ("ids_sha256 string, decoded_sha256 string" if digest else "ids binary, decoded binary")
-    return lists.filter("bucket < 0").unionByName(coded).groupBy("list").applyInArrow(_assemble(ranks_path, digest), out)
+    return lists.filter("bucket < 0").groupBy("list").cogroup(coded.groupBy("list")).applyInArrow(_assemble(ranks_path, digest), out)
+
+
+def _listed(lists: DataFrame, parts: int) -> DataFrame:
+    """The word lists as a table in the shared folder, bucketed by list: the documents of a list are
+    then joined with their ids where they lie, and only words and ids are shuffled."""
+    spark = lists.sparkSession
+    name = f"loom_word_lists_{uuid.uuid4().hex}"
+    parts = max(parts, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    lists.write.bucketBy(parts, "list").option("path", fresh_path(spark, "word-lists")).saveAsTable(name)
+    return spark.table(name)
