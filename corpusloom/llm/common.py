@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _own_dir: dict[str, str] = {}
 
 
@@ -34,7 +35,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and return the table: cuts lineage for good."""
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEAN)
+    try:
+        spark.conf.set(_CLEAN, "true")  # shuffle files of this job go once its table is there
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
     table = spark.read.schema(df.schema).parquet(path)
     table._loom_path = path
     return table

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corpusloom.llm import decontaminate
 from corpusloom.llm.bag_minhash import near_duplicates
 from corpusloom.llm.byte_bpe import bpe_round_trip
 from corpusloom.llm.common import documents
+from corpusloom.llm.fuzzy_lines import fuzzy_lines
 from corpusloom.llm.language_id import languages
 from corpusloom.llm.pii_crf import personal_data
 from corpusloom.llm.quality_mcd import quality
@@ -59,6 +61,11 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(documents(spark, sf_dir), _tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, digest=True)
 
 
+def op9_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    return fuzzy_lines(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", kept.alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_bag_minhash": op2_bag_minhash,
@@ -68,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_pii_crf": op6_pii_crf,
     "op7_language_id": op7_language_id,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_fuzzy_lines": op9_fuzzy_lines,
 }
 
 ORACLES: dict[str, str] = {
