@@ -113,6 +113,13 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     )
 
 
+def without_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` in which no window occurs, with all columns."""
+    named = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
+    hit = window_hits(named, items.select("item_id", "text"), window).filter("start is not null").select(F.col("doc_id").alias("__id"), F.col("h").alias("__h")).distinct()
+    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__h")), "left_anti")
+
+
 # Fixed values of the contract in SQL; windows of documents are made for each length that items have.
 ORACLE = r"""
 WITH item_words AS (

@@ -13,6 +13,7 @@ from corpusloom.llm.byte_bpe import bpe_round_trip
 from corpusloom.llm.common import documents
 from corpusloom.llm.fuzzy_lines import fuzzy_lines
 from corpusloom.llm.language_id import languages
+from corpusloom.llm.license_scan import license_scan
 from corpusloom.llm.pii_crf import personal_data
 from corpusloom.llm.quality_mcd import quality
 from corpusloom.llm.suffix_dedup import suffix_dedup
@@ -66,6 +67,12 @@ def op9_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy_lines(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", kept.alias("kept_sha256"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan(documents(spark, sf_dir))
+    listed = F.array_join(F.transform("found", lambda f: F.concat_ws(":", f["paragraph"].cast("string"), f["family"])), ",")
+    return found.select("doc_id", "n_paragraphs", "n_licensed", F.array_join("families", ",").alias("families"), listed.alias("paragraphs"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_bag_minhash": op2_bag_minhash,
@@ -76,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_language_id": op7_language_id,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_fuzzy_lines": op9_fuzzy_lines,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLES: dict[str, str] = {

@@ -7,9 +7,9 @@ with the least hash, leftmost on ties.  Neighbouring starts with the same anchor
 
 1. blocks of documents send the distinct anchors of their contexts (8 bytes each) to anchor buckets,
    which tell which anchors occur once only: those contexts are done;
-2. blocks send each distinct remaining context once, with its first place, to context buckets.  The
-   contexts of an anchor that occurs more than ``HOT`` times go as single strings under their own
-   hash, so an anchor that a third of the corpus shares is dealt over all buckets;
+2. blocks send each distinct remaining context once, with its first place, to context buckets.  An
+   anchor with more than ``HOT`` unequal contexts has them sent as single strings under their own
+   hash, so a phrase in a third of the corpus is dealt over all buckets;
 3. a bucket sorts the suffixes of its contexts in two stages: suffixes smaller than their successors
    are sorted directly, all others are induced by scanning the buckets of first bytes in order.  The
    common prefixes of neighbours give the classes of equal strings, and each class its first place;
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import id_order, parts_for, text_bytes
 
 GRAM = 24  # bytes of an anchor window
-BLOCK_BYTES = 10 << 20
+BLOCK_BYTES = 8 << 20
 BUCKET_BYTES = 12 << 20  # corpus bytes behind one bucket
 SORT_BYTES = 1 << 20  # contexts that are suffix-sorted together
 HOT = 2000
@@ -67,9 +67,10 @@ def sliding_min(v: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(v[: len(v) - (width - size)], v[width - size :]) if width > size else v
 
 
-def contexts(raw: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First start, number of starts and anchor hash of every context; documents end at ``ends``."""
-    lows, sizes, keys = [], [], []
+def contexts(raw: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First start, number of starts, anchor hash and border hash of every context; documents end at
+    ``ends``.  The border hash only serves to count unequal contexts of an anchor."""
+    lows, sizes, keys, borders = [], [], [], []
     n = len(raw)
     for at in range(0, n - length + 1, STEP):
         part = raw[at : at + STEP + length - 1]
@@ -92,9 +93,10 @@ def contexts(raw: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray
         lows.append(first + at)
         sizes.append(stop - first)
         keys.append(h[least[first].astype(np.int64)])
+        borders.append(h[first] * _MIX ^ h[stop - 1 + length - GRAM])
     if not lows:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    return np.concatenate(lows), np.concatenate(sizes), np.concatenate(keys)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    return np.concatenate(lows), np.concatenate(sizes), np.concatenate(keys), np.concatenate(borders)
 
 
 def two_stage_suffix_array(raw: np.ndarray, depth: int) -> np.ndarray:
@@ -171,6 +173,18 @@ def _expand(first: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(total)
 
 
+def square(raw: np.ndarray, low: np.ndarray, span: np.ndarray, width: int) -> np.ndarray:
+    """Strings of ``span`` bytes at ``low``, padded to one width and ended by their length."""
+    out = np.zeros((len(low), width + 1), np.uint8)
+    padded = np.concatenate([raw, np.zeros(width, np.uint8)])
+    for k in range(0, len(low), 20_000):
+        part = out[k : k + 20_000]
+        part[:, :width] = np.lib.stride_tricks.sliding_window_view(padded, width)[low[k : k + 20_000]]
+        part[:, :width][np.arange(width) >= span[k : k + 20_000, None]] = 0
+    out[:, width] = span
+    return out.view(np.dtype((np.void, width + 1))).ravel()
+
+
 class Block:
     """Documents of one block in corpus order and their contexts."""
 
@@ -188,50 +202,67 @@ class Block:
             last = i
             seq.append(k)
         self.seq = np.array(seq, np.int64)
-        self.low, self.count, self.key = contexts(self.raw, self.ends, length)
+        self.low, self.count, self.key, border = contexts(self.raw, self.ends, length)
         where = (self.key & np.uint64(0xFFFFFF)).astype(np.int64) % buckets
-        order = np.lexsort((self.key, where))
-        k, w = self.key[order], where[order]
+        order = np.lexsort((border, self.key, where))
+        k, w, e = self.key[order], where[order], border[order]
         new = np.ones(len(k), bool)
         new[1:] = k[1:] != k[:-1]
+        other = new.copy()
+        other[1:] |= e[1:] != e[:-1]
+        edge = np.flatnonzero(new)
         self.distinct, self.distinct_bucket = k[new], w[new]
-        self.uses = np.diff(np.append(np.flatnonzero(new), len(k)))
+        self.uses = np.diff(np.append(edge, len(k)))
+        self.unequal = np.add.reduceat(other, edge, dtype=np.int64) if len(edge) else self.uses
         self.which = np.empty(len(k), np.int64)
         self.which[order] = np.cumsum(new) - 1
 
     def repeated(self, flags: np.ndarray, buckets: int) -> None:
-        """Choose the contexts to compare and put the distinct ones in the order of their buckets."""
+        """Choose the contexts to compare; each distinct one once, in the order of their buckets.
+
+        ``unit_*`` are what is sent: whole contexts, or the single strings of hot ones.
+        """
         flag = flags[self.which] if len(flags) else np.zeros(0, np.uint8)
-        low, count, key = self.low[flag == 1], self.count[flag == 1], self.key[flag == 1]
-        hot = flag == 2
-        if hot.any():
-            single = _expand(self.low[hot], self.count[hot])
-            powers = np.array([pow(_MULT, k, 1 << 64) for k in range(self.length)], np.uint64)
+        some = flag > 0
+        self.run_low, self.run_count = self.low[some], self.count[some]
+        first, self.run_context = self._unequal(self.run_low, self.run_count)
+        self.context_run = first
+        low, count, key, hot = self.run_low[first], self.run_count[first], self.key[some][first], flag[some][first] == 2
+        self.context_count = count
+        whole = np.flatnonzero(~hot)
+        at = np.cumsum(count) - count
+        single, single_at = _expand(low[hot], count[hot]), _expand(at[hot], count[hot])
+        unit_low, unit_count, unit_key = low[whole], count[whole], key[whole]
+        # where the answers of a unit go among the strings of all contexts
+        unit_to = at[whole]
+        if len(single):
+            own = self._string_hashes(single)
+            order = np.lexsort((single, own))
+            new = np.ones(len(order), bool)
+            new[1:] = own[order][1:] != own[order][:-1]
+            lead = order[new][np.cumsum(new) - 1]
             view = np.lib.stride_tricks.sliding_window_view(self.raw, self.length)
-            own = np.concatenate([(view[single[k : k + 20_000]].astype(np.uint64) * powers).sum(axis=1, dtype=np.uint64) for k in range(0, len(single), 20_000)]) * _MIX
-            own ^= own >> np.uint64(29)
-            low, count, key = np.concatenate([low, single]), np.concatenate([count, np.ones(len(single), np.int64)]), np.concatenate([key, own])
-            order = np.argsort(low, kind="stable")
-            low, count, key = low[order], count[order], key[order]
-        self.run_low, self.run_count = low, count
-        width = 2 * self.length - GRAM + 1
+            for k in range(0, len(order), 20_000):
+                new[k : k + 20_000] |= (view[single[order[k : k + 20_000]]] != view[single[lead[k : k + 20_000]]]).any(axis=1)
+            one = order[new]
+            unit_low, unit_count, unit_key = np.concatenate([unit_low, single[one]]), np.concatenate([unit_count, np.ones(len(one), np.int64)]), np.concatenate([unit_key, own[one]])
+            unit_to = np.concatenate([unit_to, single_at[one]])
+        bucket = (unit_key & np.uint64(0xFFFFFF)).astype(np.int64) % buckets
+        order = np.lexsort((unit_low, unit_key, bucket))
+        self.unit_low, self.unit_count, self.unit_key, self.unit_bucket, self.unit_to = unit_low[order], unit_count[order], unit_key[order], bucket[order], unit_to[order]
+
+    def _unequal(self, low: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First of each kind of equal contexts, and the kind of every context."""
         if not len(low):
-            self.run_context = np.zeros(0, np.int64)
-            self.first, self.context_count, self.context_key, self.context_bucket = (np.zeros(0, np.int64) for _ in range(4))
-            return
-        padded = np.concatenate([self.raw, np.zeros(width, np.uint8)])
-        rows = np.lib.stride_tricks.sliding_window_view(padded, width)[low]
-        span = count + self.length - 1
-        rows = np.where(np.arange(width) < span[:, None], rows, 0).astype(np.uint8)
-        tagged = np.ascontiguousarray(np.concatenate([rows, span.astype(np.uint8)[:, None]], axis=1)).view(np.dtype((np.void, width + 1))).ravel()
-        _, first, inverse = np.unique(tagged, return_index=True, return_inverse=True)
-        bucket = (key[first] & np.uint64(0xFFFFFF)).astype(np.int64) % buckets
-        order = np.lexsort((low[first], key[first], bucket))
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        self.run_context = place[inverse.ravel()]
-        self.first = first[order]
-        self.context_count, self.context_key, self.context_bucket = count[self.first], key[self.first], bucket[order]
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        _, first, kind = np.unique(square(self.raw, low, count + self.length - 1, 2 * self.length - GRAM), return_index=True, return_inverse=True)
+        return first, kind.ravel()
+
+    def _string_hashes(self, start: np.ndarray) -> np.ndarray:
+        powers = np.array([pow(_MULT, k, 1 << 64) for k in range(self.length)], np.uint64)
+        view = np.lib.stride_tricks.sliding_window_view(self.raw, self.length)
+        own = np.concatenate([view[start[k : k + 20_000]].astype(np.uint64) @ powers for k in range(0, len(start), 20_000)]) * _MIX
+        return own ^ (own >> np.uint64(29))
 
     def place(self, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Document row and offset in it of block offsets."""
@@ -258,20 +289,21 @@ def _by_bucket(bucket: np.ndarray):
 def _send_anchors(length: int, buckets: int):
     def run(rows: pa.Table) -> pa.Table:
         block, own = rows.column("block")[0].as_py(), Block(rows, length, buckets)
-        return _sent([(b, block, 0, t - s, own.distinct[s:t].tobytes(), np.minimum(own.uses[s:t], 1 << 30).astype(np.uint32).tobytes(), None, None) for b, s, t in _by_bucket(own.distinct_bucket)])
+        return _sent([(b, block, 0, t - s, own.distinct[s:t].tobytes(), np.minimum(own.uses[s:t], 2).astype(np.uint8).tobytes(), own.unequal[s:t].astype(np.uint32).tobytes(), None) for b, s, t in _by_bucket(own.distinct_bucket)])
 
     return run
 
 
 def _judge_anchors(hot: int):
-    """0: an anchor occurs once; 1: more often; 2: too often for one task."""
+    """0: an anchor occurs once; 1: more often; 2: in too many unequal contexts for one task."""
 
     def run(rows: pa.Table) -> pa.Table:
         keys = np.concatenate([np.frombuffer(a, np.uint64) for a in rows.column("a").to_pylist()])
-        uses = np.concatenate([np.frombuffer(b, np.uint32) for b in rows.column("b").to_pylist()])
+        uses = np.concatenate([np.frombuffer(b, np.uint8) for b in rows.column("b").to_pylist()])
+        unequal = np.concatenate([np.frombuffer(c, np.uint32) for c in rows.column("c").to_pylist()])
         _, inverse = np.unique(keys, return_inverse=True)
-        total = np.bincount(inverse, uses)
-        flag = ((total > 1).astype(np.uint8) + (total > hot).astype(np.uint8))[inverse]
+        many = np.bincount(inverse, uses) > 1
+        flag = (many.astype(np.uint8) + (many & (np.bincount(inverse, unequal) > hot)))[inverse].astype(np.uint8)
         out, at = [], 0
         for bucket, block, n in zip(*(rows.column(c).to_pylist() for c in ("bucket", "block", "n")), strict=True):
             out.append((bucket, block, 0, n, flag[at : at + n].tobytes(), None, None, None))
@@ -290,14 +322,14 @@ def _send_contexts(length: int, buckets: int):
     def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
         block, own = rows.column("block")[0].as_py(), Block(rows, length, buckets)
         own.repeated(_flags(answers), buckets)
-        low = own.run_low[own.first]
+        low = own.unit_low
         doc, offset = own.place(low)
         ids = np.array([-(2**63) if i is None else i for i in own.ids], np.int64)
         out = []
-        for b, s, t in _by_bucket(own.context_bucket):
-            span = own.context_count[s:t] + length - 1
+        for b, s, t in _by_bucket(own.unit_bucket):
+            span = own.unit_count[s:t] + length - 1
             places = np.stack([ids[doc[s:t]], own.seq[doc[s:t]], offset[s:t]]).astype(np.int64)
-            out.append((b, block, 1, t - s, own.context_key[s:t].astype(np.uint64).tobytes(), own.context_count[s:t].astype(np.uint8).tobytes(), own.raw[_expand(low[s:t], span)].tobytes(), places.tobytes()))
+            out.append((b, block, 1, t - s, own.unit_key[s:t].astype(np.uint64).tobytes(), own.unit_count[s:t].astype(np.uint8).tobytes(), own.raw[_expand(low[s:t], span)].tobytes(), places.tobytes()))
         return _sent(out)
 
     return run
@@ -346,13 +378,8 @@ def _compare(length: int):
             stop = int(np.searchsorted(sorted_key, sorted_key[stop - 1], "right"))
             part = order[k:stop]
             text = raw[_expand(low[part], span[part])]
-            width = int(span[part].max())
-            padded = np.concatenate([text, np.zeros(width, np.uint8)])
             own_low = np.cumsum(span[part]) - span[part]
-            square = np.lib.stride_tricks.sliding_window_view(padded, width)[own_low]
-            square = np.where(np.arange(width) < span[part][:, None], square, 0).astype(np.uint8)
-            tagged = np.ascontiguousarray(np.concatenate([square, span[part].astype(np.uint8)[:, None]], axis=1)).view(np.dtype((np.void, width + 1))).ravel()
-            _, one, inverse = np.unique(tagged, return_index=True, return_inverse=True)
+            _, one, inverse = np.unique(square(text, own_low, span[part], int(span[part].max())), return_index=True, return_inverse=True)
             inverse = inverse.ravel()
             earliest = np.full(len(one), np.iinfo(np.int64).max)
             np.minimum.at(earliest, inverse, base[part])
@@ -383,13 +410,15 @@ def _cut(length: int, buckets: int, digest: bool):
         own = Block(rows, length, buckets)
         own.repeated(_flags(answers), buckets)
         got = sorted((b, n, a) for b, kind, n, a in zip(*(answers.column(c).to_pylist() for c in ("bucket", "kind", "n", "a")), strict=True) if kind == 1)
-        first = np.concatenate([np.unpackbits(np.frombuffer(a, np.uint8), count=n) for _, n, a in got]) if got else np.zeros(0, np.uint8)
+        answer = np.concatenate([np.unpackbits(np.frombuffer(a, np.uint8), count=n) for _, n, a in got]) if got else np.zeros(0, np.uint8)
+        first = np.zeros(int(own.context_count.sum()), bool)
+        first[_expand(own.unit_to, own.unit_count)] = answer
         change = np.zeros(len(own.raw) + 1, np.int32)
         if len(own.run_low):
             at = np.cumsum(own.context_count) - own.context_count
             is_first = np.zeros(len(own.run_low), bool)
-            is_first[own.first] = True
-            keeps = first[_expand(at[own.run_context], own.run_count)].astype(bool) & np.repeat(is_first, own.run_count)
+            is_first[own.context_run] = True
+            keeps = first[_expand(at[own.run_context], own.run_count)] & np.repeat(is_first, own.run_count)
             starts = _expand(own.run_low, own.run_count)[~keeps]
             change[starts] += 1
             change[starts + length] -= 1  # starts differ, and so do their ends
