@@ -31,14 +31,14 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` as a table in the shared folder and return the table: cuts lineage for good."""
     spark = df.sparkSession
     path = fresh_path(spark, label)
     before = spark.conf.get(_CLEAN)
     try:
         spark.conf.set(_CLEAN, "true")  # shuffle files of this job go once its table is there
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.option("compression", codec).parquet(path)
     finally:
         spark.conf.set(_CLEAN, before)
     table = spark.read.schema(df.schema).parquet(path)
@@ -72,3 +72,15 @@ def text_bytes(docs: DataFrame, col: str = "text") -> int:
 
 def parts_for(total_bytes: int, per_part: int, least: int = 1) -> int:
     return max(least, -(-total_bytes // per_part))
+
+
+def spans_of(texts: list, most: int = 1 << 20) -> list[tuple[int, int]]:
+    """Slices of a batch that hold about ``most`` characters each, so that what is made from a slice
+    stays small however many rows a batch has."""
+    out, start, held = [], 0, 0
+    for k, text in enumerate(texts):
+        held += len(text or "")
+        if held >= most:
+            out.append((start, k + 1))
+            start, held = k + 1, 0
+    return out if start == len(texts) else [*out, (start, len(texts))]

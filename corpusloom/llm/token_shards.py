@@ -28,12 +28,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import fresh_path, parts_for, text_bytes
+from corpusloom.llm.common import fresh_path, parts_for, spans_of, text_bytes
 
 MAGIC = b"LOOMTOK1"
 SHARD_TEXT_BYTES = 32 << 20
 DICT_SAMPLE_DOCS = 600  # bound of the sample that the dictionary is trained on
-DICT_SAMPLE_BYTES = 16 << 10  # of ids from each sampled document
+DICT_SAMPLE_BYTES = 8 << 10  # characters, and then bytes of ids, from each sampled document
 DICT_BYTES = 64 << 10
 MEMO_WORDS = 1_000_000
 LEVEL = 3
@@ -160,8 +160,9 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str
     spark = docs.sparkSession
     folder = folder or fresh_path(spark, "token-shards")
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    sample = narrow.filter("text is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(DICT_SAMPLE_DOCS).collect()
-    dictionary = train_dictionary(encode_texts([bytes(r.text[: 4 * DICT_SAMPLE_BYTES]).decode("utf-8", "ignore").encode() for r in sample], tokenizer_path, end_id))
+    head = F.substring(F.col(text_col), 1, DICT_SAMPLE_BYTES).cast("binary").alias("text")
+    sample = docs.select(F.col(id_col).cast("long").alias("doc_id"), head).filter("text is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(DICT_SAMPLE_DOCS).collect()
+    dictionary = train_dictionary(encode_texts([bytes(r.text) for r in sample], tokenizer_path, end_id))
     dict_hash, width = hashlib.sha256(dictionary).digest(), id_width(tokenizer_path)
     shards = parts_for(text_bytes(narrow), SHARD_TEXT_BYTES)
     cuts = narrow.agg(F.percentile_approx("doc_id", [i / shards for i in range(1, shards)], 10_000)).first()[0] if shards > 1 else []
@@ -170,7 +171,8 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = _compressor(dictionary)
         for batch in batches:
-            coded = encode_texts(batch.column(1).to_pylist(), tokenizer_path, end_id)
+            texts = batch.column(1).to_pylist()
+            coded = [c for a, b in spans_of(texts) for c in encode_texts(texts[a:b], tokenizer_path, end_id)]
             ids = batch.column(0)
             shard = np.searchsorted(cuts, ids.fill_null(-(2**63)).to_numpy(zero_copy_only=False), side="left")
             yield pa.RecordBatch.from_arrays(
