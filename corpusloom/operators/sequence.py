@@ -9,16 +9,20 @@ from pyspark.sql import functions as F
 
 BLOCK = 384
 MAX_LENGTH = 192
+CUT_SAMPLE = 4000
 IGNORED = -100  # label of a position that does not count
 
 
 def offsets(sizes: DataFrame, order: str, size: str, parts: int = 64) -> DataFrame:
     """``sizes`` with ``offset``, the sum of the sizes before a row in ``order``.
 
-    Rows are dealt into ranges of the order; only the total of each range is summed in one place.
+    Rows are dealt into ranges of the order; only the total of each range is summed in one place.  The
+    borders come from the ``CUT_SAMPLE`` values with the least hashes, so they are the same at every
+    evaluation; they only balance the ranges.  ``order`` may have any orderable type.
     """
-    cuts = sizes.agg(F.percentile_approx(order, [i / parts for i in range(1, parts)], 10_000)).first()[0]
-    ranges = sorted(set(cuts or []))
+    sample = sizes.select(order).filter(F.col(order).isNotNull()).orderBy(F.xxhash64(order), order).limit(CUT_SAMPLE).collect()
+    values = sorted({r[0] for r in sample})
+    ranges = sorted({values[k * len(values) // parts] for k in range(1, parts)}) if values else []
     part = F.size(F.filter(F.array(*map(F.lit, ranges)), lambda c: c < F.col(order))) if ranges else F.lit(0)
     dealt = sizes.withColumn("__part", part)
     totals = dealt.groupBy("__part").agg(F.sum(size).alias("__sum"))
@@ -75,9 +79,9 @@ def collate(samples: DataFrame, order: str, batch_size: int, pad_id: int) -> Dat
     return batches.select("batch_id", filled("input_ids", pad_id).alias("input_ids"), filled("labels", IGNORED).alias("labels"), mask.alias("attention_mask"))
 
 
-def numbered(rows: DataFrame, order: list[Column]) -> DataFrame:
-    """``rows`` with ``rank`` from 1 in ``order``, by an exact threshold-free global rank."""
-    return rows.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+def numbered(rows: DataFrame, order: str) -> DataFrame:
+    """``rows`` with ``rank`` from 1 in the order of a column without repeated values."""
+    return offsets(rows.withColumn("__one", F.lit(1)), order, "__one").withColumn("rank", F.col("offset") + 1).drop("__one", "offset")
 
 
 def holdout(rows: DataFrame, key: str, fraction: float = 0.02, seed: int = 42) -> DataFrame:

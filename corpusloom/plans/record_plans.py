@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as T
@@ -69,7 +68,7 @@ def mask_prompt(spark, d):
 
 
 def collate(spark, d):
-    rows = S.numbered(_masked(spark, d), [F.col("conv_id")]).withColumn("n", F.col("rank") - 1)
+    rows = S.numbered(_masked(spark, d), "conv_id").withColumn("n", F.col("rank") - 1)
     b = S.collate(rows, "n", 4, 0)
     return b.select(F.col("batch_id").cast("bigint").alias("batch_id"), *[_flat(F.flatten(c)).alias(c) for c in ("input_ids", "labels", "attention_mask")])
 
@@ -133,7 +132,7 @@ def chunk_examples(spark, d):
 def resume_range(spark, d):
     """Chunks in path order that a run resumed at index 37 still has to do."""
     paths = spark.read.parquet(f"{d}/documents.parquet").select(F.format_string("%s/chunk_%04d.txt", "source", "doc_id").alias("path"))
-    ranked = paths.withColumn("index", (F.row_number().over(Window.orderBy("path")) - 1).cast("bigint"))
+    ranked = S.numbered(paths, "path").select("path", (F.col("rank") - 1).alias("index"))
     return ranked.filter("index >= 37")
 
 
