@@ -1,7 +1,7 @@
 """Body text from page layout: ``layout_span(doc, page, block, line, span, size, x0, text)``.
 
-All per-document steps are keyed by ``doc`` and all per-page steps by ``doc, page``, so one exchange by
-``doc`` carries from the spans to the paragraphs.
+All steps are windows and aggregations keyed by ``doc`` first, so the one exchange by ``doc`` in
+``body_lines`` carries from the spans to the paragraphs.
 """
 
 from __future__ import annotations
@@ -32,43 +32,61 @@ def body_font(spans: DataFrame, sample_pages: int = SAMPLE_PAGES) -> DataFrame:
 
 def body_lines(spans: DataFrame) -> DataFrame:
     """``doc, page, line_no, text, x0``: lines of body-sized spans, in reading order."""
+    spans = spans.repartition("doc")
     near = spans.join(body_font(spans), "doc").filter(F.abs(F.col("size") - F.col("body_font")) <= SIZE_TOLERANCE)
     joined = near.groupBy("doc", "page", "block", "line").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("span", "text"))), lambda s: s["text"]), "").alias("text"), F.min("x0").alias("x0"))
     clean = joined.withColumn("text", T.strip(T.normalize(F.col("text")))).filter("text <> ''")
     return clean.select("doc", "page", (F.row_number().over(Window.partitionBy("doc", "page").orderBy("block", "line")) - 1).alias("line_no"), "text", F.round("x0", 1).alias("x0"))
 
 
+def judged_lines(lines: DataFrame) -> DataFrame:
+    """Lines with ``is_junk`` and, of their page, ``lines``, ``junk`` and ``drop_reason``."""
+    page = Window.partitionBy("doc", "page")
+    marked = lines.withColumn("is_junk", T.is_junk_line(F.col("text")))
+    head = F.array_compact(F.array(*[F.max(F.when(F.col("line_no") == k, F.col("text"))).over(page) for k in range(3)]))
+    counted = marked.withColumns({"lines": F.count("*").over(page), "junk": F.sum(F.col("is_junk").cast("bigint")).over(page), "__head": head})
+    reason = F.when(T.is_matter(F.col("__head")), "matter").when(F.col("junk") / F.col("lines") > JUNK_PAGE_RATIO, "junk")
+    return counted.withColumn("drop_reason", reason).drop("__head")
+
+
 def judged_pages(lines: DataFrame) -> DataFrame:
     """``doc, page, lines, junk, drop_reason`` (null: the page stays)."""
-    first = F.transform(F.array_sort(F.collect_list(F.when(F.col("line_no") < 3, F.struct("line_no", "text")))), lambda s: s["text"])
-    per = lines.groupBy("doc", "page").agg(F.count("*").alias("lines"), F.count_if(T.is_junk_line(F.col("text"))).alias("junk"), first.alias("head"))
-    reason = F.when(T.is_matter(F.col("head")), "matter").when(F.col("junk") / F.col("lines") > JUNK_PAGE_RATIO, "junk")
-    return per.select("doc", "page", "lines", "junk", reason.alias("drop_reason"))
+    return judged_lines(lines).filter("line_no = 0").select("doc", "page", "lines", "junk", "drop_reason")
 
 
 def kept_lines(lines: DataFrame) -> DataFrame:
     """Lines that are no junk, of pages that stay."""
-    stay = judged_pages(lines).filter("drop_reason is null").select("doc", "page")
-    return lines.join(stay, ["doc", "page"], "left_semi").filter(~T.is_junk_line(F.col("text")))
+    return judged_lines(lines).filter("drop_reason is null and not is_junk").select(*lines.columns)
+
+
+def with_margin(lines: DataFrame) -> DataFrame:
+    """Lines with ``margin``, the leftmost start that a fifth of their page's lines (at least two) share."""
+    page = Window.partitionBy("doc", "page")
+    counted = lines.withColumns({"__n": F.count("*").over(Window.partitionBy("doc", "page", "x0")), "__all": F.count("*").over(page)})
+    common = F.when(F.col("__n") >= F.greatest(F.lit(2.0), F.col("__all") * 0.2), F.col("x0"))
+    return counted.withColumn("margin", F.coalesce(F.min(common).over(page), F.min("x0").over(page))).drop("__n", "__all")
 
 
 def page_margin(lines: DataFrame) -> DataFrame:
-    """``doc, page, margin``: the leftmost start that a fifth of the lines (at least two) share."""
-    starts = lines.groupBy("doc", "page", "x0").agg(F.count("*").alias("n"))
-    total = F.sum("n").over(Window.partitionBy("doc", "page"))
-    common = F.when(F.col("n") >= F.greatest(F.lit(2.0), F.col("total") * 0.2), F.col("x0"))
-    return starts.withColumn("total", total).groupBy("doc", "page").agg(F.coalesce(F.min(common), F.min("x0")).alias("margin"))
+    """``doc, page, margin``."""
+    return with_margin(lines).groupBy("doc", "page").agg(F.min("margin").alias("margin"))
+
+
+def with_typical(lines: DataFrame) -> DataFrame:
+    """Lines with ``typical``, the length at three quarters of their document's sorted lengths."""
+    doc, size = Window.partitionBy("doc"), F.char_length("text")
+    ranked = lines.withColumns({"__k": F.row_number().over(doc.orderBy(size)) - 1, "__n": F.count("*").over(doc)})
+    return ranked.withColumn("typical", F.max(F.when(F.col("__k") == F.floor(F.col("__n") * 0.75), size)).over(doc)).drop("__k", "__n")
 
 
 def typical_length(lines: DataFrame) -> DataFrame:
-    """``doc, typical``: the line length at three quarters of the sorted lengths."""
-    sizes = F.sort_array(F.collect_list(F.char_length("text")))
-    return lines.groupBy("doc").agg(sizes.alias("s")).select("doc", F.get("s", F.floor(F.size("s") * 0.75).cast("int")).alias("typical"))
+    """``doc, typical``."""
+    return with_typical(lines).groupBy("doc").agg(F.min("typical").alias("typical"))
 
 
 def relative_lines(lines: DataFrame) -> DataFrame:
     """Lines with ``rel``, their start right of the page's margin, and ``indented``, whether it changes."""
-    placed = lines.join(page_margin(lines), ["doc", "page"]).withColumn("rel", F.round(F.col("x0") - F.col("margin"), 1))
+    placed = with_margin(lines).withColumn("rel", F.round(F.col("x0") - F.col("margin"), 1))
     before = F.lag("rel").over(Window.partitionBy("doc").orderBy("page", "line_no"))
     return placed.withColumn("indented", F.coalesce(F.abs(F.col("rel") - before) > INDENT_MIN, F.lit(False)))
 
@@ -94,7 +112,7 @@ def reflow(lines: DataFrame) -> DataFrame:
     it ended a sentence well short of the measure without an indent change.
     """
     order = Window.partitionBy("doc").orderBy("page", "line_no")
-    placed = relative_lines(lines).join(typical_length(lines), "doc")
+    placed = with_typical(relative_lines(lines))
     before, indented = F.lag("text").over(order), F.lag("indented").over(order)
     closed = ~indented & before.rlike("[.!?][\"')]?$") & (F.char_length(before) < F.col("typical") * SHORT_LINE_SHARE)
     opens = before.isNull() | (F.col("indented") & before.rlike("[.!?][\"')\\]]?$")) | closed
@@ -113,10 +131,10 @@ def prose(lines: DataFrame) -> DataFrame:
 def book_stats(spans: DataFrame) -> DataFrame:
     """One row for each document: pages, kept and dropped ones, body font, paragraphs, characters and
     indent rate (null where the document has no body font)."""
-    lines = body_lines(spans)
+    lines = judged_lines(body_lines(spans))
     pages = spans.groupBy("doc").agg((F.max("page") + 1).cast("bigint").alias("pages"))
-    judged = judged_pages(lines).groupBy("doc").agg(F.count_if(F.col("drop_reason").isNull()).alias("kept"))
-    kept = kept_lines(lines)
+    judged = lines.filter("line_no = 0").groupBy("doc").agg(F.count_if(F.col("drop_reason").isNull()).alias("kept"))
+    kept = lines.filter("drop_reason is null and not is_junk").select("doc", "page", "line_no", "text", "x0")
     text = prose(kept).groupBy("doc").agg(F.count("*").alias("paragraphs"), F.sum(F.char_length("text")).alias("chars"))
     joined = pages.join(body_font(spans), "doc", "left").join(judged, "doc", "left").join(text, "doc", "left").join(indent_rate(kept), "doc", "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
