@@ -5,10 +5,15 @@ a vocabulary; a multinomial logistic regression over the licence families and ``
 probabilities, softened by a temperature that is fitted on examples left out of training, with the
 least probability that keeps the accepted ones of them right (the calibrated unknown class).  A
 prediction counts only if the paragraph also shares enough words with one template of the family.
+Notices are often wrapped, so runs of two to ``MOST_LINES`` neighbouring lines, with no line without a
+word among them, are judged in the same way where no line of theirs counts by itself; these must share
+enough words and pairs, so that words strewn over lines do not count.  The shortest such runs stay,
+the first of those that overlap, and each is named by its first line.
 
 The model is trained on the driver from the templates below, varied by rules; it has a few hundred
 features and is joined as a broadcast table of that fixed size.  Words are exploded and joined within
-one stage, partial sums are made before the shuffle, and only paragraphs with a feature leave it.
+one stage, partial sums are made before the shuffle, and only paragraphs with a feature and lines
+without a word leave it.
 
 Null and empty texts have no paragraphs.  Rows are judged one by one, so repeated rows stay.
 """
@@ -19,12 +24,16 @@ import random
 from functools import lru_cache
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpusloom.llm.common import written
+
 UNKNOWN = "unknown"
 LEAST_SHARED = 0.6  # of the words of a template, stop words aside
+MOST_LINES = 8  # the longest template wrapped after every fourth word
 _EVERY = "\u0000"
+_GAP = "\u0001"  # stands for a line without a word
 
 # Short notices of each licence family, as they are commonly worded.
 TEMPLATES: dict[str, list[str]] = {
@@ -208,40 +217,75 @@ def _line_words(line: Column) -> Column:
 
 def _templates(spark: SparkSession) -> DataFrame:
     """Families with the words of their templates: one small row each."""
-    rows = [(family, [sorted(set(_words(t)) - _STOP) for t in texts]) for family, texts in TEMPLATES.items()]
-    return spark.createDataFrame(rows, "of string, templates array<array<string>>")
+    rows = [(family, [sorted(set(_words(t)) - _STOP) for t in texts], [sorted(set(features(_words(t)))) for t in texts]) for family, texts in TEMPLATES.items()]
+    return spark.createDataFrame(rows, "of string, templates array<array<string>>, wholes array<array<string>>")
+
+
+def _judged(sums: DataFrame, fitted: Model, found: str, templates: str) -> DataFrame:
+    """``family``, ``score`` and ``sure`` beside the columns of ``sums`` (class sums s0.., and a set of features)."""
+    k = len(fitted.labels)
+    z = F.array(*[(F.col(f"s{i}") + float(fitted.bias[i])) / fitted.temperature for i in range(k)])
+    scored = sums.withColumn("z", z).withColumn("top", F.array_max("z"))
+    total = F.aggregate("z", F.lit(0.0), lambda a, v: a + F.exp(v - F.col("top")))
+    best = scored.withColumns({"score": 1 / total, "family": F.element_at(F.array(*map(F.lit, fitted.labels)), F.array_position("z", F.col("top")).cast("int"))})
+    best = best.join(F.broadcast(_templates(sums.sparkSession)), F.col("family") == F.col("of"), "left")
+    shared = F.array_max(F.transform(templates, lambda t: F.size(F.array_intersect(found, t)) / F.size(t)))
+    sure = (F.col("paragraph") > 0) & (F.col("score") >= fitted.floor) & (F.coalesce(shared, F.lit(0.0)) >= LEAST_SHARED)
+    return best.withColumn("sure", sure).drop("z", "top", "of", "templates", "wholes")
 
 
 def licence_paragraphs(docs: DataFrame) -> DataFrame:
     """``row`` (a number of the row), ``doc_id``, ``n_paragraphs`` and each ``paragraph`` (number of its
-    line) with the predicted ``family``, its ``score``, and whether it is ``confirmed``; one row with
-    paragraph 0 for every document."""
+    line) with the predicted ``family``, its ``score``, whether it is ``confirmed``, and ``runs``: the
+    runs of lines from it that are, as structs of last line, family and score; one row with paragraph
+    0 for every document."""
     spark, fitted = docs.sparkSession, model()
     k = len(fitted.labels)
-    weights = [(f, [float(v) for v in w]) for f, w in zip(fitted.vocabulary, fitted.weights, strict=True)] + [(_EVERY, [0.0] * k)]
+    weights = [(f, [float(v) for v in w]) for f, w in zip(fitted.vocabulary, fitted.weights, strict=True)] + [(_EVERY, [0.0] * k), (_GAP, [0.0] * k)]
     table = spark.createDataFrame(weights, "feature string, w array<double>").select(F.col("feature").alias("f"), *[F.col("w")[i].alias(f"w{i}") for i in range(k)])
     lines = F.split(F.coalesce("text", F.lit("")), "\n")
     base = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), lines.alias("lines"))
-    base = base.select("row", "doc_id", F.size(F.filter("lines", lambda x: x.rlike("[A-Za-z0-9]"))).cast("long").alias("n_paragraphs"), F.posexplode(F.concat(F.array(F.lit(_EVERY)), "lines")).alias("paragraph", "line"))
-    split = base.select("row", "doc_id", "n_paragraphs", "paragraph", F.when(F.col("paragraph") == 0, F.array(F.lit(_EVERY))).otherwise(_line_words(F.col("line"))).alias("w"))
-    each = split.select("row", "doc_id", "n_paragraphs", "paragraph", "w", F.posexplode("w").alias("pos", "a"))
-    pair = F.concat_ws(" ", "a", F.get("w", F.col("pos") + 1))
-    grams = each.select("row", "doc_id", "n_paragraphs", "paragraph", F.explode(F.array("a", F.when(F.col("pos") + 1 < F.size("w"), pair))).alias("g"))
+    base = base.withColumn("words", F.transform("lines", _line_words))
+    base = base.select("row", "doc_id", F.size(F.filter("words", lambda x: F.size(x) > 0)).cast("long").alias("n_paragraphs"), "words", F.posexplode(F.concat(F.array(F.array(F.lit(_EVERY))), "words")).alias("paragraph", "w"))
+    after = F.when(F.col("paragraph") > 0, F.get(F.get("words", F.col("paragraph")), F.lit(0)))
+    split = base.select("row", "doc_id", "n_paragraphs", "paragraph", F.when(F.size("w") > 0, F.col("w")).otherwise(F.array(F.lit(_GAP))).alias("w"), after.alias("after"))
+    each = split.select("row", "doc_id", "n_paragraphs", "paragraph", "w", "after", F.posexplode("w").alias("pos", "a"))
+    inside = F.col("pos") + 1 < F.size("w")
+    pair = F.concat_ws(" ", "a", F.when(inside, F.get("w", F.col("pos") + 1)).otherwise(F.col("after")))
+    part = lambda g, over: F.struct(g.alias("g"), over.alias("over"))
+    grams = each.select("row", "doc_id", "n_paragraphs", "paragraph", F.inline(F.array(part(F.col("a"), F.lit(False)), part(F.when(inside | F.col("after").isNotNull(), pair), ~inside))))
     met = grams.join(F.broadcast(table), F.col("g") == F.col("f"))
-    sums = met.groupBy("row", "doc_id", "n_paragraphs", "paragraph").agg(*[F.sum(f"w{i}").alias(f"s{i}") for i in range(k)], F.collect_set("g").alias("found"))
-    z = F.array(*[(F.col(f"s{i}") + float(fitted.bias[i])) / fitted.temperature for i in range(k)])
-    scored = sums.select("row", "doc_id", "n_paragraphs", "paragraph", "found", z.alias("z")).withColumn("top", F.array_max("z"))
-    total = F.aggregate("z", F.lit(0.0), lambda a, v: a + F.exp(v - F.col("top")))
-    best = scored.select("row", "doc_id", "n_paragraphs", "paragraph", "found", (1 / total).alias("score"), F.element_at(F.array(*map(F.lit, fitted.labels)), F.array_position("z", F.col("top")).cast("int")).alias("family"))
-    best = best.join(F.broadcast(_templates(spark)), F.col("family") == F.col("of"), "left")
-    shared = F.array_max(F.transform("templates", lambda t: F.size(F.array_intersect("found", t)) / F.size(t)))
-    sure = (F.col("paragraph") > 0) & (F.col("score") >= fitted.floor) & (F.coalesce(shared, F.lit(0.0)) >= LEAST_SHARED)
-    return best.select("row", "doc_id", "n_paragraphs", "paragraph", "family", "score", sure.alias("confirmed"))
+    own, over = F.when(~F.col("over"), F.col("g")), F.when(F.col("over"), F.col("g"))
+    weight = lambda i, kind: F.coalesce(F.sum(F.when(kind.isNotNull(), F.col(f"w{i}"))), F.lit(0.0))
+    sums = met.groupBy("row", "doc_id", "n_paragraphs", "paragraph").agg(
+        *[weight(i, own).alias(f"s{i}") for i in range(k)], *[weight(i, over).alias(f"o{i}") for i in range(k)],
+        F.collect_set(own).alias("found"), F.collect_set(over).alias("across"), F.max(F.col("g") == _GAP).alias("gap"),
+    )
+    best = written(_judged(sums, fitted, "found", "templates"), "licence-lines")  # once, as rows are numbered here
+    to = lambda n: Window.partitionBy("row").orderBy("paragraph").rangeBetween(0, n)
+    ahead = to(MOST_LINES - 1)
+    near = F.struct("paragraph", "found", "across", "gap", "sure", F.array(*[f"s{i}" for i in range(k)]).alias("s"), F.array(*[f"o{i}" for i in range(k)]).alias("o"))
+    starts = best.withColumn("near", F.collect_list(near).over(ahead)).filter("paragraph > 0 and not gap and not sure and size(near) > 1")
+    stop = F.array_min(F.transform(F.filter("near", lambda x: x["gap"] | x["sure"]), lambda x: x["paragraph"]))
+    starts = starts.withColumn("near", F.filter("near", lambda x: stop.isNull() | (x["paragraph"] < stop))).filter("size(near) > 1")
+    tries = starts.select("row", "paragraph", "near", F.explode(F.sequence(F.lit(2), F.size("near"))).alias("n"))
+    some, head = F.slice("near", 1, F.col("n")), F.slice("near", 1, F.col("n") - 1)
+    last = F.element_at("near", F.col("n"))["paragraph"]
+    both = F.array_distinct(F.concat(F.flatten(F.transform(some, lambda x: x["found"])), F.flatten(F.transform(head, lambda x: x["across"]))))
+    add = lambda of, name, i: F.aggregate(of, F.lit(0.0), lambda a, x: a + x[name][i])
+    runs = tries.select("row", "paragraph", last.alias("last"), both.alias("both"), *[(add(some, "s", i) + add(head, "o", i)).alias(f"s{i}") for i in range(k)])
+    runs = _judged(runs, fitted, "both", "wholes").filter("sure").groupBy("row", "paragraph").agg(F.collect_list(F.struct("last", "family", "score")).alias("runs"))
+    return best.select("row", "doc_id", "n_paragraphs", "paragraph", "family", "score", F.col("sure").alias("confirmed")).join(runs, ["row", "paragraph"], "left")
 
 
 def license_scan(docs: DataFrame) -> DataFrame:
     """``doc_id, n_paragraphs, n_licensed``, ``families`` (sorted, distinct) and ``found``, the confirmed
     paragraphs as structs of paragraph, family and score, of every document."""
     hit = F.when(F.col("confirmed"), F.struct("paragraph", "family", F.round("score", 6).alias("score")))
-    per = licence_paragraphs(docs.select("doc_id", "text")).groupBy("row", "doc_id", "n_paragraphs").agg(F.array_sort(F.collect_list(hit)).alias("found"))
+    run = F.transform("runs", lambda r: F.struct((r["last"] - F.col("paragraph")).alias("more"), F.col("paragraph"), r["last"].alias("last"), r["family"].alias("family"), F.round(r["score"], 6).alias("score")))
+    per = licence_paragraphs(docs.select("doc_id", "text")).groupBy("row", "doc_id", "n_paragraphs").agg(F.collect_list(hit).alias("lines"), F.array_sort(F.flatten(F.collect_list(run))).alias("runs"))
+    apart = lambda kept, r: ~F.exists(kept, lambda o: (o["paragraph"] <= r["last"]) & (r["paragraph"] <= o["last"]))
+    kept = F.aggregate("runs", F.slice("runs", 1, 0), lambda kept, r: F.when(apart(kept, r), F.concat(kept, F.array(r))).otherwise(kept))
+    found = F.array_sort(F.concat("lines", F.transform(kept, lambda r: F.struct(r["paragraph"].alias("paragraph"), r["family"].alias("family"), r["score"].alias("score")))))
+    per = per.withColumn("found", found)
     return per.select("doc_id", "n_paragraphs", F.size("found").cast("long").alias("n_licensed"), F.array_sort(F.array_distinct(F.transform("found", lambda f: f["family"]))).alias("families"), "found")
