@@ -4,7 +4,7 @@ The field scores whole segments of one to ``MAX_TOKENS`` tokens under one of the
 token as ordinary text) by features of the whole span: shape, digits, separators, checksum, octets,
 border characters and the words before it.  It is trained by gradient ascent on the log likelihood of
 generated sentences (``examples``).  A text is cut into regions around tokens that hold a digit, an
-at sign or a spelled-out one; within a region a forward-backward pass over segments gives each
+at sign or a spelled-out one, long regions in windows that overlap; within a region a forward-backward pass over segments gives each
 segment its posterior, and a Viterbi pass with segments of bounded length chooses borders and kinds
 together.  Spans whose posterior is under ``LEAST`` or that touch a base span are not added.
 
@@ -28,7 +28,9 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = ("", "email", "ip", "card", "phone", "iban", "ssn")  # "" is ordinary text
 ORDER = {k: i for i, k in enumerate(KINDS)}
 MAX_TOKENS = 9
-MAX_REGION = 400  # tokens of a region; longer ones are cut between tokens
+MAX_REGION = 400  # tokens that are judged at once; longer regions are judged in windows
+MARGIN = 2 * MAX_TOKENS + 2  # tokens at the border of a window that are left to its neighbour
+MAX_TOKEN = 120  # characters; longer tokens are split
 LEAST = 0.95
 BUCKETS = 1 << 14
 
@@ -225,7 +227,7 @@ class Field:
     def spans(self, text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
         """Spans that the field adds to the base ones."""
         found = []
-        for region in regions(text, taken):
+        for region, low, high in windows(regions(text, taken)):
             segments = self.segments(text, region)
             scores = self.scores(segments)
             chosen = [c for c in self.viterbi(len(region), scores) if c[2]]
@@ -233,9 +235,11 @@ class Field:
                 continue
             _, posterior = self.forward_backward(len(region), scores)
             for i, j, k in chosen:
+                if not low <= i < high:
+                    continue
                 a = region[i][0] + core(text[slice(*region[i])])[0]
                 b = region[j - 1][0] + core(text[slice(*region[j - 1])])[1]
-                if a < b and posterior[i, j][k] >= LEAST and not any(s < b and a < e for s, e, _ in taken):
+                if a < b and posterior[i, j][k] >= LEAST and not any(s < b and a < e for s, e, _ in taken) and (not found or found[-1][1] <= a):
                     found.append((a, b, KINDS[k]))
         return found
 
@@ -266,9 +270,35 @@ def regions(text: str, taken: list[tuple[int, int, str]] = ()) -> Iterator[list[
         spans = [(m.start(), m.end()) for m in _token.finditer(text, a, min(len(text), b))]
         if spans and spans[-1][1] == b:
             spans[-1] = (spans[-1][0], (_token.match(text, spans[-1][0])).end())
-        spans = [s for s in spans if s[1] - s[0] <= 120]
-        for at in range(0, len(spans), MAX_REGION):
-            yield spans[at : at + MAX_REGION]
+        yield [piece for s in spans for piece in pieces(text, *s)]
+
+
+_part = re.compile(r"[^,;|&=?/<>{}\"']*[,;|&=?/<>{}\"']|[^,;|&=?/<>{}\"']+").finditer
+_run = re.compile(r"[\W_]*[^\W_]+").finditer
+
+
+def pieces(text: str, a: int, b: int) -> list[tuple[int, int]]:
+    """Borders of a token or, if it is long, of its parts: cut after separators and, where that is not
+    enough, between letters and digits and whatever else.  A run of more than ``MAX_TOKEN`` letters
+    and digits alone has no border within and goes."""
+    if b - a <= MAX_TOKEN:
+        return [(a, b)]
+    parts = [(m.start(), m.end()) for m in _part(text, a, b)]
+    fine = [s for p in parts for s in ([p] if p[1] - p[0] <= MAX_TOKEN else [(m.start(), m.end()) for m in _run(text, *p)])]
+    return [s for s in fine if s[1] - s[0] <= MAX_TOKEN]
+
+
+def windows(found: Iterator[list[tuple[int, int]]]) -> Iterator[tuple[list[tuple[int, int]], int, int]]:
+    """Tokens of each region, in overlapping windows if it is long, with the first token and the one
+    after the last at which a span of the window counts: each token of a region counts once."""
+    for region in found:
+        at = 0
+        while True:
+            last = at + MAX_REGION >= len(region)
+            yield region[at : at + MAX_REGION], MARGIN if at else 0, MAX_REGION if last else MAX_REGION - MARGIN
+            if last:
+                break
+            at += MAX_REGION - 2 * MARGIN
 
 
 def examples(count: int = 1200, seed: int = 5) -> list[tuple[str, list[tuple[int, int]], dict[tuple[int, int], int]]]:
