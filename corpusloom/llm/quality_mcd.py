@@ -7,8 +7,9 @@ moments (plain sums), and again; of two deterministic starts the one with the sm
 stays.  The covariance is scaled to the chi-square median, re-estimated on the rows inside, and a
 text is rejected when its squared Mahalanobis distance passes the ``CUTOFF`` quantile.
 
-Only rows that pass the base rules take part in the estimate.  ``LEAST_SPREAD`` is added to each
-variance, so that a statistic that is nearly constant in a group does not reject its first exception.
+Only rows that pass the base rules take part in the estimate.  A variance under ``LEAST_SPREAD``
+is raised to it, so that a statistic that is nearly constant in a group does not reject its first
+exception; others stay as they are.
 Sources of fewer than ``LEAST_ROWS`` such rows in a language are taken together as one group; where
 even that is smaller there is no verdict, and its rows that pass the base stay.
 Null languages and sources form groups of their own; null and empty texts have no words and fail the
@@ -31,9 +32,9 @@ from corpusloom.llm.common import written
 
 CORE = 0.75
 STEPS = 4
-CUTOFF = 0.99999
+CUTOFF = 0.999
 LEAST_ROWS = 40
-LEAST_SPREAD = (0.0144, 0.25, 0.09, 0.09, 0.01, 0.01)
+LEAST_SPREAD = (0.0036, 0.04, 0.01, 0.01, 0.0025, 0.0025)
 SYMBOLS = b"#*$%&|<>"  # fixed by the contract
 P = len(LEAST_SPREAD)
 FEATURES = [f"x{i}" for i in range(P)]
@@ -143,7 +144,7 @@ def _fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for i in range(P):
                 for j in range(i, P):
                     cov[i, j] = cov[j, i] = getattr(r, f"q{i}_{j}") / r.n - mean[i] * mean[j]
-            cov += np.diag(LEAST_SPREAD)
+            cov[np.diag_indices(P)] = np.maximum(cov.diagonal(), LEAST_SPREAD)
             inv = np.linalg.inv(cov)
             out.append((r.lang, r.source, r.start, float(np.linalg.slogdet(cov)[1]), 1.0, *mean, *(inv[i, j] for i in range(P) for j in range(i, P))))
         yield pd.DataFrame(out, columns=names)
@@ -163,7 +164,7 @@ def mcd(stats: DataFrame) -> DataFrame:
     rows = stats.select(*key, *FEATURES)
     spread = rows.groupBy(*key).agg(F.count("*").alias("n"), *[F.percentile_approx(x, [0.25, 0.5, 0.75], 1000).alias(f"k{i}") for i, x in enumerate(FEATURES)]).filter(F.col("n") >= LEAST_ROWS)
     robust = [F.col(f"k{i}")[1].alias(f"m{i}") for i in range(P)]
-    diag = lambda width: [F.lit(0.0).alias(f"v{i}_{j}") if i != j else (1.0 / (width(i) + LEAST_SPREAD[i])).alias(f"v{i}_{j}") for i in range(P) for j in range(i, P)]
+    diag = lambda width: [F.lit(0.0).alias(f"v{i}_{j}") if i != j else (1.0 / F.greatest(width(i), F.lit(LEAST_SPREAD[i]))).alias(f"v{i}_{j}") for i in range(P) for j in range(i, P)]
     first = spread.select(*key, F.lit(0).alias("start"), F.lit(0.0).alias("logdet"), F.lit(1.0).alias("scale"), *robust, *diag(lambda i: F.pow((F.col(f"k{i}")[2] - F.col(f"k{i}")[0]) / 1.35, 2)))
     second = spread.select(*key, F.lit(1).alias("start"), F.lit(0.0).alias("logdet"), F.lit(1.0).alias("scale"), *robust, *diag(lambda i: F.lit(0.0)))
     fixed = lambda frame: written(frame, "quality-params")
