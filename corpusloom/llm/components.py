@@ -42,3 +42,13 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         raise RuntimeError("components have not settled")
     roots = now.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("root"))
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
+
+
+def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``node, root`` after further ``a, b`` links: only the graph of the roots that they touch is solved."""
+    at = roots.select("node", "root")
+    lifted = links.join(at.toDF("a", "ra"), "a", "left").join(at.toDF("b", "rb"), "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+    over = written(connected_components(lifted).toDF("root", "over"), "links-over")
+    again = roots.join(over, "root", "left").select("node", F.coalesce("over", "root").alias("root"))
+    alone = over.select(F.col("root").alias("node"), F.col("over").alias("root")).join(at.select("node"), "node", "left_anti")
+    return again.unionByName(alone)
