@@ -17,10 +17,12 @@ _own_dir: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one only where the session names none (tests)."""
+    """The folder all executors share; a temporary one only in a local session that names none (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_dir:
         _own_dir[app] = "file://" + tempfile.mkdtemp(prefix="corpusloom-")
