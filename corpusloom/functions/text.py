@@ -1,19 +1,22 @@
 """Column functions over texts: cleaning, tests and counts, all as built-in expressions.
 
-Regular expressions follow Unicode word and space classes (``(?U)``) and line feeds alone (``(?d)``).
+White space is listed character by character, so no expression needs the slow Unicode classes; steps
+that need a rare pattern first look for a literal part of it.
 """
 
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-SPACE = r"\s\x1c-\x1f"
+# The characters that count as white space.
+BLANKS = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # the same in a character class
 
 # Thresholds and phrases of the chunk and page rules.
 MIN_CHUNK_WORDS = 80
@@ -27,24 +30,35 @@ ROMAN = "M{0,3}(?:CM|CD|D?C{0,3})(?:XC|XL|L?X{0,3})(?:IX|IV|V?I{0,3})"
 
 def strip(c: Column) -> Column:
     """Without white space at both ends, in the Unicode sense."""
-    return F.regexp_replace(c, rf"(?U)^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
+def bound(c: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a column that is evaluated once, however often ``f`` uses it."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
+def _where(part: str, changed: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    """``changed`` texts that hold a literal part, the others as they are."""
+    return lambda x: F.when(F.contains(x, F.lit(part)), changed(x)).otherwise(x)
+
+
+# The patterns of the cleaning steps below.
 def blanks_to_one(c: Column) -> Column:
-    return F.regexp_replace(c, "[ \\t]+", " ")
+    return F.regexp_replace(c, "[ \\t]{2,}|\\t", " ")
 
 
 def join_hyphens(c: Column) -> Column:
     """Words that a hyphen breaks over two lines."""
-    return F.regexp_replace(c, r"(?U)(\w)-\n(\w)", "$1$2")
+    return bound(c, _where("-\n", lambda x: F.regexp_replace(x, r"(?U)(\w)-\n(\w)", "$1$2")))
 
 
 def unwrap_lines(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?<!\n)\n(?!\n)", " ")
+    return bound(c, _where("\n", lambda x: F.regexp_replace(x, r"\n(?!\n)(?<!\n\n)", " ")))
 
 
 def limit_blank_lines(c: Column) -> Column:
-    return F.regexp_replace(c, r"\n{3,}", "\n\n")
+    return bound(c, _where("\n\n\n", lambda x: F.regexp_replace(x, r"\n{3,}", "\n\n")))
 
 
 def clean_text(c: Column) -> Column:
@@ -59,18 +73,19 @@ def _nfkc(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def normalize(c: Column) -> Column:
-    """Compatibility form, plain quotes and dashes, single blanks.  ASCII text skips the Python step."""
-    form = F.when(c.rlike(r"[^\x00-\x7F]"), _nfkc(c)).otherwise(c)
+    """Compatibility form, plain quotes and dashes, single blanks.  Only texts beyond ASCII go to the
+    Python step; for the others it gets a null."""
+    form = F.coalesce(_nfkc(F.when(F.octet_length(c) != F.char_length(c), c)), c)
     plain = F.replace(F.translate(form, "‘’“”–", "''\"\"-"), F.lit("—"), F.lit("--"))
     return blanks_to_one(plain)
 
 
 def word_count(c: Column) -> Column:
-    return F.regexp_count(c, F.lit(rf"(?U)[^{SPACE}]+")).cast("int")
+    return F.regexp_count(c, F.lit(rf"[^{SPACE}]+")).cast("int")
 
 
 def letter_count(c: Column) -> Column:
-    return F.regexp_count(c, F.lit("[A-Za-z]"))
+    return F.octet_length(F.regexp_replace(c, "[^A-Za-z]+", ""))
 
 
 def digit_count(c: Column) -> Column:
@@ -78,14 +93,19 @@ def digit_count(c: Column) -> Column:
 
 
 def reject_reason(c: Column) -> Column:
-    """Why a chunk is no learning material; null if it may stay.  Cheap tests come first."""
-    text = strip(c)
-    words, upper = word_count(text), F.upper(text)
-    reason = F.when(c.isNull() | (c == ""), "empty").when(words < MIN_CHUNK_WORDS, "short")
-    for phrase in BANNED_PHRASES:
-        reason = reason.when(F.contains(upper, F.lit(phrase)), phrase.lower())
-    reason = reason.when(F.contains(upper, F.lit(TITLE_PHRASE)) & (words < SHORT_TITLE_WORDS), "title page")
-    return reason.when(letter_count(text) == 0, "no letters").when(digit_count(text) > letter_count(text), "numeric")
+    """Why a chunk is no learning material; null if it may stay.  The stripped text, its words and its
+    upper case are made once; cheap tests come first."""
+
+    def reason(s: Column) -> Column:
+        text, words, upper = s["text"], s["words"], s["upper"]
+        found = F.when(words < MIN_CHUNK_WORDS, "short")
+        for phrase in BANNED_PHRASES:
+            found = found.when(F.contains(upper, F.lit(phrase)), phrase.lower())
+        found = found.when(F.contains(upper, F.lit(TITLE_PHRASE)) & (words < SHORT_TITLE_WORDS), "title page")
+        return found.when(~text.rlike("[A-Za-z]"), "no letters").when(digit_count(text) > letter_count(text), "numeric")
+
+    parts = lambda t: F.struct(t.alias("text"), word_count(t).alias("words"), F.upper(t).alias("upper"))
+    return F.when(c.isNull() | (c == ""), "empty").otherwise(bound(bound(strip(c), parts), reason))
 
 
 def is_valid_chunk(c: Column) -> Column:
@@ -94,10 +114,11 @@ def is_valid_chunk(c: Column) -> Column:
 
 def is_junk_line(c: Column) -> Column:
     """Page numbers, contents entries, index entries and lines of mostly digits."""
-    number_only = c.rlike(rf"(?U)^[\divxlcDIVXLC.\-–—{SPACE}]+$")
+    # The patterns of such lines.
+    number_only = c.rlike(rf"^[\p{{Nd}}ivxlcDIVXLC.\-–—{SPACE}]+$")
     dotted = F.contains(c, F.lit("...."))
-    entry = c.rlike(rf"(?U)^[A-Z][^.!?]{{0,60}},(?:[{SPACE}]*+\d++[\-–—]?\d*+,?)+[{SPACE}]*$")
-    share = F.when(F.char_length(c) > 0, F.regexp_count(c, F.lit(r"\p{Nd}")) / F.char_length(c)).otherwise(0.0)
+    entry = F.contains(c, F.lit(",")) & c.rlike(rf"^[A-Z][^.!?]{{0,60}},(?:[{SPACE}]*+\p{{Nd}}++[\-–—]?\p{{Nd}}*+,?)+[{SPACE}]*$")
+    share = F.when(F.char_length(c) > 0, digit_count(c) / F.char_length(c)).otherwise(0.0)
     return number_only | dotted | entry | (share > JUNK_DIGIT_SHARE)
 
 
@@ -109,14 +130,15 @@ def is_matter(lines: Column) -> Column:
 
 def clean_paragraph(c: Column) -> Column:
     """One line, without footnote marks after letters or stops and without blanks before punctuation."""
-    one = strip(F.regexp_replace(c, rf"(?U)[{SPACE}]+", " "))
-    unmarked = F.regexp_replace(one, rf"(?U)(?<=[a-z.,)])\d{{1,3}}(?=[{SPACE}]|$)", "")
-    return strip(F.regexp_replace(unmarked, rf"(?U)[{SPACE}]+([,.;:!?])", "$1"))
+    # The patterns of such marks and blanks.
+    one = strip(F.regexp_replace(c, rf"[{SPACE}]{{2,}}|[{SPACE}&&[^ ]]", " "))
+    unmarked = F.regexp_replace(one, rf"(?<=[a-z.,)])\p{{Nd}}{{1,3}}(?=[{SPACE}]|$)", "")
+    return strip(F.regexp_replace(unmarked, rf"[{SPACE}]+([,.;:!?])", "$1"))
 
 
 def paragraphs(c: Column) -> Column:
     """Parts between blank lines, stripped, without empty ones."""
-    parts = F.split(c, rf"(?U)\n[{SPACE}]*\n")
+    parts = F.split(c, rf"\n[{SPACE}]*\n")
     return F.filter(F.transform(parts, strip), lambda p: p != "")
 
 

@@ -1,7 +1,8 @@
 """Body text from page layout: ``layout_span(doc, page, block, line, span, size, x0, text)``.
 
-All steps are windows and aggregations keyed by ``doc`` first, so the one exchange by ``doc`` in
-``body_lines`` carries from the spans to the paragraphs.
+Spans are dealt by ``doc`` once; what follows are windows and aggregations whose keys begin with ``doc``,
+so no step exchanges rows again.  ``by`` names further columns that set rows apart, so that one pass can
+hold lines of several kinds.
 """
 
 from __future__ import annotations
@@ -30,18 +31,32 @@ def body_font(spans: DataFrame, sample_pages: int = SAMPLE_PAGES) -> DataFrame:
     return weights.groupBy("doc").agg(F.min_by("size", F.struct((-F.col("w")).alias("w"), "first")).alias("body_font"))
 
 
+def book_lines(spans: DataFrame, sample_pages: int = SAMPLE_PAGES) -> DataFrame:
+    """All lines with the ``pages`` and ``body_font`` of their document: ``is_line`` tells those with text
+    of body size, which have a ``line_no`` in reading order, ``text`` and ``x0``."""
+    doc = Window.partitionBy("doc")
+    size = spans.repartition("doc").withColumns({"size1": F.round("size", 1), "n": F.char_length(T.strip(F.col("text"))), "pages": F.max("page").over(doc) + 1})
+    sampled = (F.pmod(F.col("page"), F.greatest(F.lit(1), F.floor(F.col("pages") / sample_pages))) == 0) & (F.col("n") > 0)
+    alike, place = Window.partitionBy("doc", "size1"), F.struct("page", "block", "line", "span")
+    weighed = size.withColumns({"w": F.sum(F.when(sampled, F.col("n"))).over(alike), "first": F.min(F.when(sampled, place)).over(alike)})
+    rank = F.when(F.col("w").isNotNull(), F.struct((-F.col("w")).alias("w"), "first"))
+    near = F.abs(F.col("size") - F.col("body_font")) <= SIZE_TOLERANCE
+    fonts = weighed.withColumn("body_font", F.min_by("size1", rank).over(doc)).withColumn("near", F.coalesce(near, F.lit(False)))
+    parts = F.array_sort(F.collect_list(F.when(F.col("near"), F.struct("span", "text"))))
+    joined = fonts.groupBy("doc", "page", "block", "line").agg(F.first("pages").alias("pages"), F.first("body_font").alias("body_font"), F.array_join(F.transform(parts, lambda s: s["text"]), "").alias("text"), F.min(F.when(F.col("near"), F.col("x0"))).alias("x0"))
+    clean = joined.withColumns({"text": T.strip(T.normalize(F.col("text"))), "x0": F.round("x0", 1)}).withColumn("is_line", F.col("text") != "")
+    order = Window.partitionBy("doc", "page", "is_line").orderBy("block", "line")
+    return clean.withColumn("line_no", F.when(F.col("is_line"), F.row_number().over(order) - 1))
+
+
 def body_lines(spans: DataFrame) -> DataFrame:
     """``doc, page, line_no, text, x0``: lines of body-sized spans, in reading order."""
-    spans = spans.repartition("doc")
-    near = spans.join(body_font(spans), "doc").filter(F.abs(F.col("size") - F.col("body_font")) <= SIZE_TOLERANCE)
-    joined = near.groupBy("doc", "page", "block", "line").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("span", "text"))), lambda s: s["text"]), "").alias("text"), F.min("x0").alias("x0"))
-    clean = joined.withColumn("text", T.strip(T.normalize(F.col("text")))).filter("text <> ''")
-    return clean.select("doc", "page", (F.row_number().over(Window.partitionBy("doc", "page").orderBy("block", "line")) - 1).alias("line_no"), "text", F.round("x0", 1).alias("x0"))
+    return book_lines(spans).filter("is_line").select("doc", "page", "line_no", "text", "x0")
 
 
-def judged_lines(lines: DataFrame) -> DataFrame:
+def judged_lines(lines: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Lines with ``is_junk`` and, of their page, ``lines``, ``junk`` and ``drop_reason``."""
-    page = Window.partitionBy("doc", "page")
+    page = Window.partitionBy("doc", "page", *by)
     marked = lines.withColumn("is_junk", T.is_junk_line(F.col("text")))
     head = F.array_compact(F.array(*[F.max(F.when(F.col("line_no") == k, F.col("text"))).over(page) for k in range(3)]))
     counted = marked.withColumns({"lines": F.count("*").over(page), "junk": F.sum(F.col("is_junk").cast("bigint")).over(page), "__head": head})
@@ -59,10 +74,10 @@ def kept_lines(lines: DataFrame) -> DataFrame:
     return judged_lines(lines).filter("drop_reason is null and not is_junk").select(*lines.columns)
 
 
-def with_margin(lines: DataFrame) -> DataFrame:
+def with_margin(lines: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Lines with ``margin``, the leftmost start that a fifth of their page's lines (at least two) share."""
-    page = Window.partitionBy("doc", "page")
-    counted = lines.withColumns({"__n": F.count("*").over(Window.partitionBy("doc", "page", "x0")), "__all": F.count("*").over(page)})
+    page = Window.partitionBy("doc", "page", *by)
+    counted = lines.withColumns({"__n": F.count("*").over(Window.partitionBy("doc", "page", *by, "x0")), "__all": F.count("*").over(page)})
     common = F.when(F.col("__n") >= F.greatest(F.lit(2.0), F.col("__all") * 0.2), F.col("x0"))
     return counted.withColumn("margin", F.coalesce(F.min(common).over(page), F.min("x0").over(page))).drop("__n", "__all")
 
@@ -72,9 +87,9 @@ def page_margin(lines: DataFrame) -> DataFrame:
     return with_margin(lines).groupBy("doc", "page").agg(F.min("margin").alias("margin"))
 
 
-def with_typical(lines: DataFrame) -> DataFrame:
+def with_typical(lines: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Lines with ``typical``, the length at three quarters of their document's sorted lengths."""
-    doc, size = Window.partitionBy("doc"), F.char_length("text")
+    doc, size = Window.partitionBy("doc", *by), F.char_length("text")
     ranked = lines.withColumns({"__k": F.row_number().over(doc.orderBy(size)) - 1, "__n": F.count("*").over(doc)})
     return ranked.withColumn("typical", F.max(F.when(F.col("__k") == F.floor(F.col("__n") * 0.75), size)).over(doc)).drop("__k", "__n")
 
@@ -84,10 +99,10 @@ def typical_length(lines: DataFrame) -> DataFrame:
     return with_typical(lines).groupBy("doc").agg(F.min("typical").alias("typical"))
 
 
-def relative_lines(lines: DataFrame) -> DataFrame:
+def relative_lines(lines: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Lines with ``rel``, their start right of the page's margin, and ``indented``, whether it changes."""
-    placed = with_margin(lines).withColumn("rel", F.round(F.col("x0") - F.col("margin"), 1))
-    before = F.lag("rel").over(Window.partitionBy("doc").orderBy("page", "line_no"))
+    placed = with_margin(lines, by).withColumn("rel", F.round(F.col("x0") - F.col("margin"), 1))
+    before = F.lag("rel").over(Window.partitionBy("doc", *by).orderBy("page", "line_no"))
     return placed.withColumn("indented", F.coalesce(F.abs(F.col("rel") - before) > INDENT_MIN, F.lit(False)))
 
 
@@ -105,38 +120,51 @@ def _glue(parts: Column) -> Column:
     return F.aggregate(parts, F.lit(""), add)
 
 
-def reflow(lines: DataFrame) -> DataFrame:
-    """``doc, para_no, text``: lines joined to paragraphs across pages.
+def numbered_lines(lines: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Lines with ``para_no``, the paragraph that they belong to across pages.
 
     A line opens a paragraph if its indent changes after the end of a sentence, or if the line before
     it ended a sentence well short of the measure without an indent change.
     """
-    order = Window.partitionBy("doc").orderBy("page", "line_no")
-    placed = with_typical(relative_lines(lines))
+    order = Window.partitionBy("doc", *by).orderBy("page", "line_no")
+    placed = with_typical(relative_lines(lines, by), by)
     before, indented = F.lag("text").over(order), F.lag("indented").over(order)
     closed = ~indented & before.rlike("[.!?][\"')]?$") & (F.char_length(before) < F.col("typical") * SHORT_LINE_SHARE)
     opens = before.isNull() | (F.col("indented") & before.rlike("[.!?][\"')\\]]?$")) | closed
     marked = placed.withColumn("opens", F.coalesce(opens, F.lit(False)).cast("int"))
-    numbered = marked.withColumn("para_no", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)).cast("int"))
-    parts = F.transform(F.array_sort(F.collect_list(F.struct("page", "line_no", "text"))), lambda s: s["text"])
-    return numbered.groupBy("doc", "para_no").agg(_glue(parts).alias("text"))
+    return marked.withColumn("para_no", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)).cast("int"))
+
+
+def _paragraph() -> Column:
+    return _glue(F.transform(F.array_sort(F.collect_list(F.struct("page", "line_no", "text"))), lambda s: s["text"]))
+
+
+def reflow(lines: DataFrame) -> DataFrame:
+    """``doc, para_no, text``: lines joined to paragraphs."""
+    return numbered_lines(lines).groupBy("doc", "para_no").agg(_paragraph().alias("text"))
+
+
+def is_prose(text: Column) -> Column:
+    return (F.char_length(text) >= MIN_PARAGRAPH_CHARS) & text.rlike("[a-z]{3}")
 
 
 def prose(lines: DataFrame) -> DataFrame:
     """``doc, para_no, text``: cleaned paragraphs that are long enough and hold words."""
-    clean = reflow(lines).withColumn("text", T.clean_paragraph(F.col("text")))
-    return clean.filter((F.char_length("text") >= MIN_PARAGRAPH_CHARS) & F.col("text").rlike("[a-z]{3}"))
+    return reflow(lines).withColumn("text", T.clean_paragraph(F.col("text"))).filter(is_prose(F.col("text")))
 
 
 def book_stats(spans: DataFrame) -> DataFrame:
     """One row for each document: pages, kept and dropped ones, body font, paragraphs, characters and
-    indent rate (null where the document has no body font)."""
-    lines = judged_lines(body_lines(spans))
-    pages = spans.groupBy("doc").agg((F.max("page") + 1).cast("bigint").alias("pages"))
-    judged = lines.filter("line_no = 0").groupBy("doc").agg(F.count_if(F.col("drop_reason").isNull()).alias("kept"))
-    kept = lines.filter("drop_reason is null and not is_junk").select("doc", "page", "line_no", "text", "x0")
-    text = prose(kept).groupBy("doc").agg(F.count("*").alias("paragraphs"), F.sum(F.char_length("text")).alias("chars"))
-    joined = pages.join(body_font(spans), "doc", "left").join(judged, "doc", "left").join(text, "doc", "left").join(indent_rate(kept), "doc", "left")
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
-    rate = F.when(F.col("body_font").isNotNull(), F.coalesce("indent_rate", F.lit(0.0)))
-    return joined.select("doc", "pages", "body_font", zero("kept").alias("pages_kept"), (F.col("pages") - zero("kept")).alias("pages_dropped"), zero("paragraphs").alias("paragraphs"), zero("chars").alias("chars"), rate.alias("indent_rate"))
+    indent rate (null where the document has no body font).  One pass holds kept lines, other ones and
+    what is no line, each apart."""
+    judged = judged_lines(book_lines(spans), ("is_line",))
+    kept = F.col("is_line") & F.col("drop_reason").isNull() & ~F.col("is_junk")
+    marked = numbered_lines(judged.withColumn("kept", kept), ("kept",))
+    page = F.col("is_line") & (F.col("line_no") == 0) & F.col("drop_reason").isNull()
+    parts = marked.groupBy("doc", "kept", "para_no").agg(F.first("pages").alias("pages"), F.first("body_font").alias("body_font"), F.count_if(page).alias("pages_kept"), F.count_if("indented").alias("indented"), F.count("*").alias("lines"), _paragraph().alias("text"))
+    clean = parts.withColumn("text", F.when(F.col("kept"), T.clean_paragraph(F.col("text")))).withColumn("chars", F.when(is_prose(F.col("text")), F.char_length("text")))
+    own = lambda c: F.sum(F.when(F.col("kept"), F.col(c)).otherwise(0))
+    rate = F.when(F.first("body_font").isNotNull(), F.round(own("indented") / F.greatest(own("lines"), F.lit(1)), 3))
+    big = lambda c: F.coalesce(c, F.lit(0)).cast("bigint")
+    per = clean.groupBy("doc").agg(F.first("pages").cast("bigint").alias("pages"), F.first("body_font").alias("body_font"), big(F.sum("pages_kept")).alias("pages_kept"), big(F.count("chars")).alias("paragraphs"), big(F.sum("chars")).alias("chars"), rate.alias("indent_rate"))
+    return per.select("doc", "pages", "body_font", "pages_kept", (F.col("pages") - F.col("pages_kept")).alias("pages_dropped"), "paragraphs", "chars", "indent_rate")

@@ -6,9 +6,13 @@ number is never taken for text.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from corpusloom.functions import text as T
 
@@ -58,32 +62,37 @@ def record_errors(v: Column) -> Column:
     )
 
 
-@F.udf(StringType(), useArrow=True)
-def _json_error(line: str) -> str | None:
-    """The parser's message for a line that is no JSON."""
-    import json
-
-    try:
-        json.loads(line)
-    except json.JSONDecodeError as e:
-        return e.msg
-    return None
+@F.pandas_udf(StructType([StructField("body", StringType()), StructField("fault", StringType())]))
+def _parsed(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    """The line as strict JSON, of a repeated key the last value alone, or the parser's message.  Numbers
+    keep their kind and not their value, as NaN and huge ones have no strict form."""
+    number = lambda _: 0
+    for part in parts:
+        bodies, faults = [], []
+        for line in part:
+            body = fault = None
+            try:
+                body = json.dumps(json.loads(line, parse_constant=number, parse_int=number, parse_float=number)) if line is not None else None
+            except json.JSONDecodeError as e:
+                fault = e.msg
+            bodies.append(body)
+            faults.append(fault)
+        yield pd.DataFrame({"body": bodies, "fault": faults}, dtype=object)
 
 
 def validated(lines: DataFrame, exact_messages: bool = True) -> DataFrame:
     """``lines`` with ``errors`` joined by ``"; "``; null for a valid record.
 
-    ``exact_messages`` words the fault of a line that is no JSON as Python's parser does, and is as
-    strict as it; without it the test is Spark's parser and no Python runs.
+    ``exact_messages`` takes what Python's parser takes and words its faults as it does; without it the
+    test is Spark's parser, which wants strict JSON without repeated keys, and no Python runs.
     """
     if exact_messages:
-        rows = lines.withColumn("__e", _json_error("value"))
+        rows = lines.withColumn("__j", _parsed("value"))
     else:
-        rows = lines.withColumn("__e", F.when(F.try_parse_json("value").isNull(), F.lit("no JSON")))
-    parsed = rows.withColumn("__v", F.try_parse_json("value"))
-    errors = F.array_join(record_errors(F.col("__v")), "; ")
-    fault = F.when(F.col("__e").isNotNull(), F.concat(F.lit("invalid JSON: "), "__e")).otherwise(F.nullif(errors, F.lit("")))
-    return parsed.withColumn("errors", fault).drop("__e", "__v")
+        rows = lines.withColumn("__j", F.struct(F.col("value").alias("body"), F.when(F.try_parse_json("value").isNull(), F.lit("no JSON")).alias("fault")))
+    errors = T.bound(F.try_parse_json(F.col("__j.body")), lambda v: F.array_join(record_errors(v), "; "))
+    fault = F.when(F.col("__j.fault").isNotNull(), F.concat(F.lit("invalid JSON: "), "__j.fault")).otherwise(F.nullif(errors, F.lit("")))
+    return rows.withColumn("errors", fault).drop("__j")
 
 
 def validation_summary(checked: DataFrame, max_issues: int = 20) -> DataFrame:

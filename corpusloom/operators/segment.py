@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from corpusloom.functions import text as T
 
@@ -78,15 +80,30 @@ def chunks(docs: DataFrame, paragraphs: str, count: Callable[[Column], Column] =
 
 def next_fit(items: DataFrame, group: list[str], order: list[str], size: str, limit: int) -> DataFrame:
     """``items`` with ``shard`` (from 1): a new shard when the next item would pass ``limit``; an item
-    above the limit has a shard of its own.  One fold for each group."""
-    named = F.struct(*[F.col(o) for o in order], F.struct(*[F.col(c) for c in items.columns]).alias("__row"), F.col(size).cast("bigint").alias("__size"))
-    rows = items.groupBy(*group).agg(F.array_sort(F.collect_list(named)).alias("__items"))
-    zero = F.struct(F.array().cast("array<int>").alias("out"), F.lit(1).alias("k"), F.lit(0).cast("bigint").alias("n"), F.lit(True).alias("empty"))
-
-    def fold(s: Column, x: Column) -> Column:
-        opens = ~s["empty"] & (s["n"] + x["__size"] > limit)
-        k = F.when(opens, s["k"] + 1).otherwise(s["k"])
-        return F.struct(F.concat(s["out"], F.array(k)).alias("out"), k.alias("k"), F.when(opens, x["__size"]).otherwise(s["n"] + x["__size"]).alias("n"), F.lit(False).alias("empty"))
-
-    zipped = rows.select(F.explode(F.arrays_zip("__items", F.aggregate("__items", zero, fold, lambda s: s["out"]).alias("__shard"))).alias("z"))
-    return zipped.select("z.__items.__row.*", F.col("z.__shard").alias("shard"))
+    above the limit has a shard of its own.
+
+    A group is sorted within its task and passed through with the open shard as the only state, so no
+    group is held in memory.  Which shard an item falls into depends on all items before it.
+    """
+    at = [items.columns.index(c) for c in group]
+    place = items.columns.index(size)
+    rows = items.repartition(*group).sortWithinPartitions(*group, *order)
+    schema = StructType([*rows.schema, StructField("shard", IntegerType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, shard, held = None, 0, 0
+        for batch in batches:
+            keys = list(zip(*(batch.column(i).to_pylist() for i in at), strict=True))
+            out = []
+            for key, n in zip(keys, batch.column(place).to_pylist(), strict=True):
+                if (key,) != now:
+                    now, shard, held = (key,), 1, 0
+                    first = True
+                n = n or 0
+                if not first and held + n > limit:
+                    shard, held = shard + 1, 0
+                held, first = held + n, False
+                out.append(shard)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int32())], names=schema.names)
+
+    return rows.mapInArrow(run, schema)

@@ -9,22 +9,41 @@ from pyspark.sql import functions as F
 
 BLOCK = 384
 MAX_LENGTH = 192
-CUT_SAMPLE = 4000
+PART_ROWS = 200_000  # rows of a range that are summed in one task
+MOST_PARTS = 4096
 IGNORED = -100  # label of a position that does not count
 
 
-def offsets(sizes: DataFrame, order: str, size: str, parts: int = 64) -> DataFrame:
-    """``sizes`` with ``offset``, the sum of the sizes before a row in ``order``.
+def _borders(rows: DataFrame, order: str, n: int) -> list:
+    """Values that cut ``n`` rows into ranges of about ``PART_ROWS``: quantiles of the values whose hash is
+    below a bound, so they are the same at every evaluation, and about 16 for each range."""
+    parts = min(MOST_PARTS, -(-n // PART_ROWS))
+    if parts < 2:
+        return []
+    drawn = rows.select(order).filter(F.col(order).isNotNull() & (F.pmod(F.xxhash64(order), F.lit(n)) < 16 * parts))
+    values = sorted(r[0] for r in drawn.collect())
+    return sorted({values[k * len(values) // parts] for k in range(1, parts)}) if values else []
 
-    Rows are dealt into ranges of the order; only the total of each range is summed in one place.  The
-    borders come from the ``CUT_SAMPLE`` values with the least hashes, so they are the same at every
-    evaluation; they only balance the ranges.  ``order`` may have any orderable type.
+
+def _range_of(order: str, borders: list) -> Column:
+    """Number of the borders below a value, by blocks of 64 borders and then within one block."""
+    if not borders:
+        return F.lit(0)
+    below = lambda values: F.size(F.filter(values, lambda c: c < F.col(order)))
+    blocks = [borders[k : k + 64] for k in range(0, len(borders), 64)]
+    block = below(F.array(*[F.lit(b[-1]) for b in blocks]))
+    within = below(F.get(F.array(*[F.array(*map(F.lit, b)) for b in blocks]), block))
+    return F.coalesce(block * 64 + F.when(block < len(blocks), within).otherwise(0), F.lit(0))
+
+
+def offsets(sizes: DataFrame, order: str, size: str) -> DataFrame:
+    """``sizes`` with ``offset``, the sum of the sizes before a row in ``order`` (of any orderable type;
+    nulls first, rows of one value in any order).
+
+    Rows are dealt into ranges of the order by their number; only the total of each range is summed in
+    one place.
     """
-    sample = sizes.select(order).filter(F.col(order).isNotNull()).orderBy(F.xxhash64(order), order).limit(CUT_SAMPLE).collect()
-    values = sorted({r[0] for r in sample})
-    ranges = sorted({values[k * len(values) // parts] for k in range(1, parts)}) if values else []
-    part = F.size(F.filter(F.array(*map(F.lit, ranges)), lambda c: c < F.col(order))) if ranges else F.lit(0)
-    dealt = sizes.withColumn("__part", part)
+    dealt = sizes.withColumn("__part", _range_of(order, _borders(sizes, order, sizes.count())))
     totals = dealt.groupBy("__part").agg(F.sum(size).alias("__sum"))
     over = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     before = totals.select("__part", F.coalesce(F.sum("__sum").over(over), F.lit(0)).alias("__before"))
@@ -40,8 +59,7 @@ def pack(docs: DataFrame, order: str, ids: str, end_id: int, block: int = BLOCK)
     Each document is cut at the block borders, so whole pieces and not single ids are shuffled.
     """
     ended = docs.select(order, F.concat(ids, F.array(F.lit(end_id))).alias("__ids")).withColumn("__n", F.size("__ids").cast("bigint"))
-    starts = offsets(ended.select(order, "__n"), order, "__n").select(order, "offset")
-    placed = ended.join(starts, order)
+    placed = offsets(ended, order, "__n")
     first, last = F.expr(f"offset div {block}"), F.expr(f"(offset + __n - 1) div {block}")
     each = placed.select("offset", "__ids", F.explode(F.sequence(first, last)).alias("block_id"))
     low = F.greatest(F.col("block_id") * block - F.col("offset"), F.lit(0))
@@ -80,26 +98,51 @@ def collate(samples: DataFrame, order: str, batch_size: int, pad_id: int) -> Dat
 
 
 def numbered(rows: DataFrame, order: str) -> DataFrame:
-    """``rows`` with ``rank`` from 1 in the order of a column without repeated values."""
+    """``rows`` with ``rank`` from 1 in the order of a column."""
     return offsets(rows.withColumn("__one", F.lit(1)), order, "__one").withColumn("rank", F.col("offset") + 1).drop("__one", "offset")
 
 
+def _shared_prefix(marked: DataFrame, take: int) -> str:
+    """The least prefix of hashes at which ``take`` rows lie at or below it, two digits at a time: counts
+    of 256 prefixes, then of those of the prefix in which the bound lies, while it holds many rows."""
+    known, left = "", take
+    while True:
+        width = len(known) + 2
+        inside = marked.filter(F.startswith("__h", F.lit(known))) if known else marked
+        counts = sorted((r[0], r[1]) for r in inside.groupBy(F.substring("__h", 1, width)).count().collect())
+        for prefix, n in counts:
+            if n >= left:
+                break
+            left -= n
+        if n <= PART_ROWS or width == 32:
+            return prefix
+        known = prefix
+
+
 def holdout(rows: DataFrame, key: str, fraction: float = 0.02, seed: int = 42) -> DataFrame:
     """``rows`` with ``split``: exactly max(1, n * fraction) rows are ``eval``, chosen by hash order.
 
-    The hash of the last chosen row is found as an exact top-k over keys, so no row is moved.
+    The prefix of the last chosen hash is found by counting prefixes; only its rows are sorted.
     """
     n = rows.count()
     take = max(1, int(n * fraction)) if fraction > 0 and n else 0
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
-    marked = rows.withColumn("__h", F.struct(digest.alias("h"), F.col(key).alias("k")))
     if not take:
         return rows.withColumn("split", F.lit("train"))
-    bound = marked.orderBy("__h").select("__h").limit(take).agg(F.max("__h").alias("m")).first().m
-    inside = F.col("__h") <= F.struct(F.lit(bound.h).alias("h"), F.lit(bound.k).alias("k"))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))).cast("binary"))
+    marked = rows.withColumn("__h", digest)
+    prefix = _shared_prefix(marked.select("__h"), take)
+    head = F.substring("__h", 1, len(prefix))
+    left = take - marked.filter(head < prefix).count()
+    bound = marked.filter(head == prefix).select(F.struct(F.col("__h").alias("h"), F.col(key).alias("k")).alias("b")).orderBy("b").limit(left).agg(F.max("b").alias("m")).first().m
+    inside = (F.col("__h") < bound.h) | ((F.col("__h") == bound.h) & (F.col(key).isNull() | F.coalesce(F.col(key) <= F.lit(bound.k), F.lit(False))))
     return marked.withColumn("split", F.when(inside, "eval").otherwise("train")).drop("__h")
 
 
+def epoch_order(rows: DataFrame, key: str, seed: int, epoch: int) -> DataFrame:
+    """``rows`` in another order for each epoch, the same one for a seed: by a hash of the key."""
+    return rows.orderBy(F.xxhash64(F.col(key), F.lit(seed), F.lit(epoch)), key)
+
+
 def optimizer_steps(batches: int, accumulate: int, epochs: int, most: int = 0) -> int:
     """Optimizer steps of a run; ``most`` of 0 is no bound."""
     steps = math.ceil(batches / accumulate) * epochs

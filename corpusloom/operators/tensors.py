@@ -25,6 +25,22 @@ def adapter_pairs(adapter: DataFrame) -> DataFrame:
     return a.join(adapter.select(F.col("name").alias("b_key")), "b_key").select("name", "a_key", "b_key")
 
 
+def scaling(config: DataFrame) -> DataFrame:
+    """``scaling`` of an adapter from its configuration: ``lora_alpha / r``."""
+    return config.select((F.col("lora_alpha").cast("double") / F.col("r")).alias("scaling"))
+
+
+def trainable_share(tensors: DataFrame, trained: Column, size: str) -> DataFrame:
+    """``trainable, total, percent`` of the values of all tensors."""
+    own, every = F.sum(F.when(trained, F.col(size)).otherwise(0)), F.sum(size)
+    return tensors.agg(own.cast("bigint").alias("trainable"), every.cast("bigint").alias("total"), F.round(100 * own / every, 4).alias("percent"))
+
+
+def merge_report(merged: DataFrame) -> DataFrame:
+    """``tensors, bytes, merged``: how many there are, their bytes, and how many took an update."""
+    return merged.agg(F.count("*").alias("tensors"), F.sum(n_bytes(F.col("dtype"), F.col("shape"))).cast("bigint").alias("bytes"), F.count_if("merged").alias("merged"))
+
+
 def n_values(shape: Column) -> Column:
     return F.aggregate(shape, F.lit(1).cast("bigint"), lambda a, x: a * x)
 

@@ -18,7 +18,7 @@ def _chats(spark, d):
 def _records(spark, d):
     """One JSON line of each conversation, with faults in six of seven."""
     c = _chats(spark, d)
-    first, rest = F.get("messages", F.lit(0)), F.slice("messages", 2, 10_000)
+    first, rest = F.get("messages", F.lit(0)), F.slice("messages", 2, F.greatest(F.size("messages"), F.lit(1)))
     robot = F.concat(F.array(F.struct(F.lit("bot").alias("role"), first["content"].alias("content"))), rest)
     blank = F.concat(F.array(F.struct(first["role"].alias("role"), F.lit(" \t").alias("content"))), rest)
     chat = lambda m: F.to_json(F.struct(m.alias("messages")))
@@ -37,7 +37,7 @@ def validation_summary(spark, d):
 
 
 def _messages(spark, d):
-    r = _records(spark, d).filter("conv_id % 7 in (0, 4)").select("conv_id", R.to_messages(F.try_parse_json("value")).alias("m"))
+    r = _records(spark, d).select("conv_id", T.bound(F.try_parse_json("value"), R.to_messages).alias("m"))
     return r.filter("m is not null")
 
 
@@ -54,9 +54,10 @@ def _ids(text):
 
 
 def _masked(spark, d):
-    turns = _messages(spark, d).select("conv_id", _ids(R.render_chat(F.col("m"))).alias("ids"), F.size(_ids(R.render_chat(F.slice("m", 1, F.size("m") - 1), prompt=True))).alias("n"))
-    ids, labels = S.mask_prompt(F.col("ids"), F.col("n"))
-    return turns.select("conv_id", ids.alias("input_ids"), labels.alias("labels")).filter(S.trainable(F.col("labels")))
+    both = lambda m: F.struct(_ids(R.render_chat(m)).alias("ids"), F.size(_ids(R.render_chat(F.slice(m, 1, F.size(m) - 1), prompt=True))).alias("n"))
+    turns = _messages(spark, d).select("conv_id", T.bound(F.col("m"), both).alias("x"))
+    cut = lambda x: F.struct(*[c.alias(n) for c, n in zip(S.mask_prompt(x["ids"], x["n"]), ("input_ids", "labels"), strict=True)])
+    return turns.select("conv_id", T.bound(F.col("x"), cut).alias("y")).select("conv_id", "y.*").filter(S.trainable(F.col("labels")))
 
 
 def _flat(c):
@@ -139,7 +140,8 @@ def resume_range(spark, d):
 _CONV = "c AS (SELECT conv_id, list(role ORDER BY turn) AS r, list(text ORDER BY turn) AS t FROM conversations GROUP BY conv_id)"
 _CHAT_ERR = r"""CASE WHEN len(r) < 2 THEN '''messages'' must contain at least two messages' ELSE concat_ws('; ', CASE WHEN conv_id % 7 = 4 THEN 'messages[0].role must be one of [''assistant'', ''system'', ''user'']' END, CASE WHEN conv_id % 7 = 5 THEN 'messages[0].content must be non-empty text' END, CASE WHEN r[-1] <> 'assistant' THEN 'last message must have role ''assistant''' END) END"""
 _ERR = rf"""e AS (SELECT conv_id, nullif(CASE conv_id % 7 WHEN 1 THEN 'invalid JSON: Expecting value' WHEN 2 THEN 'expected ''messages'' or ''instruction''/''response'' schema' WHEN 3 THEN '''instruction'' must be non-empty text' WHEN 6 THEN '''messages'' must contain at least two messages' ELSE {_CHAT_ERR} END, '') AS errors FROM c)"""
-_MSG = "m AS (SELECT conv_id, CASE WHEN conv_id % 7 = 4 THEN list_prepend('bot', r[2:]) ELSE r END AS r, t FROM c WHERE conv_id % 7 IN (0, 4) AND len(r) > 0 AND (CASE WHEN conv_id % 7 = 4 AND len(r) = 1 THEN 'bot' ELSE r[-1] END) = 'assistant')"
+_MSG = """m0 AS (SELECT conv_id, CASE conv_id % 7 WHEN 3 THEN ['user', 'assistant'] WHEN 4 THEN list_prepend('bot', r[2:]) WHEN 6 THEN r[1:1] ELSE r END AS r, CASE conv_id % 7 WHEN 3 THEN ['5', 'ok'] WHEN 5 THEN list_prepend(' ' || chr(9), t[2:]) WHEN 6 THEN t[1:1] ELSE t END AS t FROM c WHERE conv_id % 7 NOT IN (1, 2)),
+m AS (SELECT conv_id, r, t FROM m0 WHERE len(r) > 0 AND r[-1] = 'assistant')"""
 _REND = "f AS (SELECT conv_id, array_to_string(list_transform(range(1, len(r) + 1), lambda i: '<|im_start|>' || r[i] || chr(10) || t[i] || '<|im_end|>' || chr(10)), '') AS full_text, array_to_string(list_transform(range(1, len(r)), lambda i: '<|im_start|>' || r[i] || chr(10) || t[i] || '<|im_end|>' || chr(10)), '') || '<|im_start|>assistant' || chr(10) AS prompt_text FROM m)"
 _MASK = "k AS (SELECT conv_id, list_transform(string_split(full_text, ' '), lambda x: length(x))[1:192] AS ids, len(string_split(prompt_text, ' ')) AS n FROM f), kk AS (SELECT conv_id, ids, list_transform(range(1, len(ids) + 1), lambda i: CASE WHEN i <= n THEN -100 ELSE ids[i] END) AS labels FROM k WHERE len(ids) > least(n, 192))"
 _CHATS = f"WITH {_CONV}, {_MSG}, {_REND}, {_MASK}"

@@ -30,16 +30,18 @@ def unmatched_adapters(spark, d):
     return adapter_pairs(spark, d).join(base, "name", "left_anti").select("name")
 
 
-def _cells(spark, d, where, i, j):
-    e = _table(spark, d, "embeddings").filter(where).select("vec_id", F.posexplode("embedding").alias("pos", "x"))
+def _cells(spark, d, low, i, j):
+    """Coordinates of four of every twelve vectors; ``l`` numbers the twelves."""
+    e = _table(spark, d, "embeddings").filter(f"vec_id % 12 between {low} and {low + 3}").select(F.expr("vec_id div 12").alias("l"), (F.col("vec_id") % 4).alias("m"), F.posexplode("embedding").alias("pos", "x"))
     return e.select(F.expr(i).cast("bigint").alias("p"), F.expr(j).cast("bigint").alias("q"), F.col("x").cast("double").alias("v"))
 
 
 def lora_merge(spark, d):
-    """Base (24 x 16) plus twice the product of (24 x 8) and (8 x 16), over coordinates."""
-    a = _cells(spark, d, "vec_id < 8", "vec_id", "pos").filter("q < 16").toDF("k", "j", "v")
-    b = _cells(spark, d, "vec_id between 100 and 123", "vec_id - 100", "pos").filter("q < 8").toDF("i", "k", "v")
-    base = _cells(spark, d, "vec_id between 200 and 223", "vec_id - 200", "pos").filter("q < 16").toDF("i", "j", "w")
+    """Every twelve vectors are a layer: four rows of A, four of B and four of the base, which gets twice
+    the product of B and A, over coordinates."""
+    a = _cells(spark, d, 0, "l * 4 + m", "pos").toDF("k", "j", "v")
+    b = _cells(spark, d, 4, "l * 4 + m", "l * 4 + pos % 4").toDF("i", "k", "v")
+    base = _cells(spark, d, 8, "l * 4 + m", "pos").toDF("i", "j", "w")
     merged = base.join(X.low_rank_product(a, b, 2.0), ["i", "j"], "left")
     return merged.select("i", "j", F.round(F.col("w") + F.coalesce("v", F.lit(0.0)), 6).alias("v"))
 
@@ -51,7 +53,7 @@ def tensor_sizes(spark, d):
 
 def trainable_share(spark, d):
     t = _table(spark, d, "part").select((F.col("p_partkey") % 10 == 0).alias("trained"), (F.col("p_size") * 1000).cast("bigint").alias("n"))
-    return t.agg(F.sum(F.when(F.col("trained"), F.col("n")).otherwise(0)).cast("bigint").alias("trainable"), F.sum("n").cast("bigint").alias("total"), F.round(100 * F.sum(F.when(F.col("trained"), F.col("n")).otherwise(0)) / F.sum("n"), 4).alias("percent"))
+    return X.trainable_share(t, F.col("trained"), "n")
 
 
 def _placed(spark, d):
@@ -85,7 +87,7 @@ def pending_sources(spark, d):
 
 
 def manifest(spark, d):
-    f = _table(spark, d, "documents").filter("doc_id % 50 <> 0").select("source", (F.col("n_chars") * 100_000).cast("bigint").alias("size"))
+    f = _table(spark, d, "documents").select("source", (F.col("n_chars") * 100_000).cast("bigint").alias("size"))
     per = f.rollup("source").agg(F.count("*").alias("files"), F.sum("size").cast("bigint").alias("bytes"))
     return per.select("source", "files", "bytes", T.human_bytes(F.col("bytes").cast("double")).alias("size"))
 
@@ -112,14 +114,14 @@ s AS (SELECT source, doc_id, k, n, CAST(1 AS BIGINT) AS shard FROM d WHERE k = 1
 ORACLES = {
     "adapter_pairs": f"WITH {_PAIRS} SELECT name, a_key, b_key FROM pairs",
     "unmatched_adapters": f"WITH {_PAIRS} SELECT name FROM pairs WHERE name NOT IN (SELECT 'layers.' || vec_id || '.attn.weight' FROM embeddings WHERE vec_id % 3 <> 0)",
-    "lora_merge": f"WITH {_CELL}, a AS (SELECT vec_id AS k, pos AS j, x FROM u WHERE vec_id < 8 AND pos < 16), b AS (SELECT vec_id - 100 AS i, pos AS k, x FROM u WHERE vec_id BETWEEN 100 AND 123 AND pos < 8), p AS (SELECT i, j, sum(b.x * a.x) * 2.0 AS v FROM b JOIN a ON b.k = a.k GROUP BY i, j) SELECT vec_id - 200 AS i, pos AS j, round(x + coalesce(v, 0), 6) AS v FROM u LEFT JOIN p ON p.i = vec_id - 200 AND p.j = pos WHERE vec_id BETWEEN 200 AND 223 AND pos < 16",
+    "lora_merge": f"WITH {_CELL}, c AS (SELECT vec_id // 12 AS l, vec_id % 12 // 4 AS s, vec_id % 4 AS m, pos, x FROM u), p AS (SELECT b.l, b.m, a.pos, sum(b.x * a.x) * 2.0 AS v FROM c b JOIN c a ON a.s = 0 AND b.s = 1 AND a.l = b.l AND a.m = b.pos % 4 GROUP BY b.l, b.m, a.pos) SELECT CAST(c.l * 4 + c.m AS BIGINT) AS i, CAST(c.pos AS BIGINT) AS j, round(x + coalesce(v, 0), 6) AS v FROM c LEFT JOIN p ON p.l = c.l AND p.m = c.m AND p.pos = c.pos WHERE s = 2",
     "tensor_sizes": "SELECT p_partkey, CAST(p_size AS BIGINT) * (p_partkey % 7 + 1) AS n_values, CAST(p_size AS BIGINT) * (p_partkey % 7 + 1) * ([2, 4, 1, 8])[p_partkey % 4 + 1] AS n_bytes FROM part",
     "trainable_share": "SELECT CAST(sum(CASE WHEN p_partkey % 10 = 0 THEN p_size * 1000 ELSE 0 END) AS BIGINT) AS trainable, CAST(sum(p_size * 1000) AS BIGINT) AS total, round(100 * sum(CASE WHEN p_partkey % 10 = 0 THEN p_size * 1000 ELSE 0 END) / sum(p_size * 1000), 4) AS percent FROM part",
     "shard_assign": f"WITH RECURSIVE {_NEXT} SELECT source, doc_id, shard FROM s",
     "shard_index": "WITH RECURSIVE d AS (SELECT n_name AS name, n_nationkey * 100 + 7 AS n, row_number() OVER (ORDER BY n_name) AS k FROM nation), s AS (SELECT name, k, n, 1 AS shard FROM d WHERE k = 1 UNION ALL SELECT d.name, d.k, CASE WHEN s.n + d.n > 3000 THEN d.n ELSE s.n + d.n END, CASE WHEN s.n + d.n > 3000 THEN s.shard + 1 ELSE s.shard END FROM s JOIN d ON d.k = s.k + 1) SELECT (SELECT CAST(sum(n) AS BIGINT) FROM d) AS total_size, name, printf('model-%05d.safetensors', shard) AS file FROM s",
     "resolve_source": f"WITH h AS (SELECT page_id, CASE WHEN page_id % 5 = 0 THEN 'direct-' || page_id END AS pdf, {_HTML} AS h FROM pages) SELECT page_id, coalesce(pdf, CASE WHEN page_id % 3 = 0 THEN 'https://cdn.example.org/files/p' || page_id || ' x+y.pdf' END) AS url, 'https://library.example.org/search?query=Book+%26+page+' || page_id AS search FROM h",
     "pending_sources": "SELECT 'p' || page_id || '.pdf' AS filename FROM pages WHERE page_id NOT IN (1, 2) AND page_id % 4 <> 0",
-    "manifest": "SELECT source, count(*) AS files, CAST(sum(n_chars * 100000) AS BIGINT) AS bytes, CASE WHEN sum(n_chars * 100000) >= 1e9 THEN printf('%.2f GB', CAST(sum(n_chars * 100000) AS DOUBLE) / 1e9) ELSE printf('%.0f MB', CAST(sum(n_chars * 100000) AS DOUBLE) / 1e6) END AS size FROM documents WHERE doc_id % 50 <> 0 GROUP BY ROLLUP (source)",
+    "manifest": "SELECT source, count(*) AS files, CAST(sum(n_chars * 100000) AS BIGINT) AS bytes, CASE WHEN sum(n_chars * 100000) >= 1e9 THEN printf('%.2f GB', CAST(sum(n_chars * 100000) AS DOUBLE) / 1e9) ELSE printf('%.0f MB', CAST(sum(n_chars * 100000) AS DOUBLE) / 1e6) END AS size FROM documents GROUP BY ROLLUP (source)",
     "tail_n": "SELECT event_id AS line_no, event_type AS value FROM events ORDER BY event_id DESC LIMIT 12",
     "first_candidate": "SELECT CAST(c_nationkey AS BIGINT) AS nation, first(c_name ORDER BY c_mktsegment, c_custkey) AS chosen FROM customer WHERE c_acctbal > 9000 GROUP BY c_nationkey",
     "largest_shard": f"WITH RECURSIVE {_NEXT}, g AS (SELECT s.source, s.shard, sum(d.n) AS n FROM s JOIN d ON s.doc_id = d.doc_id GROUP BY s.source, s.shard) SELECT CAST(max(n) AS BIGINT) AS largest, CAST(min(n) AS BIGINT) AS smallest, count(*) AS shards FROM g",

@@ -59,7 +59,7 @@ def detect_chapters(spark, d):
 
 def valid_chunk(spark, d):
     c = docs(spark, d).select("doc_id", F.expr(CHUNK).alias("c"))
-    return c.select("doc_id", T.reject_reason(F.col("c")).alias("reason"), T.is_valid_chunk(F.col("c")).alias("valid"))
+    return c.select("doc_id", T.reject_reason(F.col("c")).alias("reason")).withColumn("valid", F.col("reason").isNull())
 
 
 def reject_reason_counts(spark, d):
@@ -83,7 +83,7 @@ def overlap_suffix(spark, d):
 
 def template_fill(spark, d):
     template = F.lit("Text: {{TEXT}} / again {{TEXT}} / by {{WHO}}")
-    return docs(spark, d).select("doc_id", T.fill_template(template, {"TEXT": F.concat(F.lit("$1 "), F.substring("text", 1, 40)), "WHO": F.col("source")}).alias("prompt"))
+    return docs(spark, d).select("doc_id", T.fill_template(template, {"TEXT": F.concat(F.lit("$1 "), F.col("text")), "WHO": F.col("source")}).alias("prompt"))
 
 
 def file_names(spark, d):
@@ -144,7 +144,7 @@ FROM c WHERE NOT headed OR g > 0 OR regexp_replace(t, '^\s+|\s+$', '', 'g') <> '
     "text_counts": rf"WITH s AS (SELECT doc_id, {CHUNK} AS c FROM documents) SELECT doc_id, {_WORDS} AS words, len(regexp_extract_all(c, '[A-Za-z]')) AS letters, len(regexp_extract_all(c, '\d')) AS digits FROM s",
     "overlap_suffix": r"""WITH l AS (SELECT doc_id, list_reverse(list_transform(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> ''), lambda x: len(list_filter(string_split_regex(x, '\s+'), lambda y: y <> '')))) AS t FROM documents),
 k AS (SELECT doc_id, t, len(list_filter(range(1, len(t) + 1), lambda k: list_sum(t[1:k]) <= 100)) AS k FROM l) SELECT doc_id, k AS paragraphs, CAST(coalesce(list_sum(t[1:k]), 0) AS BIGINT) AS tokens FROM k""",
-    "template_fill": "SELECT doc_id, 'Text: $1 ' || left(text, 40) || ' / again $1 ' || left(text, 40) || ' / by ' || source AS prompt FROM documents",
+    "template_fill": "SELECT doc_id, 'Text: $1 ' || text || ' / again $1 ' || text || ' / by ' || source AS prompt FROM documents",
     "file_names": "SELECT doc_id, 'a/b.txt.d/' || source || '.' || doc_id AS stem, 'a/b_clean.txt.d/' || source || '.' || doc_id || '_clean.txt' AS cleaned FROM documents",
     "corpus_totals": "SELECT count(*) AS documents, CAST(sum(length(text)) AS BIGINT) AS chars, round(sum(length(text)) / 4, 2) AS tokens FROM documents",
 }

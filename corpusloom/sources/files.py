@@ -1,13 +1,14 @@
-"""Text, JSON and listing sources, and the sinks that go with them."""
+"""Text, JSON and listing sources, the sinks that go with them, and small state files.
+
+Paths go through Spark's readers and Hadoop's file systems, so any store that the session knows will do.
+"""
 
 from __future__ import annotations
 
-import json
-import os
 import tempfile
-from pathlib import Path
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -24,10 +25,44 @@ def listed(spark: SparkSession, path: str, suffix: str = "*", recursive: bool =
     return rows.select("path", F.substring_index("path", "/", -1).alias("file"), F.col("length").alias("bytes"))
 
 
-def write_texts(rows: DataFrame, folder: str) -> None:
-    """``doc, text`` as text files below one folder for each document; a document's folder is replaced
-    as a whole, so no file of an earlier, longer version stays."""
-    rows.select("doc", F.col("text").alias("value")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("lineSep", "\n").partitionBy("doc").text(folder)
+def snapshot(files: DataFrame) -> DataFrame:
+    """``path``: of a listing, the last snapshot folder by name; null without one."""
+    return files.agg(F.max(F.nullif(F.regexp_extract("path", "^(.*/snapshots/[^/]+)/", 1), F.lit(""))).alias("path"))
+
+
+def config(spark: SparkSession, path: str) -> DataFrame:
+    """One row of a JSON file that holds one object."""
+    return spark.read.option("multiLine", "true").json(path)
+
+
+def work_folder(spark: SparkSession, label: str) -> str:
+    """A new folder below the one that the session shares; a temporary one only in a local session."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = "file://" + tempfile.gettempdir()
+    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def write_texts(rows: DataFrame, folder: str, name: str = "doc", text: str = "text") -> None:
+    """Texts as files below one folder for each name; a folder is replaced as a whole, so no file of an
+    earlier, longer version stays."""
+    named = rows.select(F.col(name), F.col(text).alias("value"))
+    named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("lineSep", "\n").partitionBy(name).text(folder)
+
+
+def corpus(paragraphs: DataFrame) -> DataFrame:
+    """``doc, text``: the paragraphs of each document in order, with an empty line between them."""
+    ordered = F.array_sort(F.collect_list(F.struct("para_no", "text")))
+    return paragraphs.groupBy("doc").agg(F.array_join(F.transform(ordered, lambda p: p["text"]), "\n\n").alias("text"))
+
+
+def write_chunks(chunks: DataFrame, folder: str) -> None:
+    """``doc, chunk_no, chunk`` as one file each, in order below the document's folder, which is replaced
+    as a whole: of a document that has fewer chunks now, none of the earlier ones stays."""
+    ordered = chunks.repartition("doc").sortWithinPartitions("doc", "chunk_no").select("doc", F.col("chunk").alias("value"))
+    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", "1").partitionBy("doc").text(folder)
 
 
 def append_jsonl(rows: DataFrame, folder: str) -> None:
@@ -35,35 +70,79 @@ def append_jsonl(rows: DataFrame, folder: str) -> None:
     rows.write.mode("append").option("ignoreNullFields", "false").json(folder)
 
 
+def write_json(rows: DataFrame, folder: str) -> None:
+    """Rows as JSON lines in place of what is there."""
+    rows.write.mode("overwrite").option("ignoreNullFields", "false").json(folder)
+
+
+def append_log(spark: SparkSession, folder: str, stage: str, message: str) -> None:
+    """One more ``at, stage, message`` of a run's log."""
+    spark.range(1).select(F.current_timestamp().alias("at"), F.lit(stage).alias("stage"), F.lit(message).alias("message")).coalesce(1).write.mode("append").json(folder)
+
+
 def tail(lines: DataFrame, n: int = 12) -> DataFrame:
     """The last ``n`` of ``line_no, value``, in order."""
     return lines.orderBy(F.desc("line_no")).limit(n).orderBy("line_no")
 
 
-def load_progress(path: str | Path, total: int | None = None) -> int:
-    """Saved index; 0 if the file is missing, malformed or holds no whole number from 0, at most ``total``."""
-    try:
-        saved = json.loads(Path(path).read_text(encoding="utf-8"))
-    except (OSError, ValueError):
-        return 0
-    index = saved.get("last_chunk") if isinstance(saved, dict) else None
-    if type(index) is not int or index < 0:
+def targets(wanted: DataFrame, files: DataFrame, on: str = "file") -> DataFrame:
+    """``wanted`` with ``found``: whether a file of that name is there."""
+    there = files.select(on).distinct().withColumn("found", F.lit(True))
+    return wanted.join(there, on, "left").withColumn("found", F.coalesce("found", F.lit(False)))
+
+
+def first_usable(candidates: DataFrame, usable: Column, order: str) -> DataFrame:
+    """The first candidate in order that is usable; no row without one."""
+    return candidates.filter(usable).orderBy(order).limit(1)
+
+
+def _store(spark: SparkSession, path: str):
+    """Hadoop's path and the file context that serves it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    at = hadoop.Path(path)
+    return at, hadoop.FileContext.getFileContext(at.toUri(), spark._jsc.hadoopConfiguration()) if at.toUri().getScheme() else hadoop.FileContext.getFileContext(spark._jsc.hadoopConfiguration())
+
+
+def copy_first(spark: SparkSession, names: list[str], sources: list[str], target: str) -> list[str]:
+    """Copy each name from the first source folder that has it; returns the names that were found."""
+    done = []
+    for name in names:
+        for source in sources:
+            at, store = _store(spark, f"{source}/{name}")
+            if store.util().exists(at):
+                store.util().copy(at, spark._jvm.org.apache.hadoop.fs.Path(f"{target}/{name}"), False, True)
+                done.append(name)
+                break
+    return done
+
+
+PROGRESS = "last_chunk"  # fixed value: the key that holds the index
+
+
+def load_progress(path: str, total: int | None = None) -> int:
+    """Saved index, at most ``total``; 0 if there is no file or no whole number from 0 in it."""
+    spark = SparkSession.active()
+    at, store = _store(spark, str(path))
+    if not store.util().exists(at):
         return 0
-    return index if total is None else min(index, total)
+    saved = F.try_variant_get(F.try_parse_json("value"), f"$.{PROGRESS}", "variant")
+    whole = F.when(F.schema_of_variant(saved) == "BIGINT", F.try_variant_get(saved, "$", "bigint"))
+    index = F.greatest(F.coalesce(whole, F.lit(0)), F.lit(0))
+    bound = index if total is None else F.least(index, F.lit(total))
+    return spark.read.text(str(path), wholetext=True).agg(F.coalesce(F.max(bound), F.lit(0))).first()[0]
 
 
-def save_progress(index: int, path: str | Path) -> None:
-    """Save an index by one rename; no temporary file stays behind."""
-    if type(index) is not int or index < 0:
+def save_progress(index: int, path: str) -> None:
+    """Save an index: a new file takes the place of the old one in one rename of the store."""
+    if isinstance(index, bool) or not isinstance(index, int) or index < 0:
         raise ValueError("the index must be a whole number from 0")
-    target = Path(path)
-    target.parent.mkdir(parents=True, exist_ok=True)
-    handle, temp = tempfile.mkstemp(dir=target.parent, suffix=".tmp")
-    try:
-        with os.fdopen(handle, "w", encoding="utf-8") as f:
-            json.dump({"last_chunk": index}, f)
-            f.flush()
-            os.fsync(f.fileno())
-        os.replace(temp, target)
-    finally:
-        Path(temp).unlink(missing_ok=True)
+    spark = SparkSession.active()
+    at, store = _store(spark, str(path))
+    fs = spark._jvm.org.apache.hadoop.fs
+    new = fs.Path(at.getParent(), f".{at.getName()}.{uuid.uuid4().hex}")
+    out = new.getFileSystem(spark._jsc.hadoopConfiguration()).create(new, True)
+    out.write(bytearray(f'{{"{PROGRESS}": {index}}}', "utf-8"))
+    out.close()
+    replace = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    replace[0] = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    store.rename(new, at, replace)

@@ -1,67 +1,91 @@
 """Data source ``tensors``: files of named tensors with a JSON header, read and written.
 
 A file is the header's length (8 bytes, little-endian), the header (name to dtype, shape and offsets)
-and the data.  Reading makes one partition of each file and yields its tensors in the order of their
-offsets, one in memory at a time.
+and the data.  Headers are read once, on the driver, and dealt out as byte ranges of about
+``RANGE_BYTES``, so a file of any size is read by many tasks.  With the option ``headers`` only names,
+types and shapes are read and ``data`` is null.
 """
 
 from __future__ import annotations
 
-import glob
 import json
-import os
 import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
 SCHEMA = "file string, name string, dtype string, shape array<bigint>, data binary"
+RANGE_BYTES = 128 << 20
 
 
-def read_header(f) -> tuple[dict, int]:
-    """Header and the place where the data starts."""
-    (n,) = struct.unpack("<Q", f.read(8))
-    return json.loads(f.read(n)), 8 + n
+def _open(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    return pyarrow.fs.FileSystem.from_uri(uri) if "://" in uri else (pyarrow.fs.LocalFileSystem(), uri.removeprefix("file:"))
 
 
-def file_bytes(tensors: list[tuple[str, str, list[int], bytes]], metadata: dict | None = None) -> bytes:
-    """One whole file from (name, dtype, shape, data)."""
+def header_table(file: pa.NativeFile) -> pa.Table:
+    """``name, dtype, shape, low, high`` of the tensors of a file, by place; ``low`` counts from its start."""
+    prefix = struct.calcsize("<Q")
+    length = int.from_bytes(file.read_at(prefix, 0), "little")
+    named = json.loads(file.read_at(length, prefix))
+    named.pop("__metadata__", None)
+    base = prefix + length
+    rows = [{"name": name, "dtype": t["dtype"], "shape": t["shape"], "low": base + t["data_offsets"][0], "high": base + t["data_offsets"][1]} for name, t in named.items()]
+    schema = pa.schema([("name", pa.string()), ("dtype", pa.string()), ("shape", pa.list_(pa.int64())), ("low", pa.int64()), ("high", pa.int64())])
+    return pa.Table.from_pylist(rows, schema).sort_by("low")
+
+
+def head_bytes(tensors: list[tuple[str, str, list[int], int]], metadata: dict | None = None) -> bytes:
+    """Start of a file up to the data, from (name, dtype, shape, number of bytes)."""
     header, at = ({"__metadata__": metadata} if metadata else {}), 0
-    for name, dtype, shape, data in tensors:
-        header[name] = {"dtype": dtype, "shape": list(shape), "data_offsets": [at, at + len(data)]}
-        at += len(data)
+    for name, dtype, shape, n in tensors:
+        header[name] = {"dtype": dtype, "shape": list(shape), "data_offsets": [at, at + n]}
+        at += n
     head = json.dumps(header).encode()
-    return struct.pack("<Q", len(head)) + head + b"".join(t[3] for t in tensors)
+    return struct.pack("<Q", len(head)) + head
 
 
-class _File(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
+class _Range(InputPartition):
+    """Some tensors of one file that lie next to each other."""
 
+    def __init__(self, uri: str, rows: list[dict]):
+        self.uri, self.rows = uri, rows
 
-class _Reader(DataSourceReader):
-    def __init__(self, path: str):
-        self.path = path
 
-    def partitions(self) -> list[_File]:
-        found = sorted(glob.glob(os.path.join(self.path, "*.safetensors"))) if os.path.isdir(self.path) else [self.path]
+class _Reader(DataSourceReader):
+    def __init__(self, uri: str, headers: bool):
+        self.uri, self.headers = uri, headers
+
+    def partitions(self) -> list[_Range]:
+        fs, path = _open(self.uri)
+        info = fs.get_file_info(path)
+        inside = fs.get_file_info(pyarrow.fs.FileSelector(path)) if info.type == pyarrow.fs.FileType.Directory else [info]
+        found = sorted(i.path for i in inside if i.type == pyarrow.fs.FileType.File and (i is info or i.path.endswith(".safetensors")))
         if not found:
-            raise FileNotFoundError(f"no tensor files in {self.path}")
-        return [_File(p) for p in found]
-
-    def read(self, part: _File) -> Iterator[tuple]:
-        with open(part.path, "rb") as f:
-            header, start = read_header(f)
-            entries = sorted(((k, v) for k, v in header.items() if k != "__metadata__"), key=lambda e: e[1]["data_offsets"][0])
-            for name, entry in entries:
-                low, high = entry["data_offsets"]
-                f.seek(start + low)
-                data = f.read(high - low)
-                if len(data) != high - low:
-                    raise OSError(f"{part.path} ends within {name}")
-                yield os.path.basename(part.path), name, entry["dtype"], entry["shape"], data
+            raise FileNotFoundError(f"no tensor files in {self.uri}")
+        out = []
+        for p in found:
+            with fs.open_input_file(p) as file:
+                table = header_table(file)
+            numbers = [(r["low"] - table["low"][0].as_py()) // RANGE_BYTES for r in table.to_pylist()] if table.num_rows else []
+            for k in sorted(set(numbers)):
+                out.append(_Range(p, [r for n, r in zip(numbers, table.to_pylist(), strict=True) if n == k]))
+        return out or [_Range(found[0], [])]
+
+    def read(self, part: _Range) -> Iterator[tuple]:
+        fs, _ = _open(self.uri)
+        file = part.uri.rsplit("/", 1)[-1]
+        if self.headers:
+            yield from ((file, r["name"], r["dtype"], r["shape"], None) for r in part.rows)
+            return
+        with fs.open_input_file(part.uri) as source:
+            for r in part.rows:
+                data = source.read_at(r["high"] - r["low"], r["low"])
+                if len(data) < r["high"] - r["low"]:
+                    raise OSError(f"{part.uri} ends within {r['name']}")
+                yield file, r["name"], r["dtype"], r["shape"], data
 
 
 class TensorSource(DataSource):
@@ -73,27 +97,47 @@ class TensorSource(DataSource):
         return SCHEMA
 
     def reader(self, schema: StructType) -> _Reader:
-        return _Reader(self.options["path"].removeprefix("file://"))
+        return _Reader(self.options["path"], self.options.get("headers", "false").lower() == "true")
 
 
 def write_shards(tensors, folder: str):
     """Write ``name, dtype, shape, data, shard`` as one file for each shard; returns ``shard, file,
-    n_tensors, bytes``.  A file appears by one rename, so a repeated task does no harm."""
-    import pyarrow.fs
+    n_tensors, bytes``.  Headers are made from sizes alone; a shard's tensors, sorted by name, stream
+    through its task one batch at a time.  A file appears by one rename, so a repeated task does no harm."""
+    from pyspark.sql import functions as F
+
+    entry = F.struct("name", "dtype", "shape", F.octet_length("data").cast("bigint").alias("n"))
+    heads = tensors.groupBy("shard").agg(F.array_sort(F.collect_list(entry)).alias("head"))
+    firsts = heads.select("shard", F.lit(None).cast("string").alias("name"), F.lit(None).cast("binary").alias("data"), "head")
+    rows = tensors.select("shard", "name", "data", F.lit(None).cast(heads.schema["head"].dataType).alias("head")).unionByName(firsts)
+    ordered = rows.repartition("shard").sortWithinPartitions("shard", F.col("name").asc_nulls_first())
 
-    def write(rows: pa.Table) -> pa.Table:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import uuid
 
-        rows = rows.sort_by("name")
-        shard = rows.column("shard")[0].as_py()
-        name = f"model-{shard:05d}.safetensors"
-        body = file_bytes(list(zip(*(rows.column(c).to_pylist() for c in ("name", "dtype", "shape", "data")), strict=True)), {"format": "pt"})
-        fs, path = pyarrow.fs.FileSystem.from_uri(f"{folder}/{name}")
-        fs.create_dir(os.path.dirname(path), recursive=True)
-        temp = f"{path}.{uuid.uuid4().hex}"
-        with fs.open_output_stream(temp) as out:
-            out.write(body)
-        fs.move(temp, path)
-        return pa.table({"shard": pa.array([shard], pa.int32()), "file": [name], "n_tensors": [rows.num_rows], "bytes": [len(body)]})
-
-    return tensors.groupBy("shard").applyInArrow(write, "shard int, file string, n_tensors long, bytes long")
+        fs, root = _open(folder)
+        fs.create_dir(root, recursive=True)
+        state: dict = {}
+
+        def closed() -> pa.RecordBatch:
+            state["out"].close()
+            fs.move(state["temp"], f"{root}/{state['file']}")
+            return pa.RecordBatch.from_pydict({"shard": pa.array([state["shard"]], pa.int32()), "file": [state["file"]], "n_tensors": [state["n"]], "bytes": [state["bytes"]]})
+
+        for batch in batches:
+            for shard, data, head in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3), strict=True):
+                if head.is_valid:
+                    if state:
+                        yield closed()
+                    first = head_bytes([(h["name"], h["dtype"], h["shape"], h["n"]) for h in head.as_py()], {"format": "pt"})
+                    name = f"model-{shard:05d}.safetensors"
+                    state = {"shard": shard, "file": name, "temp": f"{root}/{name}.{uuid.uuid4().hex}", "n": len(head), "bytes": len(first)}
+                    state["out"] = fs.open_output_stream(state["temp"])
+                    state["out"].write(first)
+                else:
+                    state["out"].write(data.as_buffer())
+                    state["bytes"] += len(data.as_buffer())
+        if state:
+            yield closed()
+
+    return ordered.mapInArrow(write, "shard int, file string, n_tensors long, bytes long")

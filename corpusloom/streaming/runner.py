@@ -76,6 +76,29 @@ def run(spark: SparkSession, chunks: str, out: str, checkpoint: str, generate: C
     query.awaitTermination()
 
 
+def compared(prompts: DataFrame, prompt: str, models: dict[str, Callable[[str], str]]) -> DataFrame:
+    """``prompts`` with one column for each model, its answer or how it failed."""
+    out = prompts
+    for name, generate in models.items():
+        out = out.withColumn(name, _answers(generate)(F.col(prompt)))
+    return out
+
+
+def _answers(generate: Callable[[str], str]) -> Callable:
+    def one(prompt: str) -> str:
+        try:
+            return generate(prompt)
+        except Exception as e:  # noqa: BLE001  a model may fail in any way; the answer says how
+            return f"error: {e}"
+
+    @F.pandas_udf("string")
+    def answers(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for prompts in parts:
+            yield prompts.map(one)
+
+    return answers
+
+
 def stalled(ages: DataFrame, limit_s: float = 1500) -> DataFrame:
     """One row: age of the newest log, and whether the run has stalled (null age: nothing to tell)."""
     return ages.agg(F.min("age_s").alias("age_s")).withColumn("stalled", F.coalesce(F.col("age_s") > limit_s, F.lit(False)))
