@@ -8,7 +8,10 @@ at sign or a spelled-out one, long regions in windows that overlap; within a reg
 segment its posterior, and a Viterbi pass with segments of bounded length chooses borders and kinds
 together.  Spans whose posterior is under ``LEAST`` or that touch a base span are not added.
 
-Offsets are code points, the end exclusive.  Null text counts as empty and has no spans.
+Offsets are code points, the end exclusive.  Null text counts as empty and has no spans.  Rows are
+judged one by one, so repeated rows stay and an empty table gives an empty one; of kinds that start at
+one place the first of ``KINDS`` is listed first, and of equally good segmentations the field takes the
+first found.  A very long text costs memory for itself and one window.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = ("", "email", "ip", "card", "phone", "iban", "ssn")  # "" is ordinary text
+KINDS = ("", "email", "ip", "card", "phone", "iban", "ssn", "secret")  # "" is ordinary text
 ORDER = {k: i for i, k in enumerate(KINDS)}
 MAX_TOKENS = 9
 MAX_REGION = 400  # tokens that are judged at once; longer regions are judged in windows
@@ -87,9 +90,20 @@ _spelled = re.compile(r"[\[({<]?(?:at|AT|dot|DOT)[\])}>]?$")
 
 
 _letters = re.compile(r"[^\W\d_]+")
+_NAMES = frozenset("token secret password passwd pwd passphrase key api_key apikey api-key access_key access_token auth_token client_secret private_key credential credentials".split())
+_code = re.compile(r"(?=.*[0-9])[A-Za-z0-9_+/-]+$").match
+_hex = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)$").match
 _digits = re.compile(r"[0-9]+")
 
 
+def code(s: str) -> str:
+    """Alphabet and length of a run of letters and digits, as keys and tokens have them."""
+    if not 16 <= len(s) <= 128 or not _code(s):
+        return "no"
+    kind = "hex" if _hex(s) else "both" if s.lower() != s != s.upper() else "one"
+    return f"{kind}{len(s) // 8}"
+
+
 def shape(s: str) -> str:
     return _digits.sub("9+", _letters.sub("a+", s))
 
@@ -124,6 +138,10 @@ def span_features(body: str, before: str, before2: str, tokens: int) -> list[str
         f"seps={''.join(sorted(set(_plain.sub('', body))))[:8]}",
         f"groups={'-'.join(str(len(g)) for g in re.findall('[0-9]+', body))[:30]}",
     ]
+    secret = code(body)
+    if secret != "no" and len(_letters.findall(body)) > 4:  # no two of them look alike, so shape and groups of digits tell nothing
+        named = before in _NAMES or not before.strip("=:") and before2 in _NAMES
+        return [f"tokens={tokens}", f"code={secret}", f"named={named}", f"named+code={named}+{secret[:3]}"]
     return out + [f"before+digits={before}+{len(digits)}", f"letters+digits={out[7]}+{len(digits)}"]
 
 
@@ -149,7 +167,7 @@ class Field:
     def segments(self, text: str, spans: list[tuple[int, int]]) -> dict[tuple[int, int], np.ndarray]:
         """Feature rows of all segments [i, j) of tokens given by their borders."""
         words = [text[a:b] for a, b in spans]
-        clean = [w.strip(".,;:!?()[]\"'").lower() for w in words]
+        clean = [w.strip(".,;:!?()[]\"'").lower().rstrip("=:") or w for w in words]
         spelled = [bool(_spelled.match(w.strip(",.;:"))) for w in words] + [False]
         marked = [spelled[k] or "@" in w or bool(_has_digit(w)) for k, w in enumerate(words)]
         opens = [marked[k] or spelled[k + 1] for k in range(len(words))]
@@ -273,14 +291,21 @@ def regions(text: str, taken: list[tuple[int, int, str]] = ()) -> Iterator[list[
         yield [piece for s in spans for piece in pieces(text, *s)]
 
 
+_assigned = re.compile(r"[\"'{(]?[A-Za-z][\w-]*[\"']?(?::?=|:)(?!//)").match
+
+
 _part = re.compile(r"[^,;|&=?/<>{}\"']*[,;|&=?/<>{}\"']|[^,;|&=?/<>{}\"']+").finditer
 _run = re.compile(r"[\W_]*[^\W_]+").finditer
 
 
 def pieces(text: str, a: int, b: int) -> list[tuple[int, int]]:
-    """Borders of a token or, if it is long, of its parts: cut after separators and, where that is not
+    """Borders of a token or, if it gives a name a long value or is long itself, of its parts: the name and
+    the value; cut after separators and, where that is not
     enough, between letters and digits and whatever else.  A run of more than ``MAX_TOKEN`` letters
     and digits alone has no border within and goes."""
+    name = _assigned(text, a, b)
+    if name and b - name.end() >= 16:
+        return [(a, name.end()), *pieces(text, name.end(), b)]
     if b - a <= MAX_TOKEN:
         return [(a, b)]
     parts = [(m.start(), m.end()) for m in _part(text, a, b)]
@@ -301,7 +326,7 @@ def windows(found: Iterator[list[tuple[int, int]]]) -> Iterator[tuple[list[tuple
             at += MAX_REGION - 2 * MARGIN
 
 
-def examples(count: int = 1200, seed: int = 5) -> list[tuple[str, list[tuple[int, int]], dict[tuple[int, int], int]]]:
+def examples(count: int = 1600, seed: int = 5) -> list[tuple[str, list[tuple[int, int]], dict[tuple[int, int], int]]]:
     """Generated sentences with gold segments, in the forms that the base patterns miss, and with
     numbers that are no personal data."""
     rng = random.Random(seed)
@@ -332,8 +357,13 @@ def examples(count: int = 1200, seed: int = 5) -> list[tuple[str, list[tuple[int
     def ssn() -> str:
         return f"{digits(3)}-{digits(2)}-{digits(4)}"
 
-    makers = {"email": email, "ip": ip, "card": card, "phone": phone, "iban": iban, "ssn": ssn}
-    cue = {"email": ["email", "mail", "contact"], "ip": ["ip", "address", "host"], "card": ["card", "visa", "pay"], "phone": ["call", "phone", "tel", "tel."], "iban": ["iban", "account"], "ssn": ["ssn", "social"]}
+    def secret() -> str:
+        letters = rng.choice(["0123456789abcdef", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"])
+        value = "".join(rng.choice(letters) for _ in range(rng.choice([20, 24, 32, 40, 40, 64])))
+        return rng.choice(['"{}"', "'{}'", "{}"]).format(value)
+
+    makers = {"email": email, "ip": ip, "card": card, "phone": phone, "iban": iban, "ssn": ssn, "secret": secret}
+    cue = {"email": ["email", "mail", "contact"], "ip": ["ip", "address", "host"], "card": ["card", "visa", "pay"], "phone": ["call", "phone", "tel", "tel."], "iban": ["iban", "account"], "ssn": ["ssn", "social"], "secret": sorted(_NAMES)}
     plain = [
         lambda: digits(rng.randint(1, 9)),
         lambda: digits(16),
@@ -344,7 +374,8 @@ def examples(count: int = 1200, seed: int = 5) -> list[tuple[str, list[tuple[int
         lambda: f"v{rng.randint(1, 9)}.{rng.randint(0, 9)}.{rng.randint(0, 9)}",
         lambda: f"{rng.randint(1, 999)},{digits(3)}",
         lambda: f"{digits(2)}:{digits(2)}",
-        lambda: "".join(rng.choice("0123456789abcdef") for _ in range(rng.choice([8, 16, 32, 40]))),
+        lambda: "".join(rng.choice("0123456789abcdef") for _ in range(rng.choice([8, 16, 32, 40, 64]))),
+        lambda: '"' + "".join(rng.choice("0123456789abcdef") for _ in range(rng.choice([20, 32, 40]))) + '"',
         lambda: f"{word()}{digits(2)}@mail{digits(1)}.example.com",
         lambda: f"{digits(1)}-{digits(2)}",
         lambda: " ".join(digits(rng.randint(1, 4)) for _ in range(rng.randint(2, 6))),
@@ -358,12 +389,17 @@ def examples(count: int = 1200, seed: int = 5) -> list[tuple[str, list[tuple[int
         for _ in range(rng.randint(1, 2)):
             if rng.random() < 0.5:
                 kind = rng.choice(list(makers))
-                if rng.random() < 0.6:
+                if kind == "secret":  # nothing but what stands before it tells a secret from an identifier
+                    name = rng.choice(cue[kind])
+                    parts += [(rng.choice([name, name.upper()]), 0), (rng.choice(["=", "=", ":", ":="]), 0)] if rng.random() < 0.5 else [(name + rng.choice([":", "="]), 0)]
+                elif rng.random() < 0.6:
                     parts.append((rng.choice(cue[kind]) + rng.choice(["", ":"]), 0))
                 parts.append((makers[kind](), ORDER[kind]))
             else:
                 if rng.random() < 0.3:
-                    parts.append((rng.choice(rng.choice(list(cue.values()))), 0))
+                    parts.append((rng.choice(cue[rng.choice([k for k in cue if k != "secret"])]), 0))
+                elif rng.random() < 0.2:
+                    parts += [(word(), 0), (rng.choice(["=", ":"]), 0)]
                 parts.append((rng.choice(plain)(), 0))
             parts += [(word(), 0) for _ in range(rng.randint(0, 3))]
         text, spans, gold = "", [], {}
@@ -398,21 +434,24 @@ def listed(spans: list[tuple[int, int, str]]) -> str:
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, base counts, digest of the base spans, and all spans, for every whole text."""
+    """``doc_id``, base counts, digest of the base spans, all spans and their number, for every whole text."""
     weights = field().w.astype(np.float32)
-    schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
+    schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Field()
         own.w = weights.astype(np.float64)
         for batch in batches:
-            out: list[list] = [[] for _ in range(6)]
+            out: list[list] = [[] for _ in range(7)]
             for text in batch.column(1).to_pylist():
                 base = base_spans(text or "")
                 for k, kind in enumerate(BASE_KINDS):
                     out[k].append(sum(s[2] == kind for s in base))
                 out[4].append(hashlib.sha256(listed(base).encode()).hexdigest())
-                out[5].append(listed(base + own.spans(text or "", base)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, out[:4]), *(pa.array(c, pa.string()) for c in out[4:])], names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
+                every = base + own.spans(text or "", base)
+                out[5].append(listed(every))
+                out[6].append(len(every))
+            longs = lambda c: pa.array(c, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(longs, out[:4]), *(pa.array(c, pa.string()) for c in out[4:6]), longs(out[6])], names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_spans"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
