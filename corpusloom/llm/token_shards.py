@@ -3,15 +3,17 @@
 A shard file holds, in ascending doc_id order, one frame per document and an index, so that one
 short document is read by one seek::
 
-    magic, dictionary SHA-256, id width, number of documents, frames, index, index offset
+    magic, dictionary SHA-256, id width, frames, index, number of documents, index offset
 
 The index has doc ids, null flags, frame offsets (one more than documents) and id counts.  The
-dictionary lies beside the shards under its hash.  Shard borders are quantiles of doc_id, so a shard
-holds a bounded share of the documents; starts follow from one small prefix sum over shards.
+dictionary lies beside the shards under its hash.  Documents are dealt into ranges of (doc_id, hash of
+the text) and sorted; a task streams its range into one file, holding one batch and the index.  Starts
+follow from one small prefix sum over shards.
 
 Null or empty text gives a document with only the end id.  A null doc_id sorts first.  Repeated doc
-ids stay separate documents, ordered by their frames.  A rewritten shard replaces its file in one
-rename, so a repeated task is harmless.
+ids stay separate documents, ordered by a hash of their texts, so no id is too frequent for one shard.
+An empty table gives no shard; a very long text is one frame.  Other columns are not read.  A
+rewritten shard replaces its file in one rename, so a repeated task is harmless.
 """
 
 from __future__ import annotations
@@ -28,12 +30,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import fresh_path, parts_for, spans_of, text_bytes
+from corpusloom.llm.common import fresh_path, parts_for, spans_of
 
 MAGIC = b"LOOMTOK1"
-SHARD_TEXT_BYTES = 32 << 20
-DICT_SAMPLE_DOCS = 600  # bound of the sample that the dictionary is trained on
-DICT_SAMPLE_BYTES = 8 << 10  # characters, and then bytes of ids, from each sampled document
+SHARD_TEXT_BYTES = 128 << 20
+LEAST_SHARD_BYTES = 4 << 20  # under this a shard is not split further for the sake of more tasks
+DICT_SAMPLE_DOCS = 600  # about so many documents, chosen by hash, train the dictionary
+DICT_SAMPLE_CHARS = 8 << 10  # of each of them, from a place chosen by hash
+DICT_PIECE = 2 << 10
 DICT_BYTES = 64 << 10
 MEMO_WORDS = 1_000_000
 LEVEL = 3
@@ -80,13 +84,14 @@ def encode_texts(texts: list[bytes | None], path: str, end_id: int) -> list[byte
     return [b"".join(map(known, pieces)) + end for pieces in cut]
 
 
-def train_dictionary(samples: list[bytes]) -> bytes:
-    """A trained dictionary, or the samples themselves where they are too few to train on."""
-    samples = [s[:DICT_SAMPLE_BYTES] for s in samples if len(s) >= 8]
-    try:
-        return zstandard.train_dictionary(DICT_BYTES, samples).as_bytes()
-    except (zstandard.ZstdError, ValueError):
-        return (b"".join(samples) + bytes(8))[-DICT_BYTES:]
+def train_dictionary(samples: list[bytes], path: str) -> bytes:
+    """A dictionary trained on serialized ids: pieces of the samples, and all ids of the vocabulary in
+    order, so that there is enough to train on however small the corpus is."""
+    width = id_width(path)
+    every = np.arange(tokenizer(path).get_vocab_size()).astype(width).tobytes()
+    pieces = [s[k : k + DICT_PIECE] for s in samples for k in range(0, len(s), DICT_PIECE)]
+    base = [every[k : k + 128] for k in range(0, len(every), 128)]
+    return zstandard.train_dictionary(DICT_BYTES, [p for p in base + pieces if len(p) >= 8]).as_bytes()
 
 
 def _compressor(dictionary: bytes):
@@ -112,14 +117,13 @@ def write_file(uri: str, body: list[bytes]) -> None:
     fs.move(temp, path)
 
 
-def shard_body(docs: list[tuple[int | None, int, bytes]], width: str, dict_hash: bytes) -> list[bytes]:
-    """Bytes of one shard from (doc_id, number of ids, frame) in order."""
-    head = MAGIC + dict_hash + struct.pack("<IQ", int(width[2]), len(docs))
+def shard_index(docs: list[tuple[int | None, int, int]], low: int) -> bytes:
+    """Index of one shard from (doc_id, number of ids, bytes of its frame) in order; frames start at ``low``."""
     offsets = np.zeros(len(docs) + 1, "<u8")
-    np.cumsum([len(d[2]) for d in docs], out=offsets[1:])
-    offsets += len(head)
+    np.cumsum([d[2] for d in docs], out=offsets[1:])
+    offsets += low
     index = [np.array([d[0] or 0 for d in docs], "<i8").tobytes(), np.array([d[0] is None for d in docs], "?").tobytes(), offsets.tobytes(), np.array([d[1] for d in docs], "<u4").tobytes()]
-    return [head, *(d[2] for d in docs), *index, struct.pack("<Q", int(offsets[-1]))]
+    return b"".join([*index, struct.pack("<QQ", len(docs), int(offsets[-1]))])
 
 
 class Shard:
@@ -129,13 +133,13 @@ class Shard:
         fs, path = _file(uri)
         self._in = fs.open_input_file(path)
         size = self._in.size()
-        head = self._in.read_at(len(MAGIC) + 32 + 12, 0)
+        head = self._in.read_at(len(MAGIC) + 32 + 4, 0)
         if head[: len(MAGIC)] != MAGIC:
             raise ValueError(f"{uri} is no token shard")
-        width, self.n = struct.unpack("<IQ", head[-12:])
-        self.width, n = f"<u{width}", self.n
-        (at,) = struct.unpack("<Q", self._in.read_at(8, size - 8))
-        index = self._in.read_at(size - 8 - at, at)
+        (width,) = struct.unpack("<I", head[-4:])
+        n, at = struct.unpack("<QQ", self._in.read_at(16, size - 16))
+        self.width, self.n = f"<u{width}", n
+        index = self._in.read_at(size - 16 - at, at)
         ids, nulls = np.frombuffer(index, "<i8", n), np.frombuffer(index, "?", n, 8 * n)
         self.doc_ids = [None if null else i for i, null in zip(ids.tolist(), nulls.tolist(), strict=True)]
         self.offsets = np.frombuffer(index, "<u8", n + 1, 9 * n).tolist()
@@ -160,38 +164,47 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str
     spark = docs.sparkSession
     folder = folder or fresh_path(spark, "token-shards")
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    head = F.substring(F.col(text_col), 1, DICT_SAMPLE_BYTES).cast("binary").alias("text")
-    sample = docs.select(F.col(id_col).cast("long").alias("doc_id"), head).filter("text is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(DICT_SAMPLE_DOCS).collect()
-    dictionary = train_dictionary(encode_texts([bytes(r.text) for r in sample], tokenizer_path, end_id))
+    size = docs.agg(F.count("*"), F.sum(F.octet_length(F.col(text_col)))).first()
+    texts, spread = F.col(text_col), F.xxhash64(id_col, text_col)
+    place = F.pmod(F.shiftright(spread, 20), F.greatest(F.char_length(texts) - DICT_SAMPLE_CHARS, F.lit(0)) + 1).cast("int")
+    sample = docs.filter(texts.isNotNull() & (F.pmod(spread, F.lit(max(1, size[0]))) < DICT_SAMPLE_DOCS)).select(F.substring(texts, place + 1, F.lit(DICT_SAMPLE_CHARS)).cast("binary").alias("text")).collect()
+    dictionary = train_dictionary(sorted(encode_texts([bytes(r.text) for r in sample], tokenizer_path, end_id)), tokenizer_path)
     dict_hash, width = hashlib.sha256(dictionary).digest(), id_width(tokenizer_path)
-    shards = parts_for(text_bytes(narrow), SHARD_TEXT_BYTES)
-    cuts = narrow.agg(F.percentile_approx("doc_id", [i / shards for i in range(1, shards)], 10_000)).first()[0] if shards > 1 else []
-    cuts = np.array(sorted(set(cuts or [])), np.int64)
+    shards = max(1, min(parts_for(size[1] or 0, LEAST_SHARD_BYTES), 3 * spark.sparkContext.defaultParallelism), parts_for(size[1] or 0, SHARD_TEXT_BYTES))
+    head = MAGIC + dict_hash + struct.pack("<I", int(width[2]))
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = _compressor(dictionary)
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import uuid
+
+        from pyspark import TaskContext
+
+        pack, docs, out, at = _compressor(dictionary), [], None, len(head)
+        shard = TaskContext.get().partitionId()
+        fs, path = _file(f"{folder}/shard-{shard:06d}.ltok")
+        temp = f"{path}.{uuid.uuid4().hex}"
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            coded = [c for a, b in spans_of(texts) for c in encode_texts(texts[a:b], tokenizer_path, end_id)]
-            ids = batch.column(0)
-            shard = np.searchsorted(cuts, ids.fill_null(-(2**63)).to_numpy(zero_copy_only=False), side="left")
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(shard, pa.int32()), ids, pa.array([len(c) // int(width[2]) for c in coded], pa.int64()), pa.array([pack.compress(c) for c in coded], pa.binary())], names=["shard", "doc_id", "n_tokens", "frame"]
-            )
-
-    def write(rows: pa.Table) -> pa.Table:
-        found = list(zip(*(rows.column(c).to_pylist() for c in ("doc_id", "n_tokens", "frame")), strict=True))
-        found.sort(key=lambda d: (d[0] is not None, d[0] or 0, d[2]))
-        shard = rows.column("shard")[0].as_py()
-        path = f"{folder}/shard-{shard:06d}.ltok"
-        write_file(path, shard_body(found, width, dict_hash))
-        return pa.table({"shard": pa.array([shard], pa.int32()), "path": [path], "n_docs": [len(found)], "n_tokens": [sum(d[1] for d in found)]})
+            ids, raw = batch.column(0).to_pylist(), batch.column(1)
+            if out is None and ids:
+                out = fs.open_output_stream(temp)
+                out.write(head)
+            for a, b in spans_of(raw.to_pylist()):
+                coded = encode_texts(raw[a:b].to_pylist(), tokenizer_path, end_id)
+                for doc_id, c in zip(ids[a:b], coded, strict=True):
+                    frame = pack.compress(c)
+                    out.write(frame)
+                    docs.append((doc_id, len(c) // int(width[2]), len(frame)))
+        if out is not None:
+            index = shard_index(docs, at)
+            out.write(index)
+            out.close()
+            fs.move(temp, path)
+            yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "path": [f"{folder}/shard-{shard:06d}.ltok"], "n_docs": pa.array([len(docs)], pa.int64()), "n_tokens": pa.array([sum(d[1] for d in docs)], pa.int64())})
 
     fs, local = _file(folder)
     fs.create_dir(local, recursive=True)
     write_file(f"{folder}/{dict_hash.hex()}.zdict", [dictionary])
-    coded = narrow.mapInArrow(encode, "shard int, doc_id long, n_tokens long, frame binary")
-    made = sorted(coded.groupBy("shard").applyInArrow(write, "shard int, path string, n_docs long, n_tokens long").collect())
+    ordered = narrow.withColumn("h", F.xxhash64("text")).repartitionByRange(shards, "doc_id", "h").sortWithinPartitions("doc_id", "h")
+    made = sorted(ordered.select("doc_id", "text").mapInArrow(write, "shard int, path string, n_docs long, n_tokens long").collect())
     rows, start = [], 0
     for r in made:
         rows.append((*r, start))
