@@ -3,17 +3,21 @@
 Each text gives a vector of transformed statistics.  For every (lang, source) the minimum covariance
 determinant estimate is found by concentration steps: distances from the present centre, the share
 ``CORE`` of nearest rows (a mergeable quantile, so a group of any size is never in one task), their
-moments (plain sums), and again; of two deterministic starts the one with the smaller determinant
-stays.  The covariance is scaled to the chi-square median, re-estimated on the rows inside, and a
-text is rejected when its squared Mahalanobis distance passes the ``CUTOFF`` quantile.
-
-Only rows that pass the base rules take part in the estimate.  A variance under ``LEAST_SPREAD``
-is raised to it, so that a statistic that is nearly constant in a group does not reject its first
-exception; others stay as they are.
-Sources of fewer than ``LEAST_ROWS`` such rows in a language are taken together as one group; where
-even that is smaller there is no verdict, and its rows that pass the base stay.
+moments (plain sums), and again until the determinants of all groups have settled; of two deterministic
+starts the one with the smaller determinant stays.  The covariance is scaled to the chi-square median,
+re-estimated on the rows inside, and a text is rejected when its squared Mahalanobis distance passes the
+``CUTOFF`` quantile.
+
+Every group is judged by itself, however small: its estimate is regularised by that of its language over
+all sources, which counts as ``PRIOR_ROWS`` more rows in the covariance and ``PRIOR_CENTRE`` in the
+centre, so it fades as a group grows.  Only rows that pass the base rules take part in the estimates.  A
+variance under ``LEAST_SPREAD`` is raised to it, so that a statistic that is nearly constant in a group
+does not reject its first exception; others stay as they are.
+
 Null languages and sources form groups of their own; null and empty texts have no words and fail the
-base.  Repeated rows are judged one by one.
+base.  Repeated rows are judged one by one; rows at the same distance are taken or left together.  An
+empty table gives an empty one.  A very long text is one row of a batch and costs its own size.  Columns
+other than ``doc_id, lang, source, text`` are not read.
 """
 
 from __future__ import annotations
@@ -28,12 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from corpusloom.llm.common import written
+from corpusloom.llm.common import forget, written
 
 CORE = 0.75
-STEPS = 4
+MOST_STEPS = 8
+SETTLED = 1e-3  # change of a log determinant
 CUTOFF = 0.999
-LEAST_ROWS = 40
+PRIOR_ROWS, PRIOR_CENTRE = 30, 5
 LEAST_SPREAD = (0.0036, 0.04, 0.01, 0.01, 0.0025, 0.0025)
 SYMBOLS = b"#*$%&|<>"  # fixed by the contract
 P = len(LEAST_SPREAD)
@@ -127,26 +132,35 @@ def chi2_quantile(q: float, p: int) -> float:
 
 def _moments() -> list:
     sums = [F.sum(x).alias(f"s{i}") for i, x in enumerate(FEATURES)]
-    return [F.count("*").alias("n"), *sums, *[F.sum(F.col(FEATURES[i]) * F.col(FEATURES[j])).alias(f"q{i}_{j}") for i in range(P) for j in range(i, P)]]
+    return [F.count("*").alias("n"), *sums, *[F.sum(F.col(FEATURES[i]) * F.col(FEATURES[j])).alias(f"q{i}_{j}") for i, j in _PAIRS]]
+
 
+_PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
+_PARAMS = "lang string, source string, start int, logdet double, scale double, " + ", ".join([f"m{i} double" for i in range(P)] + [f"v{i}_{j} double" for i, j in _PAIRS] + [f"c{i}_{j} double" for i, j in _PAIRS])
 
-_PARAMS = "lang string, source string, start int, logdet double, scale double, " + ", ".join(f"m{i} double" for i in range(P)) + ", " + ", ".join(f"v{i}_{j} double" for i in range(P) for j in range(i, P))
+
+def _square(r, letter: str) -> np.ndarray:
+    out = np.empty((P, P))
+    for i, j in _PAIRS:
+        out[i, j] = out[j, i] = getattr(r, f"{letter}{i}_{j}")
+    return out
 
 
 def _fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Centre, inverse covariance and log determinant from the moments of each group."""
+    """Centre, inverse covariance, covariance and log determinant from the moments of each group and,
+    where it has one, the prior (``pm.., pc..``) of its language."""
     names = [c.split()[0] for c in _PARAMS.split(", ")]
     for rows in batches:
         out = []
         for r in rows.itertuples(index=False):
             mean = np.array([getattr(r, f"s{i}") for i in range(P)]) / r.n
-            cov = np.empty((P, P))
-            for i in range(P):
-                for j in range(i, P):
-                    cov[i, j] = cov[j, i] = getattr(r, f"q{i}_{j}") / r.n - mean[i] * mean[j]
+            cov = _square(r, "q") / r.n - np.outer(mean, mean)
+            if hasattr(r, "pm0") and not math.isnan(r.pm0):
+                mean = (r.n * mean + PRIOR_CENTRE * np.array([getattr(r, f"pm{i}") for i in range(P)])) / (r.n + PRIOR_CENTRE)
+                cov = (r.n * cov + PRIOR_ROWS * _square(r, "pc")) / (r.n + PRIOR_ROWS)
             cov[np.diag_indices(P)] = np.maximum(cov.diagonal(), LEAST_SPREAD)
             inv = np.linalg.inv(cov)
-            out.append((r.lang, r.source, r.start, float(np.linalg.slogdet(cov)[1]), 1.0, *mean, *(inv[i, j] for i in range(P) for j in range(i, P))))
+            out.append((r.lang, r.source, r.start, float(np.linalg.slogdet(cov)[1]), 1.0, *mean, *(inv[i, j] for i, j in _PAIRS), *(cov[i, j] for i, j in _PAIRS)))
         yield pd.DataFrame(out, columns=names)
 
 
@@ -158,32 +172,51 @@ def _joined(rows: DataFrame, params: DataFrame, how: str = "inner") -> DataFrame
     return rows.join(p, F.col("lang").eqNullSafe(F.col("__l")) & F.col("source").eqNullSafe(F.col("__s")), how).withColumn("d2", d2 / F.col("scale"))
 
 
-def mcd(stats: DataFrame) -> DataFrame:
-    """Parameters of each (lang, source) from a table with ``lang, source, x0..``."""
-    key = ["lang", "source"]
+def _same(lang: str, source: str, start: str | None = None):
+    same = F.col("lang").eqNullSafe(F.col(lang)) & F.col("source").eqNullSafe(F.col(source))
+    return same & (F.col("start") == F.col(start)) if start else same
+
+
+def mcd(stats: DataFrame, prior: DataFrame | None = None) -> DataFrame:
+    """Parameters of each (lang, source) from a table with ``lang, source, x0..``; ``prior`` has those of
+    the languages."""
+    key, group = ["lang", "source"], ["lang", "source", "start"]
     rows = stats.select(*key, *FEATURES)
-    spread = rows.groupBy(*key).agg(F.count("*").alias("n"), *[F.percentile_approx(x, [0.25, 0.5, 0.75], 1000).alias(f"k{i}") for i, x in enumerate(FEATURES)]).filter(F.col("n") >= LEAST_ROWS)
+    spread = rows.groupBy(*key).agg(*[F.percentile_approx(x, [0.25, 0.5, 0.75], 1000).alias(f"k{i}") for i, x in enumerate(FEATURES)])
     robust = [F.col(f"k{i}")[1].alias(f"m{i}") for i in range(P)]
-    diag = lambda width: [F.lit(0.0).alias(f"v{i}_{j}") if i != j else (1.0 / F.greatest(width(i), F.lit(LEAST_SPREAD[i]))).alias(f"v{i}_{j}") for i in range(P) for j in range(i, P)]
-    first = spread.select(*key, F.lit(0).alias("start"), F.lit(0.0).alias("logdet"), F.lit(1.0).alias("scale"), *robust, *diag(lambda i: F.pow((F.col(f"k{i}")[2] - F.col(f"k{i}")[0]) / 1.35, 2)))
-    second = spread.select(*key, F.lit(1).alias("start"), F.lit(0.0).alias("logdet"), F.lit(1.0).alias("scale"), *robust, *diag(lambda i: F.lit(0.0)))
-    fixed = lambda frame: written(frame, "quality-params")
-    params = fixed(first.unionByName(second))
-    group = [*key, "start"]
-    for _ in range(STEPS):
+    unset = [F.lit(0.0).alias(f"c{i}_{j}") for i, j in _PAIRS]
+    diag = lambda width: [F.lit(0.0).alias(f"v{i}_{j}") if i != j else (1.0 / F.greatest(width(i), F.lit(LEAST_SPREAD[i]))).alias(f"v{i}_{j}") for i, j in _PAIRS]
+    begun = lambda k, width: spread.select(*key, F.lit(k).alias("start"), F.lit(0.0).alias("logdet"), F.lit(1.0).alias("scale"), *robust, *diag(width), *unset)
+    first = begun(0, lambda i: F.pow((F.col(f"k{i}")[2] - F.col(f"k{i}")[0]) / 1.35, 2))
+    second = begun(1, lambda i: F.lit(0.0))
+    known = None
+    if prior is not None:
+        known = prior.select(F.col("lang").alias("pl"), *[F.col(f"m{i}").alias(f"pm{i}") for i in range(P)], *[F.col(f"c{i}_{j}").alias(f"pc{i}_{j}") for i, j in _PAIRS])
+
+    def fitted(chosen: DataFrame) -> DataFrame:
+        moments = chosen.groupBy(*group).agg(*_moments())
+        if known is not None:
+            moments = moments.join(known, F.col("lang").eqNullSafe(F.col("pl")), "left").drop("pl")
+        return moments.mapInPandas(_fit, _PARAMS)
+
+    params = written(first.unionByName(second), "quality-params")
+    for _ in range(MOST_STEPS):
         near = _joined(rows, params)
-        cut = near.groupBy(*group).agg(F.percentile_approx("d2", CORE, 1000).alias("cut"))
-        cut = cut.withColumnsRenamed({"lang": "__l", "source": "__s", "start": "__t"}).drop("lang")
-        core = near.drop("__l", "__s").join(cut, F.col("lang").eqNullSafe(F.col("__l")) & F.col("source").eqNullSafe(F.col("__s")) & (F.col("start") == F.col("__t"))).filter("d2 <= cut")
-        params = fixed(core.groupBy(*group).agg(*_moments()).mapInPandas(_fit, _PARAMS))
+        cut = near.groupBy(*group).agg(F.percentile_approx("d2", CORE, 1000).alias("cut")).withColumnsRenamed({"lang": "cl", "source": "cs", "start": "ct"})
+        core = near.drop("__l", "__s").join(cut, _same("cl", "cs", "ct")).filter("d2 <= cut")
+        before, params = params, written(fitted(core), "quality-params")
+        old = before.select(F.col("lang").alias("ol"), F.col("source").alias("os"), F.col("start").alias("ot"), F.col("logdet").alias("was"))
+        moved = params.join(old, _same("ol", "os", "ot")).agg(F.max(F.abs(F.col("logdet") - F.col("was")))).first()[0]
+        forget(before)
+        if moved is None or moved < SETTLED:
+            break
     least = params.groupBy(*key).agg(F.min_by(F.struct(*params.columns[2:]), F.struct("logdet", "start")).alias("p")).select(*key, "p.*")
     for last in (False, True):
-        middle = _joined(rows, least).groupBy(*key).agg((F.percentile_approx("d2", 0.5, 1000) / chi2_quantile(0.5, P)).alias("c")).withColumnsRenamed({"lang": "__l", "source": "__s"})
-        scaled = least.join(middle, F.col("lang").eqNullSafe(F.col("__l")) & F.col("source").eqNullSafe(F.col("__s")))
-        least = fixed(scaled.select(*key, "start", "logdet", F.greatest(F.col("c"), F.lit(1.0) if last else F.lit(1e-3)).alias("scale"), *params.columns[5:]))
+        middle = _joined(rows, least).groupBy(*key).agg((F.percentile_approx("d2", 0.5, 1000) / chi2_quantile(0.5, P)).alias("c")).withColumnsRenamed({"lang": "cl", "source": "cs"})
+        scaled = least.join(middle, _same("cl", "cs"))
+        least = written(scaled.select(*key, "start", "logdet", F.greatest(F.col("c"), F.lit(1.0) if last else F.lit(1e-3)).alias("scale"), *params.columns[5:]), "quality-params")
         if not last:
-            inside = _joined(rows, least).filter(F.col("d2") <= chi2_quantile(0.975, P))
-            least = inside.groupBy(*group).agg(*_moments()).mapInPandas(_fit, _PARAMS)
+            least = fitted(_joined(rows, least).filter(F.col("d2") <= chi2_quantile(0.975, P)))
     return least
 
 
@@ -192,9 +225,7 @@ def quality(docs: DataFrame) -> DataFrame:
     cols = ["doc_id", "lang", "source"]
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     stats = written(text_statistics(docs, cols).withColumn("base_failed", failed), "quality-stats")
-    sizes = stats.filter("not base_failed").groupBy("lang", "source").agg(F.count("*").alias("__n")).withColumnsRenamed({"lang": "__l", "source": "__s"})
-    known = stats.join(sizes, F.col("lang").eqNullSafe(F.col("__l")) & F.col("source").eqNullSafe(F.col("__s")), "left")
-    stats = known.withColumn("source", F.when(F.col("__n") >= LEAST_ROWS, F.concat(F.lit("="), F.col("source"))).when(F.col("__n").isNull() | (F.col("__n") < LEAST_ROWS), F.lit("*"))).drop("__l", "__s", "__n")
-    params = mcd(stats.filter("not base_failed"))
-    judged = _joined(stats, params, "left")
+    good = stats.filter("not base_failed").select("lang", "source", *FEATURES)
+    by_lang = mcd(good.withColumn("source", F.lit("*")))
+    judged = _joined(stats, mcd(good, by_lang), "left")
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & (F.coalesce("d2", F.lit(0.0)) <= chi2_quantile(CUTOFF, P))).alias("kept"), F.sqrt("d2").alias("distance"))
