@@ -11,7 +11,9 @@ follows a non-space).  A match of the split pattern always starts there, and a p
 by the tokenizer's pattern, so the ids are those of the whole text.  A hot word occurs once per word
 list, so no key holds more than one row per list.
 
-Null text counts as empty; an empty text has no ids.  Repeated rows and ids are kept as they are.
+Null text counts as empty; an empty text has no ids.  Repeated rows and ids are kept as they are, an
+empty table gives an empty one, other columns are not read.  A very long text is one document of a list
+of its own, so it costs its own size.
 """
 
 from __future__ import annotations
@@ -29,10 +31,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import fresh_path, parts_for, text_bytes
+from corpusloom.llm.common import delete, fresh_path, parts_for, text_bytes, written
 
 LIST_BYTES = 24 << 20  # text behind one word list
 PART_BYTES = 32 << 20
+MOST_BUCKETS = 50_000  # of the table of lists, half of what Spark takes; beyond it a bucket holds more lists
 
 _irregular = re.compile(r" \s| \Z|\s\n").search
 _loose_split = re.compile(r" (?=\S)").split
@@ -246,19 +249,18 @@ def bpe_round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
     (bytes), or with ``digest`` their SHA-256 in hex as ``ids_sha256`` and ``decoded_sha256``.
     ``ranks_path`` must be readable at the same place on every node.
     """
+    spark = docs.sparkSession
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     buckets = parts_for(text_bytes(narrow), PART_BYTES)
-    lists = _listed(narrow.mapInArrow(_word_lists(buckets), _LISTS), buckets)
+    name, path = f"loom_word_lists_{uuid.uuid4().hex}", fresh_path(spark, "word-lists")
+    # Bucketed by list: documents are then joined with their ids where they lie, only words and ids move.
+    parts = min(MOST_BUCKETS, max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    narrow.mapInArrow(_word_lists(buckets), _LISTS).write.bucketBy(parts, "list").option("path", path).saveAsTable(name)
+    lists = spark.table(name)
     coded = lists.filter("bucket >= 0").groupBy("bucket").applyInArrow(_encode_bucket(ranks_path, pattern), _LISTS)
     out = "doc_id long, n_tokens long, " + ("ids_sha256 string, decoded_sha256 string" if digest else "ids binary, decoded binary")
-    return lists.filter("bucket < 0").groupBy("list").cogroup(coded.groupBy("list")).applyInArrow(_assemble(ranks_path, digest), out)
-
-
-def _listed(lists: DataFrame, parts: int) -> DataFrame:
-    """The word lists as a table in the shared folder, bucketed by list: the documents of a list are
-    then joined with their ids where they lie, and only words and ids are shuffled."""
-    spark = lists.sparkSession
-    name = f"loom_word_lists_{uuid.uuid4().hex}"
-    parts = max(parts, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    lists.write.bucketBy(parts, "list").option("path", fresh_path(spark, "word-lists")).saveAsTable(name)
-    return spark.table(name)
+    joined = lists.filter("bucket < 0").groupBy("list").cogroup(coded.groupBy("list")).applyInArrow(_assemble(ranks_path, digest), out)
+    table = written(joined, "bpe")
+    spark.sql(f"DROP TABLE {name}")
+    delete(spark, path)
+    return table

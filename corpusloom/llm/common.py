@@ -6,7 +6,9 @@ so that a lost executor costs a re-read and not a recomputation of the whole lin
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +16,26 @@ from pyspark.sql import functions as F
 
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _own_dir: dict[str, str] = {}
+_open_jobs: dict[str, list] = {}
+_lock = threading.Lock()
+
+
+@contextlib.contextmanager
+def _cleaning(spark: SparkSession):
+    """Shuffle files of the jobs inside go once they are done; concurrent users share one switch, and the
+    last one to leave sets it back."""
+    app = spark.sparkContext.applicationId
+    with _lock:
+        users = _open_jobs.setdefault(app, [0, spark.conf.get(_CLEAN)])
+        users[0] += 1
+        spark.conf.set(_CLEAN, "true")
+    try:
+        yield
+    finally:
+        with _lock:
+            users[0] -= 1
+            if not users[0]:
+                spark.conf.set(_CLEAN, _open_jobs.pop(app)[1])
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -37,24 +59,28 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and return the table: cuts lineage for good."""
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    before = spark.conf.get(_CLEAN)
-    try:
-        spark.conf.set(_CLEAN, "true")  # shuffle files of this job go once its table is there
+    with _cleaning(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(_CLEAN, before)
     table = spark.read.schema(df.schema).parquet(path)
     table._loom_path = path
     return table
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def forget(table: DataFrame) -> None:
     """Delete a table made by :func:`written` once nothing reads it any more."""
     path = getattr(table, "_loom_path", None)
     if path is not None:
-        spark = table.sparkSession
-        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+        delete(table.sparkSession, path)
+
+
+def packed_row(docs: DataFrame) -> Column:
+    """All columns of ``docs`` as one struct, so that no name of theirs can meet one of an operator."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
