@@ -4,8 +4,9 @@ A bucket is a set of nodes that share a band key.  The first pass compares every
 node of its bucket; the links make components.  While a bucket holds several components, further
 passes take ``HUBS`` members of it by a hash that changes with the pass and compare the members of
 other components with them; a bucket of up to ``HUBS + 1`` members has then met all its pairs and is
-done.  Larger buckets get further passes until one finds no link: a member that has links to a share f
-of a component is missed by a pass with a probability of (1 - f) ** (HUBS * buckets that they share).
+done.  A larger bucket gets another pass as long as the last one has found a link at one of its members.
+A member that has links to a share f of a component is missed by a pass with a probability of
+(1 - f) ** (HUBS * buckets that they share).
 
 Hubs come from a ranking that is cut before the shuffle, so a bucket of any size costs a task its own
 rows; the joins by bucket have small hub sides, so a hot bucket can be split.
@@ -70,11 +71,11 @@ def settled(shared: DataFrame, verify: Callable[[DataFrame], DataFrame], likely:
     ones, ``verify`` keeps those that are similar.
     """
     stars = shared.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    tested = written(likely(stars).select("a", "b"), f"{label}-pairs")
-    links = written(verify(tested), f"{label}-links")
+    tested = [written(likely(stars).select("a", "b"), f"{label}-pairs")]
+    links = written(verify(tested[0]), f"{label}-links")
     roots = written(connected_components(links), f"{label}-roots")
     forget(links)
-    rows, turn = shared.select("key", "node"), 0
+    rows, turn, last = shared.select("key", "node"), 0, None
     while True:
         turn += 1
         known = rows.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("comp"))
@@ -84,17 +85,19 @@ def settled(shared: DataFrame, verify: Callable[[DataFrame], DataFrame], likely:
         place = Window.partitionBy("key").orderBy(F.xxhash64("node", F.lit(turn)), "node")
         hubs = open_rows.withColumn("k", F.row_number().over(place)).filter(F.col("k") <= HUBS).select("key", F.col("node").alias("hub"), F.col("comp").alias("hub_comp"))
         met = open_rows.join(hubs, "key").filter("comp <> hub_comp").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        fresh = written(likely(met.join(tested, ["a", "b"], "left_anti")).select("a", "b"), f"{label}-pairs")
-        more = written(verify(fresh), f"{label}-links")
-        found = not more.isEmpty()
-        if found:
-            before, roots = roots, written(merged(roots, more), f"{label}-roots")
-            forget(before)
-        both = written(tested.unionByName(fresh), f"{label}-pairs") if found else tested
-        for old in (open_rows, more, fresh, *([tested] if found else [])):
-            forget(old)
-        tested = both
-        if not found:
-            forget(tested)
-            return roots
-        rows = shared.select("key", "node")
+        new = met.join(reduce(DataFrame.unionByName, tested), ["a", "b"], "left_anti")
+        tested.append(written(likely(new).select("a", "b"), f"{label}-pairs"))
+        more = written(verify(tested[-1]), f"{label}-links")
+        if last is not None:
+            forget(last)
+        last = open_rows
+        if more.isEmpty():
+            break
+        before, roots = roots, written(merged(roots, more), f"{label}-roots")
+        forget(before)
+        ends = more.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        again = open_rows.join(ends, "node", "left_semi").select("key").distinct()
+        rows = open_rows.select("key", "node").join(again, "key", "left_semi")
+    for old in [*tested, last]:
+        forget(old)
+    return roots

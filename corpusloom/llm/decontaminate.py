@@ -11,7 +11,10 @@ within one stage and only verified windows leave it, so no document is shuffled
 passage or word costs no task more than its own documents.
 
 Null and empty texts have no words.  Items without words never occur.  A null item_id counts as an
-item named by the empty string.  Rows are judged one by one, so repeated rows and ids stay.
+item named by the empty string.  Rows are judged one by one, so repeated rows and ids stay; of equally
+rare words of a window the first by name, then by place, is its prefix.  Empty tables give empty ones and
+no hits.  The words of a very long text are one array in one task.  Columns other than ``doc_id, text,
+item_id`` pass unread, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import written
+from corpusloom.llm.common import packed_row, written
 
 WINDOW = 10
 BROADCAST_BYTES = 48 << 20
@@ -116,8 +119,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
 def without_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` in which no window occurs, with all columns."""
     named = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
-    hit = window_hits(named, items.select("item_id", "text"), window).filter("start is not null").select(F.col("doc_id").alias("__id"), F.col("h").alias("__h")).distinct()
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__h")), "left_anti")
+    hit = window_hits(named, items.select("item_id", "text"), window).filter("start is not null").select(F.col("doc_id").alias("hit_id"), F.col("h").alias("hit_h")).distinct()
+    rows = docs.select(packed_row(docs).alias("row"), F.col("doc_id"), F.xxhash64("text").alias("h"))
+    return rows.join(hit, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("h") == F.col("hit_h")), "left_anti").select("row.*")
 
 
 # Fixed values of the contract in SQL; windows of documents are made for each length that items have.

@@ -57,12 +57,20 @@ def test_equals_brute_force_also_with_hot_anchors(spark, monkeypatch):
 
 
 def test_spans_and_kept(spark):
-    text = "x" * 40 + "".join(random.Random(1).choice("abcdef") for _ in range(200))
+    rng = random.Random(1)
+    text = "x" * 40 + "".join(rng.choice("abcdef") for _ in range(200))
     docs = spark.createDataFrame([(1, text), (2, "new" + text)], "doc_id long, text string")
     first, second = S.suffix_dedup(docs).orderBy("doc_id").collect()
     assert first.n_removed == 0 and bytes(first.kept) == text.encode()
     assert [(s.start, s.end) for s in second.spans] == [(3, 243)] and bytes(second.kept) == b"new"
 
 
+def test_a_run_repeats_itself(spark):
+    """Each 100-byte string of the run but its first one also starts earlier."""
+    docs = spark.createDataFrame([(1, "x" * 40 + "b" * 200)], "doc_id long, text string")
+    row = S.suffix_dedup(docs).first()
+    assert row.n_removed == 199 and [(s.start, s.end) for s in row.spans] == [(41, 240)] and bytes(row.kept) == b"x" * 40 + b"b"
+
+
 def test_empty_table(spark):
     assert S.suffix_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
