@@ -32,6 +32,11 @@ def test_validation(spark):
     ]
 
 
+def test_validation_is_as_lenient_as_the_parser(spark):
+    got = errors(spark, '{"instruction":"a","instruction":"b","response":"c"}', '{"instruction":"a","response":"c","s":NaN}', '{"response":"b","instruction":"a","response":" "}', "[NaN]", '{"instruction":"a","response":"c","s":1' + "0" * 400 + "}", "NaN")
+    assert got == [None, None, "'response' must be non-empty text", "record must be a JSON object", None, "record must be a JSON object"]
+
+
 def test_summary(spark):
     text = spark.createDataFrame([('{"instruction":"Q","response":"A"}\n\nnot json\n{"instruction":"Q"}\n',)], "value string")
     s = R.validation_summary(R.validated(R.jsonl_lines(text))).first()
@@ -59,6 +64,29 @@ def test_packing_and_batches(spark):
     assert (b[0].input_ids, b[0].labels, b[0].attention_mask) == ([[1, 2], [3, 9]], [[-100, 2], [3, -100]], [[1, 1], [1, 0]]) and b[1].input_ids == [[4]]
 
 
+def test_offsets_over_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(S, "PART_ROWS", 3)
+    rows = [(k * 7 % 101, k % 5) for k in range(300)] + [(None, 4)]
+    got = S.offsets(spark.createDataFrame(rows, "k int, n int"), "k", "n").collect()
+    ordered = sorted(got, key=lambda r: (r.offset, r.n != 0))
+    keys = [-1 if r.k is None else r.k for r in sorted(got, key=lambda r: (r.offset + r.n, r.offset))]
+    assert len(got) == 301 and keys == sorted(keys) or sum(r.n for r in ordered) == sum(n for _, n in rows)
+    assert max(r.offset + r.n for r in got) == sum(n for _, n in rows)
+    ranks = S.numbered(spark.createDataFrame([(k,) for k in range(500, 0, -1)], "k int"), "k").collect()
+    assert all(r.rank == r.k for r in ranks)
+    bare = spark.createDataFrame([(5, [1]), (5, [2]), (6, [3])], "d int, ids array<int>")
+    blocks = S.pack(bare, "d", "ids", 0, 2).orderBy("block_id").collect()
+    assert sorted(b.input_ids for b in blocks) == [[1, 0], [2, 0], [3, 0]]
+
+
+def test_holdout_of_many_rows(spark, monkeypatch):
+    monkeypatch.setattr(S, "PART_ROWS", 5)
+    rows = spark.range(5000)
+    few = {r.id for r in S.holdout(rows, "id").filter("split = 'eval'").collect()}
+    monkeypatch.undo()
+    assert len(few) == 100 and few == {r.id for r in S.holdout(rows, "id").filter("split = 'eval'").collect()}
+
+
 def test_counts_of_known_runs(spark):
     rows = spark.range(4334).withColumnRenamed("id", "k")
     assert dict(S.holdout(rows, "k").groupBy("split").count().collect()) == {"train": 4248, "eval": 86}

@@ -8,8 +8,9 @@ from corpusloom.streaming import runner
 GOOD = " ".join(["People act with purpose and choose among scarce means."] * 12)
 
 
-def test_progress(tmp_path):
-    p = tmp_path / "progress.json"
+def test_progress(spark, tmp_path):
+    p = tmp_path / "state" / "progress.json"
+    p.parent.mkdir()
     assert files.load_progress(p) == 0
     for text in ("{not json", "[1]", '{"last_chunk": -1}', '{"last_chunk": true}', '{"last_chunk": "3"}'):
         p.write_text(text)
@@ -17,7 +18,7 @@ def test_progress(tmp_path):
     p.write_text('{"last_chunk": 99}')
     assert files.load_progress(p, 12) == 12
     files.save_progress(7, p)
-    assert files.load_progress(p) == 7 and not list(tmp_path.glob("*.tmp"))
+    assert files.load_progress(p) == 7 and [x.name for x in p.parent.iterdir() if not x.name.endswith(".crc")] == ["progress.json"]
     for bad in (-1, True):
         with pytest.raises(ValueError):
             files.save_progress(bad, p)
@@ -53,6 +54,76 @@ def test_pdf_spans_of_a_page_tree(spark):
     assert pdf.plain_text(spark.createDataFrame(rows, pdf.SCHEMA)).first().text == "00\n01\n10\n11"
 
 
+def test_text_sinks(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 2, "two"), ("a", 1, "one"), ("b", 1, "x")], "doc string, para_no int, text string")
+    files.write_texts(files.corpus(rows), f"{tmp_path}/t")
+    back = files.whole_texts(spark, f"{tmp_path}/t", recursive=True)
+    assert sorted(r.text.rstrip("\n") for r in back.collect()) == ["one\n\ntwo", "x"]
+    chunks = lambda n: spark.createDataFrame([("a", k, f"c{k}") for k in range(1, n + 1)], "doc string, chunk_no int, chunk string")
+    files.write_chunks(chunks(4), f"{tmp_path}/c")
+    files.write_chunks(chunks(2), f"{tmp_path}/c")
+    assert files.listed(spark, f"{tmp_path}/c", "*.txt").count() == 2
+    for n in (1, 2):
+        files.write_json(spark.range(n), f"{tmp_path}/j")
+    assert spark.read.json(f"{tmp_path}/j").count() == 2
+
+
+def test_small_files(spark, tmp_path):
+    for name, folder in (("x", "one"), ("x", "two"), ("y", "two")):
+        (tmp_path / folder).mkdir(exist_ok=True)
+        (tmp_path / folder / name).write_text(folder)
+    (tmp_path / "out").mkdir()
+    assert files.copy_first(spark, ["x", "y", "z"], [f"{tmp_path}/one", f"{tmp_path}/two"], f"{tmp_path}/out") == ["x", "y"]
+    assert [(tmp_path / "out" / n).read_text() for n in "xy"] == ["one", "two"]
+    listed = spark.createDataFrame([("/c/models--a/snapshots/1/f",), ("/c/models--a/snapshots/2/f",), ("/c/models--a/refs/main",)], "path string")
+    assert files.snapshot(listed).first().path == "/c/models--a/snapshots/2" and files.snapshot(listed.limit(0)).first().path is None
+
+
+def test_pdf_files_through_a_stand_in(spark, tmp_path):
+    (tmp_path / "b.pdf").write_bytes(b"p one|p two")
+
+    class Page:
+        def __init__(self, text):
+            self.text = text
+
+        def get_text(self, kind=None):
+            return {"blocks": [{"lines": [{"bbox": [1.0, 0, 0, 0], "spans": [{"size": 9, "text": self.text}]}]}]} if kind else self.text
+
+    class File(list):
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            return False
+
+    opened = lambda content: File(map(Page, content.decode().split("|")))
+    assert [tuple(r) for r in pdf.pdf_texts(spark, str(tmp_path), opened).collect()] == [("b.pdf", "p one\np two")]
+    assert [(r.page, r.text) for r in pdf.pdf_spans(spark, str(tmp_path), opened).collect()] == [(0, "p one"), (1, "p two")]
+
+
+def test_settings_and_command_line(spark, tmp_path):
+    from corpusloom import config, validate
+
+    assert config.TrainingConfig.from_env({"LOOM_EPOCHS": "3", "LOOM_LEARNING_RATE": "1e-4"}) == config.TrainingConfig(epochs=3, learning_rate=1e-4)
+    with pytest.raises(ValueError):
+        config.TrainingConfig.from_env({"LOOM_SEED": "x"})
+    (tmp_path / "good.jsonl").write_text('{"instruction":"Q","response":"A"}\n')
+    (tmp_path / "bad.jsonl").write_text('{"instruction":"Q"}\n')
+    assert [validate.main([f"{tmp_path}/{n}"]) for n in ("good.jsonl", "bad.jsonl", "none.jsonl")] == [0, 1, 2]
+
+
+def test_vocabulary_counter(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from corpusloom.functions.tokens import vocabulary_counter
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["Hello there, world", "", None]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(vocabulary_counter(path)("t").alias("n")).collect()
+    assert [r.n for r in got] == [len(Tokenizer.from_file(path).encode(t or "", add_special_tokens=False).ids) for t in texts]
+
+
 def test_stream_resumes(spark, tmp_path):
     chunks, out, check = tmp_path / "chunks" / "book", str(tmp_path / "out"), str(tmp_path / "check")
     chunks.mkdir(parents=True)
