@@ -15,7 +15,9 @@ features and is joined as a broadcast table of that fixed size.  Words are explo
 one stage, partial sums are made before the shuffle, and only paragraphs with a feature and lines
 without a word leave it.
 
-Null and empty texts have no paragraphs.  Rows are judged one by one, so repeated rows stay.
+Null and empty texts have no paragraphs.  Rows are judged one by one, so repeated rows stay; of families
+of one score the first by name is taken.  An empty table gives an empty one; a very long text is exploded
+line by line in its own task.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -79,6 +81,11 @@ TEMPLATES: dict[str, list[str]] = {
         "SPDX-License-Identifier: GPL-3.0-or-later",
         "Licensed under the GPLv3.",
     ],
+    "isc": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "Released under the ISC License.",
+        "SPDX-License-Identifier: ISC",
+    ],
     "lgpl": [
         "This library is licensed under the GNU Lesser General Public License, version 2.1.",
         "This library is free software; you can redistribute it under the terms of the GNU Lesser General Public License.",
