@@ -7,15 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate
+from corpusloom.llm import decontaminate, rolling
 from corpusloom.llm.bag_minhash import near_duplicates
 from corpusloom.llm.byte_bpe import bpe_round_trip
 from corpusloom.llm.common import documents
 from corpusloom.llm.fuzzy_lines import fuzzy_lines
 from corpusloom.llm.language_id import languages
 from corpusloom.llm.license_scan import license_scan
+from corpusloom.llm.periodic_runs import periodic_runs, with_planted_runs
 from corpusloom.llm.pii_crf import personal_data
 from corpusloom.llm.quality_mcd import quality
+from corpusloom.llm.rank_bpe import rank_bpe
 from corpusloom.llm.suffix_dedup import suffix_dedup
 from corpusloom.llm.token_shards import read_shards, write_shards
 
@@ -73,6 +75,20 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_paragraphs", "n_licensed", F.array_join("families", ",").alias("families"), listed.alias("paragraphs"))
 
 
+def op11_rolling_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rolling.document_windows(documents(spark, sf_dir))
+
+
+def op12_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return rank_bpe(documents(spark, sf_dir), _tokenizer("byte_bpe_50k.json"), public_tokenizers.PATTERN, digest=True)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(with_planted_runs(documents(spark, sf_dir)), digest=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_bag_minhash": op2_bag_minhash,
@@ -84,8 +100,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_fuzzy_lines": op9_fuzzy_lines,
     "op10_license_scan": op10_license_scan,
+    "op11_rolling_ranks": op11_rolling_ranks,
+    "op12_rank_bpe": op12_rank_bpe,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {
     "op4_decontaminate": decontaminate.ORACLE,
+    "op11_rolling_ranks": rolling.ORACLE,
 }

@@ -8,10 +8,11 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bag_minhash, byte_bpe, decontaminate, fuzzy_lines, language_id, license_scan, pii_crf, quality_mcd, suffix_dedup, token_shards
+from corpusloom.llm import bag_minhash, byte_bpe, decontaminate, fuzzy_lines, language_id, license_scan, periodic_runs, pii_crf, quality_mcd, rank_bpe, rolling, suffix_dedup, token_shards
 
 CLASH = "row text_ h node bag root score rejected lang_pred held_out n_lines n_removed k o t own lines key hub a b packs hit_id hit_h start length items words w __w __h __id __k __text d2 n q0_0 m0 kept feature f paragraph line first".split()
 BPE, PATTERN, WORDS = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, public_tokenizers.path("word_bpe_49k.json")
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def prose(rng, n):
@@ -47,6 +48,9 @@ OPERATORS = {
     "bpe": lambda s, d: byte_bpe.bpe_round_trip(d, BPE, PATTERN, digest=True),
     "lines": lambda s, d: fuzzy_lines.fuzzy_lines(d),
     "licence": lambda s, d: license_scan.license_scan(d),
+    "windows": lambda s, d: rolling.document_windows(d, (3600,)),
+    "ranks": lambda s, d: rank_bpe.rank_bpe(d, VOCABULARY, PATTERN, digest=True),
+    "runs": lambda s, d: periodic_runs.periodic_runs(d),
 }
 
 
