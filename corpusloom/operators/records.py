@@ -10,17 +10,23 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from corpusloom.functions import text as T
+from corpusloom.sources import files
 
 ROLES = ["assistant", "system", "user"]  # fixed value, in the order of the messages about it
 
 
+def jsonl_records(spark: SparkSession, path: str, suffix: str = "*", split_bytes: int = 128 << 20) -> DataFrame:
+    """``path, line_no, value`` of the lines of JSONL files of any size that are not blank (blank ones count)."""
+    return files.numbered_lines(spark, path, suffix, split_bytes).filter(T.strip(F.col("value")) != "")
+
+
 def jsonl_lines(files: DataFrame, text: str = "value") -> DataFrame:
-    """Lines that are not blank, with their number from 1 (blank lines count)."""
+    """The same for whole texts in rows: lines that are not blank, with their number from 1."""
     keep = [c for c in files.columns if c != text]
     each = files.select(*keep, F.posexplode(F.split(F.regexp_replace(text, "\r\n?", "\n"), "\n")).alias("pos", "value"))
     return each.filter(T.strip(F.col("value")) != "").select(*keep, (F.col("pos") + 1).alias("line_no"), "value")

@@ -2,54 +2,34 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
+
+from corpusloom.operators import ranges
 
 BLOCK = 384
 MAX_LENGTH = 192
 PART_ROWS = 200_000  # rows of a range that are summed in one task
-MOST_PARTS = 4096
+HASH_DIGITS = 64  # of a key's and a row's digest
+FEISTEL_ROUNDS = 6
 IGNORED = -100  # label of a position that does not count
 
 
-def _borders(rows: DataFrame, order: str, n: int) -> list:
-    """Values that cut ``n`` rows into ranges of about ``PART_ROWS``: quantiles of the values whose hash is
-    below a bound, so they are the same at every evaluation, and about 16 for each range."""
-    parts = min(MOST_PARTS, -(-n // PART_ROWS))
-    if parts < 2:
-        return []
-    drawn = rows.select(order).filter(F.col(order).isNotNull() & (F.pmod(F.xxhash64(order), F.lit(n)) < 16 * parts))
-    values = sorted(r[0] for r in drawn.collect())
-    return sorted({values[k * len(values) // parts] for k in range(1, parts)}) if values else []
-
-
-def _range_of(order: str, borders: list) -> Column:
-    """Number of the borders below a value, by blocks of 64 borders and then within one block."""
-    if not borders:
-        return F.lit(0)
-    below = lambda values: F.size(F.filter(values, lambda c: c < F.col(order)))
-    blocks = [borders[k : k + 64] for k in range(0, len(borders), 64)]
-    block = below(F.array(*[F.lit(b[-1]) for b in blocks]))
-    within = below(F.get(F.array(*[F.array(*map(F.lit, b)) for b in blocks]), block))
-    return F.coalesce(block * 64 + F.when(block < len(blocks), within).otherwise(0), F.lit(0))
-
-
 def offsets(sizes: DataFrame, order: str, size: str) -> DataFrame:
     """``sizes`` with ``offset``, the sum of the sizes before a row in ``order`` (of any orderable type;
     nulls first, rows of one value in any order).
 
-    Rows are dealt into ranges of the order by their number; only the total of each range is summed in
-    one place.
+    Rows are dealt into ranges of the order, those of one value into several if they are many; only the
+    total of each range is summed in one place.
     """
-    dealt = sizes.withColumn("__part", _range_of(order, _borders(sizes, order, sizes.count())))
-    totals = dealt.groupBy("__part").agg(F.sum(size).alias("__sum"))
-    over = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    before = totals.select("__part", F.coalesce(F.sum("__sum").over(over), F.lit(0)).alias("__before"))
-    within = Window.partitionBy("__part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    own = dealt.withColumn("__own", F.coalesce(F.sum(size).over(within), F.lit(0)))
-    return own.join(F.broadcast(before), "__part").withColumn("offset", (F.col("__own") + F.col("__before")).cast("bigint")).drop("__part", "__own", "__before")
+    return ranges.running(ranges.ranged(sizes, [order], PART_ROWS), size).select("row.*", "offset")
 
 
 def pack(docs: DataFrame, order: str, ids: str, end_id: int, block: int = BLOCK) -> DataFrame:
@@ -108,39 +88,91 @@ def _shared_prefix(marked: DataFrame, take: int) -> str:
     known, left = "", take
     while True:
         width = len(known) + 2
-        inside = marked.filter(F.startswith("__h", F.lit(known))) if known else marked
-        counts = sorted((r[0], r[1]) for r in inside.groupBy(F.substring("__h", 1, width)).count().collect())
+        inside = marked.filter(F.startswith("h", F.lit(known))) if known else marked
+        counts = sorted((r[0], r[1]) for r in inside.groupBy(F.substring("h", 1, width)).count().collect())
         for prefix, n in counts:
             if n >= left:
                 break
             left -= n
-        if n <= PART_ROWS or width == 32:
+        if n <= PART_ROWS or width == HASH_DIGITS:
             return prefix
         known = prefix
 
 
 def holdout(rows: DataFrame, key: str, fraction: float = 0.02, seed: int = 42) -> DataFrame:
-    """``rows`` with ``split``: exactly max(1, n * fraction) rows are ``eval``, chosen by hash order.
+    """``rows`` with ``split``: exactly max(1, n * fraction) rows are ``eval``, chosen by hash order of the
+    key; among rows of one key a hash of where a row was read decides, so as many as are due go in.
 
     The prefix of the last chosen hash is found by counting prefixes; only its rows are sorted.
     """
-    n = rows.count()
+    named = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(f"`{key}`").cast("string"), F.lit(""))).cast("binary"))
+    own = F.md5(F.concat(F.lit(f"{seed}:"), F.monotonically_increasing_id().cast("string")).cast("binary"))
+    marked = ranges.stored(rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"), F.concat(named, own).alias("h")), "holdout")
+    n = marked.count()
     take = max(1, int(n * fraction)) if fraction > 0 and n else 0
     if not take:
-        return rows.withColumn("split", F.lit("train"))
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))).cast("binary"))
-    marked = rows.withColumn("__h", digest)
-    prefix = _shared_prefix(marked.select("__h"), take)
-    head = F.substring("__h", 1, len(prefix))
+        return marked.select("row.*", F.lit("train").alias("split"))
+    prefix = _shared_prefix(marked.select("h"), take)
+    head = F.substring("h", 1, len(prefix))
     left = take - marked.filter(head < prefix).count()
-    bound = marked.filter(head == prefix).select(F.struct(F.col("__h").alias("h"), F.col(key).alias("k")).alias("b")).orderBy("b").limit(left).agg(F.max("b").alias("m")).first().m
-    inside = (F.col("__h") < bound.h) | ((F.col("__h") == bound.h) & (F.col(key).isNull() | F.coalesce(F.col(key) <= F.lit(bound.k), F.lit(False))))
-    return marked.withColumn("split", F.when(inside, "eval").otherwise("train")).drop("__h")
+    bound = marked.filter(head == prefix).select("h").orderBy("h").limit(left).agg(F.max("h")).first()[0]
+    return marked.select("row.*", F.when(F.col("h") <= bound, "eval").otherwise("train").alias("split"))
+
+
+class Permutation:
+    """A permutation of 0 .. n - 1 for a seed and an epoch, without a table: a Feistel network.
+
+    A number is a pair (l, r) of a grid of ``a`` by ``b`` cells, just larger than n.  In turns l and r are
+    shifted by a hash of the other and a key, which permutes the grid; a number that falls on one of the few
+    cells from n on walks on along its cycle until it is inside.
+    """
+
+    def __init__(self, n: int, seed: int, epoch: int):
+        self.n, self.a = n, math.isqrt(max(n - 1, 0)) + 1
+        self.b = -(-n // self.a) or 1
+        self.keys = [int(hashlib.md5(f"{seed}:{epoch}:{k}".encode()).hexdigest()[:7], 16) for k in range(FEISTEL_ROUNDS)]
+
+    @staticmethod
+    def mixed(v: np.ndarray, key: int) -> np.ndarray:
+        """A hash below 2 ** 31; no step passes 63 bits for v below 2 ** 31."""
+        u = (v + key) % 2147483648 * 1103515245 % 2147483648
+        return (u ^ (u >> 13)) * 69069 % 2147483647
+
+    def _step(self, x: np.ndarray) -> np.ndarray:
+        left, right = x // self.b, x % self.b
+        for k, key in enumerate(self.keys):
+            if k % 2:
+                right = (right + self.mixed(left, key)) % self.b
+            else:
+                left = (left + self.mixed(right, key)) % self.a
+        return left * self.b + right
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        out = self._step(x)
+        while (far := np.flatnonzero(out >= self.n)).size:
+            out[far] = self._step(out[far])
+        return out
 
 
 def epoch_order(rows: DataFrame, key: str, seed: int, epoch: int) -> DataFrame:
-    """``rows`` in another order for each epoch, the same one for a seed: by a hash of the key."""
-    return rows.orderBy(F.xxhash64(F.col(key), F.lit(seed), F.lit(epoch)), key)
+    """``rows`` with ``position``, their place (from 0) in the order of an epoch: one for each seed and
+    epoch.  Row number i of the order of ``key`` goes to the place that :class:`Permutation` names.
+
+    Places are dealt into stretches of ``PART_ROWS`` and ordered within them, so the partitions in turn hold
+    the whole order; nothing is sorted as a whole.
+    """
+    ranked = numbered(rows, key)
+    n = ranked.count()
+    order = Permutation(n, seed, epoch)
+
+    @F.pandas_udf(LongType())
+    def place(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for rank in parts:
+            yield pd.Series(order(rank.to_numpy() - 1))
+
+    placed = ranked.select(*[F.col(f"`{c}`") for c in rows.columns], place("rank").alias("position"))
+    parts = max(1, -(-n // PART_ROWS))
+    return placed.repartitionById(parts, F.expr(f"int(position div {PART_ROWS})")).sortWithinPartitions("position")
 
 
 def optimizer_steps(batches: int, accumulate: int, epochs: int, most: int = 0) -> int:

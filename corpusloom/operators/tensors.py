@@ -26,8 +26,8 @@ def adapter_pairs(adapter: DataFrame) -> DataFrame:
 
 
 def scaling(config: DataFrame) -> DataFrame:
-    """``scaling`` of an adapter from its configuration: ``lora_alpha / r``."""
-    return config.select((F.col("lora_alpha").cast("double") / F.col("r")).alias("scaling"))
+    """Configurations of adapters with their ``scaling``: ``lora_alpha / r``."""
+    return config.withColumn("scaling", F.col("lora_alpha").cast("double") / F.col("r"))
 
 
 def trainable_share(tensors: DataFrame, trained: Column, size: str) -> DataFrame:

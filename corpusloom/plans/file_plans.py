@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import functions as F
 
+from corpusloom.functions.tokens import vocabulary_counter
 from corpusloom.operators import records as R
 from corpusloom.operators import segment
 from corpusloom.operators import sequence as S
@@ -22,37 +22,66 @@ def _md5(c):
     return F.md5(F.col(c).cast("binary"))
 
 
+def _paragraphs(spark, d):
+    return _docs(spark, d).select(F.col("doc_id").cast("string").alias("doc"), F.posexplode(F.split("text", "\n")).alias("para_no", "text"))
+
+
 def text_files(spark, d):
-    """Texts of each source as one file, read back whole (sinks of texts and of paragraphs, text source)."""
+    """The lines of each document as paragraphs of its file, read back whole (sinks of texts and of
+    paragraphs, text source)."""
     folder = files.work_folder(spark, "texts")
-    parts = _docs(spark, d).select(F.col("source").alias("doc"), F.col("doc_id").alias("para_no"), F.replace("text", F.lit("\n"), F.lit(" ")).alias("text"))
-    files.write_texts(files.corpus(parts), folder)
+    files.write_texts(files.corpus(_paragraphs(spark, d)), folder)
     back = files.whole_texts(spark, folder, recursive=True)
     name = F.regexp_extract("path", r"/doc=([^/]+)/", 1)
-    return back.select(name.alias("source"), F.md5(F.regexp_replace("text", "\n$", "").cast("binary")).alias("text_md5"))
+    return back.select(name.alias("doc"), F.md5(F.regexp_replace("text", r"\n\z", "").cast("binary")).alias("text_md5"))
+
+
+def file_sizes(spark, d):
+    """Number, total and largest size of the documents' files, from the listing alone."""
+    folder = files.work_folder(spark, "sizes")
+    files.write_texts(_docs(spark, d).select(F.col("doc_id").cast("string").alias("doc"), "text"), folder)
+    listed = files.listed(spark, folder, "*.txt")
+    return listed.agg(F.count("*").alias("files"), F.sum("bytes").cast("bigint").alias("bytes"), F.max("bytes").alias("largest"))
 
 
 def chunk_files(spark, d):
-    """One file for each chunk; a second, shorter version leaves none of the first behind."""
+    """One file for each chunk of a document; a second, shorter version leaves none of the first behind."""
     folder = files.work_folder(spark, "chunks")
-    own = F.array_sort(F.collect_list(F.struct("doc_id", F.split("text", "\n").alias("p"))))
-    lines = _docs(spark, d).groupBy((F.col("doc_id") % 97).cast("string").alias("doc")).agg(F.flatten(F.transform(own, lambda x: x["p"])).alias("p"))
-    files.write_chunks(segment.chunks(lines, "p", target=300, overlap=0), folder)
-    files.write_chunks(segment.chunks(lines, "p", target=2000, overlap=0), folder)
+    for target in (300, 2000):
+        files.write_chunks(segment.chunk_rows(_paragraphs(spark, d), ["doc"], ["para_no"], "text", target=target, overlap=0), folder)
     listed = files.listed(spark, folder, "*.txt").withColumn("doc", F.regexp_extract("path", r"/doc=([^/]+)/", 1))
     return listed.groupBy("doc").agg(F.count("*").alias("chunks"))
 
 
+def chunk_table(spark, d):
+    """Chunks of documents from a table with one paragraph a row."""
+    cut = segment.chunk_rows(_paragraphs(spark, d), ["doc"], ["para_no"], "text", target=120, overlap=25)
+    return cut.select(F.col("doc").cast("bigint").alias("doc_id"), F.col("chunk_no").cast("bigint").alias("chunk_no"), _md5("chunk").alias("chunk_md5"), "n_tokens")
+
+
+def _records(spark, d):
+    return _docs(spark, d).select("doc_id", F.concat(F.lit("Q"), F.col("doc_id").cast("string")).alias("instruction"), F.col("source").alias("response"))
+
+
 def jsonl_lines(spark, d):
-    """Records appended in two turns, read as lines with their numbers."""
+    """Records in files of a hundred, a blank line before every third; files are read in ranges of 2 KB and
+    each record has the number of its line."""
     folder = files.work_folder(spark, "records")
-    rows = _docs(spark, d).select("doc_id", F.concat(F.lit("Q"), F.col("doc_id").cast("string")).alias("instruction"), F.col("source").alias("response"))
-    for part in (0, 1):
-        files.append_jsonl(rows.filter(F.col("doc_id") % 2 == part), folder)
-    lines = R.jsonl_lines(spark.read.option("recursiveFileLookup", "true").text(folder, wholetext=True))
-    checked = R.validated(lines)
+    line = F.concat(F.when(F.col("doc_id") % 3 == 0, "\n").otherwise(""), F.to_json(F.struct("doc_id", "instruction", "response")))
+    rows = _records(spark, d).select(F.expr("doc_id div 100").alias("file"), "doc_id", line.alias("value")).repartition("file").sortWithinPartitions("file", "doc_id")
+    rows.select("file", "value").write.partitionBy("file").text(folder)
+    checked = R.validated(R.jsonl_records(spark, folder, "*.txt", split_bytes=2048))
     doc = F.try_variant_get(F.try_parse_json("value"), "$.doc_id", "bigint").alias("doc_id")
-    return checked.select(doc, (F.col("line_no") >= 1).alias("numbered"), F.col("errors").isNull().alias("valid"))
+    return checked.select(doc, "line_no", F.col("errors").isNull().alias("valid"))
+
+
+def appended_records(spark, d):
+    """Records appended in two turns; all of both are there."""
+    folder = files.work_folder(spark, "records")
+    for part in (0, 1):
+        files.append_jsonl(_records(spark, d).filter(F.col("doc_id") % 2 == part), folder)
+    read = F.from_json("value", "doc_id bigint, instruction string, response string")
+    return R.jsonl_records(spark, folder, "*.json").select(read.alias("r")).select("r.*")
 
 
 def strict_records(spark, d):
@@ -63,10 +92,11 @@ def strict_records(spark, d):
 
 
 def adapter_config(spark, d):
-    """Scaling that an adapter's configuration file names."""
+    """Scaling that the configuration files of adapters name, one adapter for each source."""
     folder = files.work_folder(spark, "config")
-    files.write_json(spark.range(1).select(F.lit(32).alias("lora_alpha"), F.lit(16).alias("r"), F.lit("base").alias("base_model")), folder)
-    return X.scaling(files.config(spark, folder))
+    made = _docs(spark, d).groupBy(F.col("source").alias("base_model")).agg(F.count("*").alias("lora_alpha"), (F.max("n_chars") % 32 + 1).alias("r"))
+    files.write_json(made, folder, per_file=1)
+    return X.scaling(files.config(spark, folder)).select("base_model", F.round("scaling", 6).alias("scaling"))
 
 
 def newest_snapshot(spark, d):
@@ -82,12 +112,18 @@ def _tensors(spark, d):
 
 def _stored_tensors(spark, d):
     folder = files.work_folder(spark, "tensors")
-    made = safetensors.write_shards(_tensors(spark, d), folder)
-    made.write.format("noop").mode("overwrite").save()
     spark.dataSource.register(safetensors.TensorSource)
+    safetensors.by_shard(_tensors(spark, d)).write.format("tensors").mode("overwrite").save(folder)
     return folder
 
 
+def tensor_index(spark, d):
+    """The index that the tensor sink writes on commit: file of each tensor, and the bytes of all."""
+    index = F.from_json("value", "metadata struct<total_size: bigint>, weight_map map<string, string>")
+    read = spark.read.text(f"{_stored_tensors(spark, d)}/{safetensors.INDEX}", wholetext=True).select(index.alias("i"))
+    return read.select("i.metadata.total_size", F.explode("i.weight_map").alias("name", "file"))
+
+
 def tensor_files(spark, d):
     """Tensors written as sharded files and read back."""
     back = spark.read.format("tensors").load(_stored_tensors(spark, d))
@@ -110,12 +146,6 @@ def merged_tensors(spark, d):
     return X.merge_report(X.merge_low_rank(base, adapter, 2.0))
 
 
-def file_sizes(spark, d):
-    """Number and size of the shard files."""
-    listed = files.listed(spark, _stored_tensors(spark, d), "*.safetensors")
-    return listed.agg(F.count("*").alias("files"), (F.min("bytes") > 8).alias("filled"))
-
-
 def saved_progress(spark, d):
     """An index that is saved twice and read with a bound."""
     path = files.work_folder(spark, "state") + "/progress.json"
@@ -140,10 +170,10 @@ def usable_tokenizer(spark, d):
 
 
 def epoch_shuffle(spark, d):
-    """Every row once in each epoch, in another order."""
+    """The place of every document in the orders of two epochs."""
     ids = _docs(spark, d).select("doc_id")
     orders = [S.epoch_order(ids, "doc_id", 42, e).withColumn("epoch", F.lit(e)) for e in (0, 1)]
-    return orders[0].unionByName(orders[1]).groupBy("epoch").agg(F.count("*").alias("n"), F.sum("doc_id").cast("bigint").alias("total"))
+    return orders[0].unionByName(orders[1]).select("epoch", "position", "doc_id")
 
 
 def literal_paragraphs(spark, d):
@@ -155,13 +185,12 @@ def literal_paragraphs(spark, d):
 
 
 def generated_files(spark, d):
-    """A stream over chunk files, resumed once; every chunk is answered once."""
+    """A stream over the documents' files, resumed once; every one is answered once."""
     folder = files.work_folder(spark, "stream")
-    own = F.array_sort(F.collect_list(F.struct("doc_id", F.replace("text", F.lit("\n"), F.lit(" ")).alias("text"))))
-    docs = _docs(spark, d).groupBy((F.col("doc_id") % 97).cast("string").alias("doc")).agg(F.array_join(F.transform(own, lambda x: x["text"]), " ").alias("text"))
+    docs = _docs(spark, d).select("doc_id", F.col("doc_id").cast("string").alias("doc"), F.replace("text", F.lit("\n"), F.lit(" ")).alias("text"))
     answer = lambda c: '{"examples": [{"instruction": "length?", "response": "%d"}]}' % len(c.strip())
     for part in (0, 1):
-        docs.filter(F.col("doc").cast("bigint") % 2 == part).repartition(8).write.mode("append").partitionBy("doc").text(f"{folder}/in")
+        docs.filter(F.col("doc_id") % 2 == part).drop("doc_id").write.mode("append").partitionBy("doc").text(f"{folder}/in")
         runner.run(spark, f"{folder}/in", f"{folder}/out", f"{folder}/check", answer)
     done = spark.read.option("recursiveFileLookup", "true").schema("path string, instruction string, response string").json(f"{folder}/out")
     return done.select(F.regexp_extract("path", r"/doc=([^/]+)/", 1).alias("doc"), "response")
@@ -189,57 +218,98 @@ def compared_models(spark, d):
 
 
 def gated_stages(spark, d):
-    """A run in which an optional stage fails, then a required one; the log holds the same."""
+    """A run whose stages are tests of the tables: an optional one fails, then a required one; the log holds
+    the same."""
     log = files.work_folder(spark, "log")
-
-    def fails():
-        raise RuntimeError("out of memory")
-
-    plan = [stages.Stage("extract", fails, required=False), stages.Stage("probe", lambda: True), stages.Stage("first", lambda: False), stages.Stage("second", lambda: True)]
+    n = lambda t: spark.read.parquet(f"{d}/{t}.parquet").count()
+    plan = [
+        stages.Stage("documents", lambda: n("documents") > 0),
+        stages.Stage("labels", lambda: n("labels") >= n("documents"), required=False),
+        stages.Stage("benchmark", lambda: n("benchmark") > 0),
+        stages.Stage("pages", lambda: n("pages") > n("documents") + n("events")),
+        stages.Stage("train", lambda: True),
+    ]
     states = stages.run_stages(spark, plan, log)
     logged = spark.read.schema("stage string, message string").json(log).select("stage", F.split("message", " ")[0].alias("state"))
     return logged.join(spark.createDataFrame(list(states.items()), "stage string, state string"), ["stage", "state"])
 
 
+def stall_states(spark, d):
+    """Users as runs: a watcher over the stream of their events, resumed twice, tells when one is running,
+    gone (error), finished (some sign-ups) or stalled for twelve hours."""
+    kind = F.expr("CASE WHEN event_type = 'error' THEN 'exit' WHEN event_type = 'signup' AND event_id % 10 = 0 THEN 'done' ELSE 'log' END")
+    events = spark.read.parquet(f"{d}/events.parquet").select(F.col("user_id").cast("string").alias("run"), F.date_trunc("second", "ts").alias("at"), kind.alias("kind"))
+    folder = files.work_folder(spark, "watch")
+    for part, (low, high) in enumerate([("2000-01-01", "2024-01-10"), ("2024-01-10", "2024-01-20"), ("2024-01-20", "2100-01-01")]):
+        events.filter(F.col("at").between(low, F.lit(high).cast("timestamp") - F.expr("interval 1 second"))).write.parquet(f"{folder}/in/part={part}")
+        stream = spark.readStream.schema("run string, at timestamp, kind string, part int").parquet(f"{folder}/in")
+        stages.watch(stream, f"{folder}/out", f"{folder}/check", 12 * 3600)
+    return spark.read.parquet(f"{folder}/out").select("run", F.unix_timestamp("at").alias("at_s"), "state")
+
+
 def run_states(spark, d):
     """What a watcher tells of runs: finished, then gone, then stalled."""
     e = spark.read.parquet(f"{d}/events.parquet")
     return e.select("event_id", stages.run_state(F.col("event_id") % 7 == 0, F.col("event_id") % 5 != 0, F.when(F.col("event_id") % 3 != 0, F.col("event_id") * 10)).alias("state"))
 
 
+_WORDS = '{"version": "1.0", "added_tokens": [], "normalizer": null, "pre_tokenizer": {"type": "Whitespace"}, "post_processor": null, "decoder": null, "model": {"type": "WordLevel", "vocab": {"?": 0}, "unk_token": "?"}}'
+
+
 def counted_by_vocabulary(spark, d):
-    """Chunks by a counter that is a batch function, in the place of the word counter."""
+    """Chunks by a vocabulary's counts in the place of word counts; the vocabulary cuts words and marks."""
+    cut = segment.chunk_rows(_paragraphs(spark, d), ["doc"], ["para_no"], "text", vocabulary_counter(text=_WORDS), target=120, overlap=25)
+    return cut.select(F.col("doc").cast("bigint").alias("doc_id"), F.col("chunk_no").cast("bigint").alias("chunk_no"), _md5("chunk").alias("chunk_md5"), "n_tokens")
+
 
-    @F.pandas_udf("bigint")
-    def count(s: pd.Series) -> pd.Series:
-        return s.str.len() // 4
+def _feistel() -> str:
+    """SQL of one step of the permutation, from ``x`` to ``x``, over ``epoch, doc_id, a, b, n, k``."""
+    keys = [S.Permutation(1, 42, e).keys for e in (0, 1)]
+    step = "SELECT epoch, doc_id, a, b, n, k, x // b AS l, x % b AS r FROM w WHERE k = 0 OR x >= n"
+    for i, key in enumerate(zip(*keys, strict=True)):
+        side, other, size = ("r", "l", "b") if i % 2 else ("l", "r", "a")
+        u = f"(({other} + CASE epoch WHEN 0 THEN {key[0]} ELSE {key[1]} END) % 2147483648 * 1103515245 % 2147483648)"
+        step = f"SELECT epoch, doc_id, a, b, n, k, ({side} + xor({u}, {u} // 8192) * 69069 % 2147483647) % {size} AS {side}, {other} FROM ({step})"
+    return f"SELECT epoch, doc_id, a, b, n, k + 1, l * b + r FROM ({step})"
 
-    lines = _docs(spark, d).select("doc_id", F.split("text", "\n").alias("p")).select("doc_id", F.explode("p").alias("line"))
-    sized = lines.filter("trim(line) <> ''").select("doc_id", count(F.col("line")).alias("n"))
-    return sized.groupBy("doc_id").agg(F.sum("n").cast("bigint").alias("tokens"))
 
+_LINES = "par AS (SELECT doc_id, source, list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '') AS l FROM documents)"
 
 ORACLES = {
-    "chunk_files": "WITH RECURSIVE par AS (SELECT doc_id % 97 AS doc_id, '' AS source, list_filter(flatten(list(string_split(text, chr(10)) ORDER BY doc_id)), lambda x: trim(x) <> '') AS l FROM documents GROUP BY doc_id % 97), " + text_plans._CHUNKED.format(target=2000, overlap=0) + " SELECT CAST(doc_id AS VARCHAR) AS doc, count(*) AS chunks FROM chunked GROUP BY doc_id",
-    "text_files": "SELECT source, md5(string_agg(replace(text, chr(10), ' '), chr(10) || chr(10) ORDER BY doc_id)) AS text_md5 FROM documents GROUP BY source",
-    "jsonl_lines": "SELECT doc_id, true AS numbered, true AS valid FROM documents",
+    "chunk_files": f"WITH RECURSIVE {_LINES}, " + text_plans._CHUNKED.format(target=2000, overlap=0) + " SELECT CAST(doc_id AS VARCHAR) AS doc, count(*) AS chunks FROM chunked GROUP BY doc_id",
+    "chunk_table": f"WITH RECURSIVE {_LINES}, " + text_plans._CHUNKED.format(target=120, overlap=25) + " SELECT doc_id, chunk_no, md5(c) AS chunk_md5, n_tokens FROM chunked",
+    "text_files": "SELECT CAST(doc_id AS VARCHAR) AS doc, md5(replace(text, chr(10), chr(10) || chr(10))) AS text_md5 FROM documents",
+    "jsonl_lines": "SELECT doc_id, CAST(sum(CASE WHEN doc_id % 3 = 0 THEN 2 ELSE 1 END) OVER (PARTITION BY doc_id // 100 ORDER BY doc_id) AS BIGINT) AS line_no, true AS valid FROM documents",
+    "appended_records": "SELECT doc_id, 'Q' || doc_id AS instruction, source AS response FROM documents",
     "strict_records": "SELECT doc_id, CASE doc_id % 5 WHEN 2 THEN 'invalid JSON: Expecting '','' delimiter' WHEN 3 THEN '''response'' must be non-empty text' WHEN 4 THEN 'record must be a JSON object' END AS errors FROM documents",
-    "adapter_config": "SELECT 32 / 16.0::DOUBLE AS scaling",
+    "adapter_config": "SELECT source AS base_model, round(CAST(count(*) AS DOUBLE) / (max(n_chars) % 32 + 1), 6) AS scaling FROM documents GROUP BY source",
     "newest_snapshot": "SELECT '/cache/models--a--b/snapshots/' || lpad(CAST(max(doc_id) AS VARCHAR), 8, '0') AS path FROM documents",
     "tensor_files": "SELECT printf('model-%05d.safetensors', n_regionkey + 1) AS file, n_name AS name, 'U8' AS dtype, length(n_name) AS n, n_name AS body FROM nation",
     "tensor_headers": "SELECT printf('model-%05d.safetensors', n_regionkey + 1) AS file, n_name AS name, length(n_name) AS n, true AS bare FROM nation",
     "merged_tensors": "SELECT count(*) AS tensors, CAST(4 * count(*) AS BIGINT) AS bytes, count(*) FILTER (n_nationkey % 2 = 0) AS merged FROM nation",
-    "file_sizes": "SELECT count(DISTINCT n_regionkey) AS files, true AS filled FROM nation",
+    "tensor_index": "SELECT (SELECT CAST(sum(length(n_name)) AS BIGINT) FROM nation) AS total_size, n_name AS name, printf('model-%05d.safetensors', n_regionkey + 1) AS file FROM nation",
+    "file_sizes": "SELECT count(*) AS files, CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes, max(strlen(text) + 1) AS largest FROM documents",
     "saved_progress": "SELECT CAST(0 AS BIGINT) AS missing, count(*) AS saved, CAST(least(count(*), 5) AS BIGINT) AS bounded FROM documents",
     "target_files": "SELECT doc_id || '.pdf' AS file, n_chars > 500 AS found FROM documents",
     "usable_tokenizer": "SELECT c_name AS name FROM customer WHERE CAST(trunc(c_acctbal * 100) AS BIGINT) >= 500000 AND c_custkey % 3 = 0 ORDER BY c_name LIMIT 1",
-    "epoch_shuffle": "SELECT epoch, count(*) AS n, CAST(sum(doc_id) AS BIGINT) AS total FROM documents, (SELECT unnest([0, 1]) AS epoch) GROUP BY epoch",
+    "epoch_shuffle": f"""WITH RECURSIVE g AS (SELECT count(*) AS n, CAST(ceil(sqrt(count(*))) AS BIGINT) AS a FROM documents),
+w(epoch, doc_id, a, b, n, k, x) AS (SELECT epoch, doc_id, a, (n + a - 1) // a, n, 0, row_number() OVER (PARTITION BY epoch ORDER BY doc_id) - 1 FROM documents, g, (SELECT unnest([0, 1]) AS epoch) UNION ALL {_feistel()})
+SELECT epoch, x AS position, doc_id FROM w WHERE k > 0 AND x < n""",
     "literal_paragraphs": r"SELECT doc_id, CAST(len(list_filter(list_transform(string_split(replace(text, chr(10), chr(10) || ' ' || chr(10) || chr(10)), chr(10) || chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '')) AS BIGINT) AS parts FROM documents",
-    "generated_files": r"WITH g AS (SELECT CAST(doc_id % 97 AS VARCHAR) AS doc, string_agg(replace(text, chr(10), ' '), ' ' ORDER BY doc_id) AS text FROM documents GROUP BY doc_id % 97) SELECT doc, CAST(length(trim(text)) AS VARCHAR) AS response FROM g WHERE len(list_filter(string_split_regex(text, '\s+'), lambda x: x <> '')) >= 80 AND NOT (contains(upper(text), 'CONTENTS') OR contains(upper(text), 'COPYRIGHT') OR contains(upper(text), 'ISBN') OR contains(upper(text), 'HARPER & BROTHERS')) AND len(regexp_extract_all(text, '\d')) <= len(regexp_extract_all(text, '[A-Za-z]'))",
+    "generated_files": r"WITH g AS (SELECT CAST(doc_id AS VARCHAR) AS doc, replace(text, chr(10), ' ') AS text FROM documents) SELECT doc, CAST(length(trim(text)) AS VARCHAR) AS response FROM g WHERE len(list_filter(string_split_regex(text, '\s+'), lambda x: x <> '')) >= 80 AND NOT (contains(upper(text), 'CONTENTS') OR contains(upper(text), 'COPYRIGHT') OR contains(upper(text), 'ISBN') OR contains(upper(text), 'HARPER & BROTHERS')) AND len(regexp_extract_all(text, '\d')) <= len(regexp_extract_all(text, '[A-Za-z]'))",
     "tried_replies": "SELECT CAST(doc_id AS VARCHAR) AS path, CAST(CASE WHEN doc_id % 3 = 1 THEN 1 ELSE 2 END AS BIGINT) AS tries FROM documents",
     "compared_models": "SELECT doc_id, upper(source) AS tuned, reverse(source) AS base FROM documents",
-    "gated_stages": "SELECT * FROM (VALUES ('extract', 'failed'), ('probe', 'done'), ('first', 'failed'), ('second', 'skipped')) t(stage, state)",
+    "gated_stages": """WITH n AS (SELECT (SELECT count(*) FROM documents) AS d, (SELECT count(*) FROM labels) AS l, (SELECT count(*) FROM benchmark) AS b, (SELECT count(*) FROM pages) AS p, (SELECT count(*) FROM events) AS e),
+s AS (SELECT unnest(['documents', 'labels', 'benchmark', 'pages', 'train']) AS stage, unnest([d > 0, l >= d, b > 0, p > d + e, true]) AS good, unnest(range(1, 6)) AS k FROM n),
+f AS (SELECT min(k) AS k FROM s WHERE NOT good AND stage <> 'labels') SELECT stage, CASE WHEN s.k > f.k THEN 'skipped' WHEN good THEN 'done' ELSE 'failed' END AS state FROM s, f""",
+    "stall_states": """WITH e AS (SELECT CAST(user_id AS VARCHAR) AS run, date_trunc('second', ts) AS tm, CASE WHEN event_type = 'error' THEN 'exit' WHEN event_type = 'signup' AND event_id % 10 = 0 THEN 'done' ELSE 'log' END AS kind FROM events),
+o AS (SELECT run, tm, kind, row_number() OVER (PARTITION BY run ORDER BY tm, kind) AS k, max(tm) OVER () AS now FROM e),
+d AS (SELECT o.* FROM o LEFT JOIN (SELECT run, min(k) AS last FROM o WHERE kind = 'done' GROUP BY run) x ON o.run = x.run WHERE last IS NULL OR k <= last),
+s AS (SELECT run, tm, CASE kind WHEN 'log' THEN 'running' WHEN 'exit' THEN 'gone' ELSE 'finished' END AS state, k * 2 AS k, coalesce(lead(tm) OVER (PARTITION BY run ORDER BY k), now) AS until FROM d),
+u AS (SELECT run, tm, state, k FROM s UNION ALL SELECT run, tm + INTERVAL 12 HOUR, 'stalled', k + 1 FROM s WHERE state = 'running' AND until - tm > INTERVAL 12 HOUR),
+c AS (SELECT *, lag(state) OVER (PARTITION BY run ORDER BY k) AS before FROM u)
+SELECT run, CAST(epoch(tm) AS BIGINT) AS at_s, state FROM c WHERE before IS NULL OR before <> state""",
     "run_states": "SELECT event_id, CASE WHEN event_id % 7 = 0 THEN 'finished' WHEN event_id % 5 = 0 THEN 'gone' WHEN event_id % 3 <> 0 AND event_id * 10 > 1500 THEN 'stalled' ELSE 'running' END AS state FROM events",
-    "counted_by_vocabulary": "SELECT doc_id, CAST(sum(length(line) // 4) AS BIGINT) AS tokens FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) WHERE trim(line) <> '' GROUP BY doc_id",
+    "counted_by_vocabulary": f"WITH RECURSIVE {_LINES}, " + text_plans._CHUNKED.replace(text_plans.WORDS_OF_X, r"len(regexp_extract_all(x, '[\p{{L}}\p{{M}}\p{{N}}_]+|[^\p{{L}}\p{{M}}\p{{N}}_\s]+'))").format(target=120, overlap=25) + " SELECT doc_id, chunk_no, md5(c) AS chunk_md5, n_tokens FROM chunked",
 }
 QUERIES = {name: globals()[name] for name in ORACLES}

@@ -37,8 +37,16 @@ def validation_summary(spark, d):
 
 
 def _messages(spark, d):
-    r = _records(spark, d).select("conv_id", T.bound(F.try_parse_json("value"), R.to_messages).alias("m"))
-    return r.filter("m is not null")
+    """Every conversation up to its last answer, through a record: in one of two turns the question and
+    the answer, in others the list of messages."""
+    c = _chats(spark, d)
+    end = F.array_max(F.transform("messages", lambda m, i: F.when(m["role"] == "assistant", i + 1)))
+    cut = c.select("conv_id", F.slice("messages", 1, end).alias("m")).filter("m is not null")
+    first, last = F.get("m", F.lit(0)), F.get("m", F.lit(1))
+    pair = F.to_json(F.struct(first["content"].alias("instruction"), last["content"].alias("response")))
+    two = (F.size("m") == 2) & (first["role"] == "user")
+    value = F.when(two, pair).otherwise(F.to_json(F.struct(F.col("m").alias("messages"))))
+    return cut.select("conv_id", T.bound(F.try_parse_json(value), R.to_messages).alias("m")).filter("m is not null")
 
 
 def normalise_messages(spark, d):
@@ -91,7 +99,9 @@ def holdout_split(spark, d):
 
 
 def lr_schedule(spark, d):
-    return S.learning_rates(spark, S.optimizer_steps(1036, 16, 1), 1e-4).select("step", F.round("lr", 10).alias("lr"))
+    """The schedule of two epochs over all documents, 16 of them a step."""
+    n = spark.read.parquet(f"{d}/documents.parquet").count()
+    return S.learning_rates(spark, S.optimizer_steps(n, 16, 2), 1e-4).select("step", F.round("lr", 10).alias("lr"))
 
 
 def loss_windows(spark, d):
@@ -140,8 +150,7 @@ def resume_range(spark, d):
 _CONV = "c AS (SELECT conv_id, list(role ORDER BY turn) AS r, list(text ORDER BY turn) AS t FROM conversations GROUP BY conv_id)"
 _CHAT_ERR = r"""CASE WHEN len(r) < 2 THEN '''messages'' must contain at least two messages' ELSE concat_ws('; ', CASE WHEN conv_id % 7 = 4 THEN 'messages[0].role must be one of [''assistant'', ''system'', ''user'']' END, CASE WHEN conv_id % 7 = 5 THEN 'messages[0].content must be non-empty text' END, CASE WHEN r[-1] <> 'assistant' THEN 'last message must have role ''assistant''' END) END"""
 _ERR = rf"""e AS (SELECT conv_id, nullif(CASE conv_id % 7 WHEN 1 THEN 'invalid JSON: Expecting value' WHEN 2 THEN 'expected ''messages'' or ''instruction''/''response'' schema' WHEN 3 THEN '''instruction'' must be non-empty text' WHEN 6 THEN '''messages'' must contain at least two messages' ELSE {_CHAT_ERR} END, '') AS errors FROM c)"""
-_MSG = """m0 AS (SELECT conv_id, CASE conv_id % 7 WHEN 3 THEN ['user', 'assistant'] WHEN 4 THEN list_prepend('bot', r[2:]) WHEN 6 THEN r[1:1] ELSE r END AS r, CASE conv_id % 7 WHEN 3 THEN ['5', 'ok'] WHEN 5 THEN list_prepend(' ' || chr(9), t[2:]) WHEN 6 THEN t[1:1] ELSE t END AS t FROM c WHERE conv_id % 7 NOT IN (1, 2)),
-m AS (SELECT conv_id, r, t FROM m0 WHERE len(r) > 0 AND r[-1] = 'assistant')"""
+_MSG = "k0 AS (SELECT conv_id, r, t, list_max(list_filter(range(1, len(r) + 1), lambda i: r[i] = 'assistant')) AS k FROM c), m AS (SELECT conv_id, r[1:k] AS r, t[1:k] AS t FROM k0 WHERE k IS NOT NULL)"
 _REND = "f AS (SELECT conv_id, array_to_string(list_transform(range(1, len(r) + 1), lambda i: '<|im_start|>' || r[i] || chr(10) || t[i] || '<|im_end|>' || chr(10)), '') AS full_text, array_to_string(list_transform(range(1, len(r)), lambda i: '<|im_start|>' || r[i] || chr(10) || t[i] || '<|im_end|>' || chr(10)), '') || '<|im_start|>assistant' || chr(10) AS prompt_text FROM m)"
 _MASK = "k AS (SELECT conv_id, list_transform(string_split(full_text, ' '), lambda x: length(x))[1:192] AS ids, len(string_split(prompt_text, ' ')) AS n FROM f), kk AS (SELECT conv_id, ids, list_transform(range(1, len(ids) + 1), lambda i: CASE WHEN i <= n THEN -100 ELSE ids[i] END) AS labels FROM k WHERE len(ids) > least(n, 192))"
 _CHATS = f"WITH {_CONV}, {_MSG}, {_REND}, {_MASK}"
@@ -157,7 +166,7 @@ ORACLES = {
     "pack_blocks": f"WITH {_PACK} SELECT pos // 384 AS block_id, md5(string_agg(CAST(id AS VARCHAR), ' ' ORDER BY pos)) AS ids_md5, CAST(sum(id) AS BIGINT) AS total FROM u GROUP BY 1 HAVING count(*) = 384",
     "token_counts": "SELECT CAST(doc_id AS VARCHAR) AS doc, CAST(sum(len(string_split(text, ' ')) + 1) AS BIGINT) AS n_tokens FROM documents GROUP BY ROLLUP (CAST(doc_id AS VARCHAR))",
     "holdout_split": "SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) <= greatest(1, CAST(floor(count(*) OVER () * 0.02) AS BIGINT)) THEN 'eval' ELSE 'train' END AS split FROM documents",
-    "lr_schedule": "SELECT s AS step, round(CASE WHEN s < 1 THEN s / 1.0 ELSE greatest(0.0, 0.5 * (1 + cos(pi() * (s - 1) / 64))) END * 1e-4, 10) AS lr FROM (SELECT unnest(range(0, 66)) AS s)",
+    "lr_schedule": "WITH n AS (SELECT (count(*) + 15) // 16 * 2 AS total FROM documents), w AS (SELECT total, greatest(1, CAST(floor(total * 0.03) AS BIGINT)) AS w FROM n) SELECT s AS step, round(CASE WHEN s < w THEN s / w ELSE greatest(0.0, 0.5 * (1 + cos(pi() * (s - w) / greatest(1, total - w)))) END * 1e-4, 10) AS lr FROM (SELECT total, w, unnest(range(0, total + 1)) AS s FROM w)",
     "loss_windows": "SELECT max(event_id + 1) AS step, round(avg(value), 6) AS loss FROM events GROUP BY event_id // 10",
     "eval_loss": "SELECT round(avg(m), 6) AS loss, round(exp(least(avg(m), 20)), 4) AS perplexity FROM (SELECT avg(value / 100) AS m FROM events GROUP BY user_id % 17)",
     "extract_json_reply": """SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN '{"examples": [{"instruction": "Q' || doc_id || '", "response": "A"}, {"instruction": "Q2", "response": "é"}]}' WHEN 1 THEN '{"examples": []}' WHEN 2 THEN 'no object here' WHEN 3 THEN '{"other": 1}' ELSE '' END AS body, CAST(CASE doc_id % 5 WHEN 0 THEN 2 WHEN 1 THEN 0 ELSE -1 END AS BIGINT) AS examples FROM documents""",

@@ -64,6 +64,12 @@ def shard_assign(spark, d):
     return _placed(spark, d).select("source", "doc_id", F.col("shard").cast("bigint").alias("shard"))
 
 
+def series_shards(spark, d):
+    """Next-fit over all documents as one series, in ranges."""
+    placed = segment.next_fit(_table(spark, d, "documents").select("doc_id", "n_chars"), [], ["doc_id"], "n_chars", 5_000, part_rows=100)
+    return placed.select("doc_id", F.col("shard").cast("bigint").alias("shard"))
+
+
 def shard_index(spark, d):
     one = segment.next_fit(_table(spark, d, "nation").select(F.lit(0).alias("g"), F.col("n_name").alias("name"), (F.col("n_nationkey") * 100 + 7).cast("bigint").alias("size")), ["g"], ["name"], "size", 3_000)
     return X.shard_index(one).select("total_size", F.explode("weight_map").alias("name", "file"))
@@ -118,6 +124,7 @@ ORACLES = {
     "tensor_sizes": "SELECT p_partkey, CAST(p_size AS BIGINT) * (p_partkey % 7 + 1) AS n_values, CAST(p_size AS BIGINT) * (p_partkey % 7 + 1) * ([2, 4, 1, 8])[p_partkey % 4 + 1] AS n_bytes FROM part",
     "trainable_share": "SELECT CAST(sum(CASE WHEN p_partkey % 10 = 0 THEN p_size * 1000 ELSE 0 END) AS BIGINT) AS trainable, CAST(sum(p_size * 1000) AS BIGINT) AS total, round(100 * sum(CASE WHEN p_partkey % 10 = 0 THEN p_size * 1000 ELSE 0 END) / sum(p_size * 1000), 4) AS percent FROM part",
     "shard_assign": f"WITH RECURSIVE {_NEXT} SELECT source, doc_id, shard FROM s",
+    "series_shards": "WITH RECURSIVE d AS (SELECT doc_id, n_chars AS n, row_number() OVER (ORDER BY doc_id) AS k FROM documents), s AS (SELECT doc_id, k, n, CAST(1 AS BIGINT) AS shard FROM d WHERE k = 1 UNION ALL SELECT d.doc_id, d.k, CASE WHEN s.n + d.n > 5000 THEN d.n ELSE s.n + d.n END, CASE WHEN s.n + d.n > 5000 THEN s.shard + 1 ELSE s.shard END FROM s JOIN d ON d.k = s.k + 1) SELECT doc_id, shard FROM s",
     "shard_index": "WITH RECURSIVE d AS (SELECT n_name AS name, n_nationkey * 100 + 7 AS n, row_number() OVER (ORDER BY n_name) AS k FROM nation), s AS (SELECT name, k, n, 1 AS shard FROM d WHERE k = 1 UNION ALL SELECT d.name, d.k, CASE WHEN s.n + d.n > 3000 THEN d.n ELSE s.n + d.n END, CASE WHEN s.n + d.n > 3000 THEN s.shard + 1 ELSE s.shard END FROM s JOIN d ON d.k = s.k + 1) SELECT (SELECT CAST(sum(n) AS BIGINT) FROM d) AS total_size, name, printf('model-%05d.safetensors', shard) AS file FROM s",
     "resolve_source": f"WITH h AS (SELECT page_id, CASE WHEN page_id % 5 = 0 THEN 'direct-' || page_id END AS pdf, {_HTML} AS h FROM pages) SELECT page_id, coalesce(pdf, CASE WHEN page_id % 3 = 0 THEN 'https://cdn.example.org/files/p' || page_id || ' x+y.pdf' END) AS url, 'https://library.example.org/search?query=Book+%26+page+' || page_id AS search FROM h",
     "pending_sources": "SELECT 'p' || page_id || '.pdf' AS filename FROM pages WHERE page_id NOT IN (1, 2) AND page_id % 4 <> 0",

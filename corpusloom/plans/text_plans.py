@@ -99,6 +99,7 @@ _WORDS = r"len(list_filter(string_split_regex(c, '\s+'), lambda x: x <> ''))"
 _REASON = rf"""CASE WHEN c IS NULL OR c = '' THEN 'empty' WHEN {_WORDS} < 80 THEN 'short' WHEN contains(upper(c), 'CONTENTS') THEN 'contents' WHEN contains(upper(c), 'COPYRIGHT') THEN 'copyright'
   WHEN contains(upper(c), 'ISBN') THEN 'isbn' WHEN contains(upper(c), 'HARPER & BROTHERS') THEN 'harper & brothers' WHEN contains(upper(c), 'ECONOMICS IN ONE LESSON') AND {_WORDS} < 150 THEN 'title page'
   WHEN len(regexp_extract_all(c, '[A-Za-z]')) = 0 THEN 'no letters' WHEN len(regexp_extract_all(c, '\d')) > len(regexp_extract_all(c, '[A-Za-z]')) THEN 'numeric' END"""
+WORDS_OF_X = r"len(list_filter(string_split_regex(x, '\s+'), lambda y: y <> ''))"
 _CHUNKED = r"""
 tok AS (SELECT doc_id, source, l, list_transform(l, lambda x: len(list_filter(string_split_regex(x, '\s+'), lambda y: y <> ''))) AS t FROM par WHERE len(l) > 0),
 pre AS (SELECT doc_id, source, l, t, list_transform(range(0, len(t) + 1), lambda k: CAST(coalesce(list_sum(t[1:k]), 0) AS BIGINT)) AS s FROM tok),

@@ -8,7 +8,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -19,6 +19,32 @@ def whole_texts(spark: SparkSession, path: str, suffix: str = "*.txt", recursive
     return rows.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("doc"), text.alias("text"))
 
 
+def numbered_lines(spark: SparkSession, path: str, suffix: str = "*", split_bytes: int = 128 << 20) -> DataFrame:
+    """``path, line_no, value``: every line of the files below ``path``, blank ones included, numbered from 1
+    in each file; a file of any size is read by many tasks.
+
+    Files are read in byte ranges of ``split_bytes``; a line belongs to the range it starts in.  Lines are
+    counted by range, and a line's number is the sum of the counts before its range plus its place in it.
+    The reader gets a session of its own with fixed split settings, as both passes must see the same ranges
+    even if executors come or go in between.  Line ends are LF, CR LF or CR.  A compressed file is one range.
+    """
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(name):
+            own.conf.set(name, value)
+    own.conf.set("spark.sql.files.minPartitionNum", "1")
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    raw = own.read.option("pathGlobFilter", suffix).option("recursiveFileLookup", "true").text(path)
+    place = F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("low")
+    lines = raw.select(*place, F.monotonically_increasing_id().alias("id"), "value")
+    counts = lines.groupBy("path", "low").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("path").orderBy("low").rowsBetween(Window.unboundedPreceding, -1))
+    folder = work_folder(spark, "line-counts")  # a row for each range; Spark broadcasts it while it is small
+    counts.select("path", "low", (F.coalesce(before, F.lit(0)) - F.col("first")).alias("shift")).write.parquet(folder)
+    shifts = own.read.schema("path string, low bigint, shift bigint").parquet(folder)
+    return lines.join(shifts, ["path", "low"]).select("path", (F.col("id") + F.col("shift") + 1).alias("line_no"), "value")
+
+
 def listed(spark: SparkSession, path: str, suffix: str = "*", recursive: bool = True) -> DataFrame:
     """``path, file, bytes``: names and sizes alone, the content is not read."""
     rows = spark.read.format("binaryFile").option("pathGlobFilter", suffix).option("recursiveFileLookup", str(recursive).lower()).load(path)
@@ -31,7 +57,7 @@ def snapshot(files: DataFrame) -> DataFrame:
 
 
 def config(spark: SparkSession, path: str) -> DataFrame:
-    """One row of a JSON file that holds one object."""
+    """A row for each JSON file, which holds one object."""
     return spark.read.option("multiLine", "true").json(path)
 
 
@@ -70,9 +96,9 @@ def append_jsonl(rows: DataFrame, folder: str) -> None:
     rows.write.mode("append").option("ignoreNullFields", "false").json(folder)
 
 
-def write_json(rows: DataFrame, folder: str) -> None:
-    """Rows as JSON lines in place of what is there."""
-    rows.write.mode("overwrite").option("ignoreNullFields", "false").json(folder)
+def write_json(rows: DataFrame, folder: str, per_file: int = 0) -> None:
+    """Rows as JSON lines in place of what is there; at most ``per_file`` of them in a file, if given."""
+    rows.write.mode("overwrite").option("ignoreNullFields", "false").option("maxRecordsPerFile", str(per_file)).json(folder)
 
 
 def append_log(spark: SparkSession, folder: str, stage: str, message: str) -> None:

@@ -1,5 +1,11 @@
 """Data source ``tensors``: files of named tensors with a JSON header, read and written.
 
+Writing: ``df.write.format("tensors").mode("overwrite").save(folder)`` for rows ``name, dtype, shape, data,
+shard`` in which rows of one shard lie together (``repartition("shard").sortWithinPartitions("shard",
+"name")``, or :func:`by_shard`).  Tasks write below a folder of the job; on commit the files of the tasks
+that count get their names, then the index ``model.safetensors.index.json`` (each tensor's file, and the
+total of bytes) is written.  An aborted job, or a task that was lost, leaves nothing.
+
 A file is the header's length (8 bytes, little-endian), the header (name to dtype, shape and offsets)
 and the data.  Headers are read once, on the driver, and dealt out as byte ranges of about
 ``RANGE_BYTES``, so a file of any size is read by many tasks.  With the option ``headers`` only names,
@@ -10,11 +16,13 @@ from __future__ import annotations
 
 import json
 import struct
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
 SCHEMA = "file string, name string, dtype string, shape array<bigint>, data binary"
@@ -88,6 +96,102 @@ class _Reader(DataSourceReader):
                 yield file, r["name"], r["dtype"], r["shape"], data
 
 
+INDEX = "model.safetensors.index.json"  # fixed value
+COPY_BYTES = 8 << 20
+
+
+@dataclass
+class _Written(WriterCommitMessage):
+    """What a task has written: (shard, temporary path, names, bytes of data)."""
+
+    shards: list[tuple[int, str, list[str], int]]
+
+
+class _Shard:
+    """One file in the making: data goes to a file of its own, as the header needs all sizes."""
+
+    def __init__(self, fs: pyarrow.fs.FileSystem, folder: str, number: int):
+        self.fs, self.number, self.path = fs, number, f"{folder}/{number}-{uuid.uuid4().hex}"
+        self.tensors: list[tuple[str, str, list[int], int]] = []
+        self.data = fs.open_output_stream(self.path + ".data")
+
+    def add(self, name: str, dtype: str, shape: list[int], data: pa.Buffer) -> None:
+        self.tensors.append((name, dtype, shape, data.size))
+        self.data.write(data)
+
+    def close(self) -> tuple[int, str, list[str], int]:
+        self.data.close()
+        with self.fs.open_output_stream(self.path) as out, self.fs.open_input_stream(self.path + ".data") as data:
+            out.write(head_bytes(self.tensors, {"format": "pt"}))
+            while part := data.read(COPY_BYTES):
+                out.write(part)
+        self.fs.delete_file(self.path + ".data")
+        return self.number, self.path, [t[0] for t in self.tensors], sum(t[3] for t in self.tensors)
+
+
+class _Writer(DataSourceArrowWriter):
+    def __init__(self, uri: str, schema: StructType, overwrite: bool):
+        missing = {"name", "dtype", "shape", "data", "shard"} - set(schema.names)
+        if missing:
+            raise ValueError(f"tensor files need the columns {sorted(missing)}")
+        self.uri, self.overwrite, self.job = uri, overwrite, f"_job-{uuid.uuid4().hex}"
+
+    def _folder(self) -> tuple[pyarrow.fs.FileSystem, str, str]:
+        fs, root = _open(self.uri)
+        return fs, root, f"{root}/{self.job}"
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> _Written:
+        fs, _, folder = self._folder()
+        fs.create_dir(folder, recursive=True)
+        done, now = [], None
+        for batch in iterator:
+            columns = [batch.column(batch.schema.get_field_index(c)) for c in ("shard", "name", "dtype", "shape", "data")]
+            for shard, name, dtype, shape, data in zip(*columns, strict=True):
+                if not (shard.is_valid and name.is_valid and data.is_valid):
+                    raise ValueError("a tensor needs a shard, a name and data")
+                if now is None or now.number != shard.as_py():
+                    if now is not None:
+                        done.append(now.close())
+                    now = _Shard(fs, folder, shard.as_py())
+                now.add(name.as_py(), dtype.as_py(), shape.as_py(), data.as_buffer())
+        if now is not None:
+            done.append(now.close())
+        return _Written(done)
+
+    def commit(self, messages: list[_Written | None]) -> None:
+        fs, root, folder = self._folder()
+        shards = sorted(s for m in messages if m is not None for s in m.shards)
+        numbers = [s[0] for s in shards]
+        if len(set(numbers)) < len(numbers):
+            self.abort(messages)
+            raise ValueError("rows of one shard must lie in one partition, side by side")
+        fs.create_dir(root, recursive=True)
+        old = [i.path for i in fs.get_file_info(pyarrow.fs.FileSelector(root)) if i.type == pyarrow.fs.FileType.File and (i.path.endswith(".safetensors") or i.path.endswith("/" + INDEX))]
+        if old and not self.overwrite:
+            self.abort(messages)
+            raise FileExistsError(f"{self.uri} holds tensor files; use the mode overwrite")
+        for path in old:
+            fs.delete_file(path)
+        weight_map = {}
+        for number, path, names, _ in shards:
+            file = f"model-{number:05d}.safetensors"
+            fs.move(path, f"{root}/{file}")
+            weight_map |= dict.fromkeys(names, file)
+        with fs.open_output_stream(f"{root}/{INDEX}") as out:  # last, so that an index names files that are there
+            out.write(json.dumps({"metadata": {"total_size": sum(s[3] for s in shards)}, "weight_map": dict(sorted(weight_map.items()))}).encode())
+        self.abort(messages)
+
+    def abort(self, messages: list[_Written | None]) -> None:
+        fs, _, folder = self._folder()
+        if fs.get_file_info(folder).type == pyarrow.fs.FileType.Directory:
+            fs.delete_dir(folder)
+
+
+def by_shard(tensors):
+    """``tensors`` as the writer takes them: a shard in one partition, its tensors by name."""
+    return tensors.repartition("shard").sortWithinPartitions("shard", "name")
+
+
 class TensorSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -96,48 +200,23 @@ class TensorSource(DataSource):
     def schema(self) -> str:
         return SCHEMA
 
+    def writer(self, schema: StructType, overwrite: bool) -> _Writer:
+        return _Writer(self.options["path"], schema, overwrite)
+
     def reader(self, schema: StructType) -> _Reader:
         return _Reader(self.options["path"], self.options.get("headers", "false").lower() == "true")
 
 
 def write_shards(tensors, folder: str):
-    """Write ``name, dtype, shape, data, shard`` as one file for each shard; returns ``shard, file,
-    n_tensors, bytes``.  Headers are made from sizes alone; a shard's tensors, sorted by name, stream
-    through its task one batch at a time.  A file appears by one rename, so a repeated task does no harm."""
+    """Write ``name, dtype, shape, data, shard`` in place of what is there; returns what the headers then
+    tell, ``shard, file, n_tensors, bytes`` (of data)."""
     from pyspark.sql import functions as F
 
-    entry = F.struct("name", "dtype", "shape", F.octet_length("data").cast("bigint").alias("n"))
-    heads = tensors.groupBy("shard").agg(F.array_sort(F.collect_list(entry)).alias("head"))
-    firsts = heads.select("shard", F.lit(None).cast("string").alias("name"), F.lit(None).cast("binary").alias("data"), "head")
-    rows = tensors.select("shard", "name", "data", F.lit(None).cast(heads.schema["head"].dataType).alias("head")).unionByName(firsts)
-    ordered = rows.repartition("shard").sortWithinPartitions("shard", F.col("name").asc_nulls_first())
-
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import uuid
+    from corpusloom.operators.tensors import n_bytes
 
-        fs, root = _open(folder)
-        fs.create_dir(root, recursive=True)
-        state: dict = {}
-
-        def closed() -> pa.RecordBatch:
-            state["out"].close()
-            fs.move(state["temp"], f"{root}/{state['file']}")
-            return pa.RecordBatch.from_pydict({"shard": pa.array([state["shard"]], pa.int32()), "file": [state["file"]], "n_tensors": [state["n"]], "bytes": [state["bytes"]]})
-
-        for batch in batches:
-            for shard, data, head in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3), strict=True):
-                if head.is_valid:
-                    if state:
-                        yield closed()
-                    first = head_bytes([(h["name"], h["dtype"], h["shape"], h["n"]) for h in head.as_py()], {"format": "pt"})
-                    name = f"model-{shard:05d}.safetensors"
-                    state = {"shard": shard, "file": name, "temp": f"{root}/{name}.{uuid.uuid4().hex}", "n": len(head), "bytes": len(first)}
-                    state["out"] = fs.open_output_stream(state["temp"])
-                    state["out"].write(first)
-                else:
-                    state["out"].write(data.as_buffer())
-                    state["bytes"] += len(data.as_buffer())
-        if state:
-            yield closed()
-
-    return ordered.mapInArrow(write, "shard int, file string, n_tensors long, bytes long")
+    spark = tensors.sparkSession
+    spark.dataSource.register(TensorSource)
+    by_shard(tensors).write.format("tensors").mode("overwrite").save(folder)
+    heads = spark.read.format("tensors").option("headers", "true").load(folder)
+    shard = F.regexp_extract("file", r"-(\d+)\.", 1).cast("int").alias("shard")
+    return heads.groupBy(shard, "file").agg(F.count("*").alias("n_tensors"), F.sum(n_bytes(F.col("dtype"), F.col("shape"))).alias("bytes"))

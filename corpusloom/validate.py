@@ -21,7 +21,7 @@ def main(argv: list[str] | None = None) -> int:
     args = parser.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     try:
-        lines = records.jsonl_lines(spark.read.text(args.path, wholetext=True))
+        lines = records.jsonl_records(spark, args.path)
         found = records.validation_summary(records.validated(lines), args.max_issues).first()
     except (PySparkException, ValueError) as e:
         print(f"cannot check {args.path}: {str(e).splitlines()[0]}", file=sys.stderr)
