@@ -1,15 +1,16 @@
-"""Links inside buckets without all pairs: members meet hubs, in passes that are linear in the rows.
-
-A bucket is a set of nodes that share a band key.  The first pass compares every member with the least
-node of its bucket; the links make components.  While a bucket holds several components, further
-passes take ``HUBS`` members of it by a hash that changes with the pass and compare the members of
-other components with them; a bucket of up to ``HUBS + 1`` members has then met all its pairs and is
-done.  A larger bucket gets another pass as long as the last one has found a link at one of its members.
-A member that has links to a share f of a component is missed by a pass with a probability of
-(1 - f) ** (HUBS * buckets that they share).
-
-Hubs come from a ranking that is cut before the shuffle, so a bucket of any size costs a task its own
-rows; the joins by bucket have small hub sides, so a hot bucket can be split.
+"""Links inside buckets without all pairs: a star, then an exact prefix join of what stays open.
+
+A bucket is a set of nodes that share a band key.  First every member is compared with the least node of
+its bucket; the links make components.  A bucket that then holds several components and more than two
+nodes is open.  All links between open nodes of different components are found exactly (see
+:func:`prefix_pairs`): of each node's elements, ordered by how few open nodes have them, only the first ones
+can hold the first element that a similar pair shares, so nodes meet only by elements that are rare among
+the open ones.  A template that all of them share costs nothing.
+
+Nodes that share an element meet as members outside its largest component, with all others.  Where more
+than ``LEAF`` members are outside, they meet by pairs, then triples and so on of elements instead.  So each
+key gives pairs in proportion to its members.  Only a key of ``DEPTH`` elements that still has more falls
+back to ``HUBS`` members by a hash, which every member meets.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from corpusloom.llm.common import forget, written
 from corpusloom.llm.components import connected_components, merged
 
 HUBS = 8
+LEAF = 16
+DEPTH = 3
 
 
 def packed(registers: list[str], bits: int) -> Column:
@@ -64,40 +67,86 @@ def shared_buckets(rows: DataFrame, label: str) -> DataFrame:
     return written(rows.join(hubs, "key").select("key", "node", "hub"), label)
 
 
-def settled(shared: DataFrame, verify: Callable[[DataFrame], DataFrame], likely: Callable[[DataFrame], DataFrame], label: str) -> DataFrame:
+def prefix_pairs(nodes: DataFrame, elements: DataFrame, least: float, label: str) -> DataFrame:
+    """Pairs ``a, b`` of ``node, comp`` rows of different components that may have a Jaccard similarity of
+    ``least``: all that have it are among them.
+
+    ``elements`` has ``node, n, element``, a row for each of the ``n`` elements of a node's set.  Of a similar
+    pair, the smaller set has the first common element, in order of rarity, within its first
+    n - ceil(2 least / (1 + least) n) + 1, the larger one within its first n - ceil(least n) + 1, and from
+    there on both have enough elements for what they must share.  With k common elements asked for, each
+    of these is longer by k - 1.
+    """
+    shared = elements.groupBy("element").agg(F.count("*").alias("df")).filter("df > 1")
+    hits = elements.join(shared, "element").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "element"))).alias("s"))
+    longest = F.expr(f"n - ceil({least} * n - 1e-9) + {DEPTH}").cast("int")
+    own = F.col("n") - F.size("s")  # elements that no other node has come first
+    cut = F.slice("s", 1, F.greatest(longest - own, F.lit(0)).cast("int"))
+    kept = nodes.join(hits, "node").select("node", "comp", "n", own.cast("int").alias("own"), F.transform(cut, lambda x: x["element"]).alias("s"))
+    sets = written(kept.filter(F.size("s") > 0), f"{label}-prefixes")
+    reach, index = F.expr(f"n - ceil({least} * n - 1e-9) + 1").cast("int"), F.expr(f"n - ceil({2 * least / (1 + least)} * n - 1e-9) + 1").cast("int")
+    rows = sets.select("*", F.lit(0).cast("long").alias("key"), F.lit(-1).alias("at"))
+    found = []
+    for depth in range(1, DEPTH + 1):
+        most = F.least(reach + (depth - 1) - F.col("own"), F.size("s"))
+        each = rows.select("node", "comp", "n", "own", "s", "key", "at", F.explode(F.filter(F.sequence(F.lit(0), most - 1), lambda i: i > F.col("at"))).alias("i")).filter(most > 0) if depth > 1 else rows.filter(most > 0).select("node", "comp", "n", "own", "s", "key", F.explode(F.sequence(F.lit(0), most - 1)).alias("i"))
+        keyed = each.select("node", "comp", "n", "own", "s", F.xxhash64("key", F.get("s", F.col("i"))).alias("key"), F.col("i").alias("at"), (F.col("i") + F.col("own") < index + (depth - 1)).alias("indexed"))
+        keyed = written(keyed, f"{label}-keys")
+        per = keyed.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(F.sum("c").alias("all"), F.max("c").alias("most"), F.max_by("comp", F.struct("c", "comp")).alias("main"))
+        outside = written(per.filter("all > most").select("key", "main", (F.col("all") - F.col("most") <= LEAF).alias("small")), f"{label}-outside")
+        final = depth == DEPTH
+        small = keyed.join(outside.filter("small").select("key", "main"), "key")
+        found.append(written(_met(small.filter("comp <> main"), small, least), f"{label}-met"))
+        large = outside.filter("not small")
+        if final:
+            place = Window.partitionBy("key").orderBy(F.xxhash64("node"), "node")
+            wide = keyed.join(large.select("key"), "key")
+            hubs = wide.withColumn("k", F.row_number().over(place)).filter(F.col("k") <= HUBS).drop("k")
+            found.append(written(_met(hubs, wide, least), f"{label}-met"))
+        else:
+            rows = written(keyed.join(large.select("key"), "key").drop("indexed"), f"{label}-rows")
+        empty = not final and rows.isEmpty()
+        for old in (keyed, outside):
+            forget(old)
+        if empty:
+            break
+    pairs = written(reduce(DataFrame.unionByName, found).distinct(), f"{label}-pairs")
+    for old in [*found, sets]:
+        forget(old)
+    return pairs
+
+
+def _met(some: DataFrame, every: DataFrame, least: float) -> DataFrame:
+    """Pairs of ``some`` rows with ``every`` row of their key that pass the bounds of size and place."""
+    side = lambda rows, p: rows.select("key", *[F.col(c).alias(f"{c}_{p}") for c in ("node", "comp", "n", "own", "at", "indexed")])
+    x, y = F.struct("n_x", "node_x"), F.struct("n_y", "node_y")
+    both = F.expr("1 + least(n_x - own_x - at_x, n_y - own_y - at_y) - 1")  # common elements from this one on, at most
+    enough = both >= F.expr(f"ceil({least / (1 + least)} * (n_x + n_y) - 1e-9)")
+    near = F.least("n_x", "n_y") >= least * F.greatest("n_x", "n_y") - 1e-9
+    fits = (F.col("comp_x") != F.col("comp_y")) & near & enough & F.when(x > y, F.col("indexed_y")).otherwise(F.col("indexed_x"))
+    met = side(some, "x").join(side(every, "y"), "key").filter(fits)
+    return met.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
+
+
+def settled(shared: DataFrame, verify: Callable[[DataFrame], DataFrame], likely: Callable[[DataFrame], DataFrame], elements: Callable[[DataFrame], DataFrame], least: float, label: str) -> DataFrame:
     """``node, root`` of all nodes that have a link.
 
-    ``shared`` has ``key, node, hub``; ``likely`` adds what it knows of pairs ``a, b`` and drops hopeless
-    ones, ``verify`` keeps those that are similar.
+    ``shared`` has ``key, node, hub``; ``likely`` drops pairs ``a, b`` that are hopeless, ``verify`` keeps those
+    that are similar; ``elements`` gives ``node, n, element`` of ``node`` rows.
     """
     stars = shared.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    tested = [written(likely(stars).select("a", "b"), f"{label}-pairs")]
-    links = written(verify(tested[0]), f"{label}-links")
+    links = written(verify(likely(stars).select("a", "b")), f"{label}-links")
     roots = written(connected_components(links), f"{label}-roots")
     forget(links)
-    rows, turn, last = shared.select("key", "node"), 0, None
-    while True:
-        turn += 1
-        known = rows.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("comp"))
-        many = known.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).filter("lo < hi")
-        many = many.filter(F.col("n") > (2 if turn == 1 else HUBS + 1)).select("key")
-        open_rows = written(known.join(many, "key"), f"{label}-open")
-        place = Window.partitionBy("key").orderBy(F.xxhash64("node", F.lit(turn)), "node")
-        hubs = open_rows.withColumn("k", F.row_number().over(place)).filter(F.col("k") <= HUBS).select("key", F.col("node").alias("hub"), F.col("comp").alias("hub_comp"))
-        met = open_rows.join(hubs, "key").filter("comp <> hub_comp").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        new = met.join(reduce(DataFrame.unionByName, tested), ["a", "b"], "left_anti")
-        tested.append(written(likely(new).select("a", "b"), f"{label}-pairs"))
-        more = written(verify(tested[-1]), f"{label}-links")
-        if last is not None:
-            forget(last)
-        last = open_rows
-        if more.isEmpty():
-            break
-        before, roots = roots, written(merged(roots, more), f"{label}-roots")
-        forget(before)
-        ends = more.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        again = open_rows.join(ends, "node", "left_semi").select("key").distinct()
-        rows = open_rows.select("key", "node").join(again, "key", "left_semi")
-    for old in [*tested, last]:
+    known = shared.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("comp"))
+    many = known.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).filter("lo < hi and n > 2").select("key")
+    nodes = written(known.join(many, "key").select("node", "comp").distinct(), f"{label}-open")
+    pairs = prefix_pairs(nodes, elements(nodes.select("node")), least, label)
+    more = written(verify(likely(pairs).select("a", "b")), f"{label}-links")
+    for old in (nodes, pairs):
         forget(old)
+    if more.isEmpty():
+        return roots
+    before, roots = roots, written(merged(roots, more), f"{label}-roots")
+    forget(before)
     return roots
