@@ -1,16 +1,17 @@
-"""Links inside buckets without all pairs: a star, then an exact prefix join of what stays open.
+"""Links inside buckets without all pairs: hubs first, then an exact prefix join of what stays open.
 
 A bucket is a set of nodes that share a band key.  First every member is compared with the least node of
-its bucket; the links make components.  A bucket that then holds several components and more than two
-nodes is open.  All links between open nodes of different components are found exactly (see
-:func:`prefix_pairs`): of each node's elements, ordered by how few open nodes have them, only the first ones
-can hold the first element that a similar pair shares, so nodes meet only by elements that are rare among
-the open ones.  A template that all of them share costs nothing.
-
-Nodes that share an element meet as members outside its largest component, with all others.  Where more
-than ``LEAF`` members are outside, they meet by pairs, then triples and so on of elements instead.  So each
-key gives pairs in proportion to its members.  Only a key of ``DEPTH`` elements that still has more falls
-back to ``HUBS`` members by a hash, which every member meets.
+its bucket; the links make components.  Then, ``PASSES`` times, members of buckets with several components
+meet ``HUBS`` of their bucket, which joins most of what belongs together.  A bucket that then holds several
+components and more nodes than have met is open.  Open nodes of different components are compared by a
+prefix join (see :func:`prefix_pairs`): of each node's elements, ordered by how few open nodes have them,
+only the first ones can hold the first element that a similar pair shares, so nodes meet only by elements
+that are rare among the open ones.  A template that all of them share costs nothing.
+
+Nodes that share such an element meet as members outside its largest component, with all others, so a key
+gives pairs in proportion to its members.  Where more than ``LEAF`` members are outside, each meets one
+member only, chosen by a hash of element and node: a link between nodes that share no rarer element can
+be missed there.  No other step misses links of nodes that share a bucket.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from corpusloom.llm.components import connected_components, merged
 
 HUBS = 8
 LEAF = 16
-DEPTH = 3
+PASSES = 2
 
 
 def packed(registers: list[str], bits: int) -> Column:
@@ -74,44 +75,24 @@ def prefix_pairs(nodes: DataFrame, elements: DataFrame, least: float, label: str
     ``elements`` has ``node, n, element``, a row for each of the ``n`` elements of a node's set.  Of a similar
     pair, the smaller set has the first common element, in order of rarity, within its first
     n - ceil(2 least / (1 + least) n) + 1, the larger one within its first n - ceil(least n) + 1, and from
-    there on both have enough elements for what they must share.  With k common elements asked for, each
-    of these is longer by k - 1.
+    there on both have enough elements for what they must share.  Only at elements that too many components
+    have (see ``LEAF``) members meet one of them instead, another one at each element.
     """
     shared = elements.groupBy("element").agg(F.count("*").alias("df")).filter("df > 1")
     hits = elements.join(shared, "element").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "element"))).alias("s"))
-    longest = F.expr(f"n - ceil({least} * n - 1e-9) + {DEPTH}").cast("int")
+    reach = F.expr(f"int(n - ceil({least} * n - 1e-9)) + 1")  # the longest stretch to look at
+    index = F.expr(f"int(n - ceil({2 * least / (1 + least)} * n - 1e-9)) + 1")  # that of the smaller set
     own = F.col("n") - F.size("s")  # elements that no other node has come first
-    cut = F.slice("s", 1, F.greatest(longest - own, F.lit(0)).cast("int"))
-    kept = nodes.join(hits, "node").select("node", "comp", "n", own.cast("int").alias("own"), F.transform(cut, lambda x: x["element"]).alias("s"))
-    sets = written(kept.filter(F.size("s") > 0), f"{label}-prefixes")
-    reach, index = F.expr(f"n - ceil({least} * n - 1e-9) + 1").cast("int"), F.expr(f"n - ceil({2 * least / (1 + least)} * n - 1e-9) + 1").cast("int")
-    rows = sets.select("*", F.lit(0).cast("long").alias("key"), F.lit(-1).alias("at"))
-    found = []
-    for depth in range(1, DEPTH + 1):
-        most = F.least(reach + (depth - 1) - F.col("own"), F.size("s"))
-        each = rows.select("node", "comp", "n", "own", "s", "key", "at", F.explode(F.filter(F.sequence(F.lit(0), most - 1), lambda i: i > F.col("at"))).alias("i")).filter(most > 0) if depth > 1 else rows.filter(most > 0).select("node", "comp", "n", "own", "s", "key", F.explode(F.sequence(F.lit(0), most - 1)).alias("i"))
-        keyed = each.select("node", "comp", "n", "own", "s", F.xxhash64("key", F.get("s", F.col("i"))).alias("key"), F.col("i").alias("at"), (F.col("i") + F.col("own") < index + (depth - 1)).alias("indexed"))
-        keyed = written(keyed, f"{label}-keys")
-        per = keyed.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(F.sum("c").alias("all"), F.max("c").alias("most"), F.max_by("comp", F.struct("c", "comp")).alias("main"))
-        outside = written(per.filter("all > most").select("key", "main", (F.col("all") - F.col("most") <= LEAF).alias("small")), f"{label}-outside")
-        final = depth == DEPTH
-        small = keyed.join(outside.filter("small").select("key", "main"), "key")
-        found.append(written(_met(small.filter("comp <> main"), small, least), f"{label}-met"))
-        large = outside.filter("not small")
-        if final:
-            place = Window.partitionBy("key").orderBy(F.xxhash64("node"), "node")
-            wide = keyed.join(large.select("key"), "key")
-            hubs = wide.withColumn("k", F.row_number().over(place)).filter(F.col("k") <= HUBS).drop("k")
-            found.append(written(_met(hubs, wide, least), f"{label}-met"))
-        else:
-            rows = written(keyed.join(large.select("key"), "key").drop("indexed"), f"{label}-rows")
-        empty = not final and rows.isEmpty()
-        for old in (keyed, outside):
-            forget(old)
-        if empty:
-            break
-    pairs = written(reduce(DataFrame.unionByName, found).distinct(), f"{label}-pairs")
-    for old in [*found, sets]:
+    cut = F.transform(F.slice("s", 1, F.greatest(reach - own, F.lit(0)).cast("int")), lambda x: x["element"])
+    sets = nodes.join(hits, "node").select("node", "comp", "n", own.cast("int").alias("own"), index.alias("index"), F.posexplode(cut).alias("at", "key"))
+    keyed = written(sets.select("node", "comp", "n", "own", "at", "key", (F.col("at") + F.col("own") < F.col("index")).alias("indexed")), f"{label}-keys")
+    per = keyed.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(F.sum("c").alias("all"), F.max("c").alias("most"), F.max_by("comp", F.struct("c", "comp")).alias("main"))
+    outside = written(per.filter("all > most").select("key", "main", (F.col("all") - F.col("most") <= LEAF).alias("few")), f"{label}-outside")
+    few = keyed.join(outside.filter("few").select("key", "main"), "key")
+    many = keyed.join(outside.filter("not few").select("key"), "key")
+    hubs = many.groupBy("key").agg(F.min_by(F.struct("node", "comp", "n", "own", "at", "indexed"), F.xxhash64("node", "key")).alias("x")).select("key", "x.*")
+    pairs = written(_met(few.filter("comp <> main"), few, least).unionByName(_met(hubs, many, least)).distinct(), f"{label}-pairs")
+    for old in (keyed, outside):
         forget(old)
     return pairs
 
@@ -138,15 +119,35 @@ def settled(shared: DataFrame, verify: Callable[[DataFrame], DataFrame], likely:
     links = written(verify(likely(stars).select("a", "b")), f"{label}-links")
     roots = written(connected_components(links), f"{label}-roots")
     forget(links)
-    known = shared.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("comp"))
-    many = known.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).filter("lo < hi and n > 2").select("key")
-    nodes = written(known.join(many, "key").select("node", "comp").distinct(), f"{label}-open")
+    for turn in range(1, PASSES + 1):
+        still = written(_open(shared, roots, 2 if turn == 1 else HUBS + 1), f"{label}-open")
+        place = Window.partitionBy("key").orderBy(F.xxhash64("node", F.lit(turn)), "node")
+        hubs = still.withColumn("k", F.row_number().over(place)).filter(F.col("k") <= HUBS).select("key", F.col("node").alias("hub"), F.col("comp").alias("hub_comp"))
+        met = still.join(hubs, "key").filter("comp <> hub_comp").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+        roots = _with_links(roots, verify(likely(met).select("a", "b")), label)
+        forget(still)
+    nodes = written(_open(shared, roots, HUBS + 1).select("node", "comp").distinct(), f"{label}-open")
     pairs = prefix_pairs(nodes, elements(nodes.select("node")), least, label)
-    more = written(verify(likely(pairs).select("a", "b")), f"{label}-links")
+    roots = _with_links(roots, verify(likely(pairs).select("a", "b")), label)
     for old in (nodes, pairs):
         forget(old)
+    return roots
+
+
+def _open(shared: DataFrame, roots: DataFrame, met: int) -> DataFrame:
+    """``key, node, comp`` of the buckets that hold several components and more nodes than the ``met`` of which
+    all pairs have met."""
+    known = shared.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("comp"))
+    many = known.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).filter(f"lo < hi and n > {met}").select("key")
+    return known.join(many, "key")
+
+
+def _with_links(roots: DataFrame, links: DataFrame, label: str) -> DataFrame:
+    """``roots`` after further links; both tables given go."""
+    more = written(links, f"{label}-links")
     if more.isEmpty():
         return roots
-    before, roots = roots, written(merged(roots, more), f"{label}-roots")
-    forget(before)
-    return roots
+    new = written(merged(roots, more), f"{label}-roots")
+    for old in (roots, more):
+        forget(old)
+    return new
