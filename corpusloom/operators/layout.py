@@ -64,6 +64,17 @@ def judged_lines(lines: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     return counted.withColumn("drop_reason", reason).drop("__head")
 
 
+def titled(heads: DataFrame, head: str, titles: DataFrame, title: str) -> DataFrame:
+    """``heads`` that begin with one of many titles: a join of equal beginnings, one for each length that a
+    title has (as many as the longest title has characters, at most)."""
+    lengths = sorted(r[0] for r in titles.select(F.char_length(title)).distinct().collect() if r[0])
+    known = titles.select(F.col(title).alias("__title")).distinct()
+    own = heads.select(F.struct(*[F.col(f"`{c}`") for c in heads.columns]).alias("row"), F.col(head).alias("__head"), F.monotonically_increasing_id().alias("__id"))
+    begins = F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.char_length("__head")) if lengths else F.array().cast("array<int>")
+    each = own.select("row", "__id", F.explode(F.transform(begins, lambda n: F.substr(F.col("__head"), F.lit(1), n))).alias("__title"))
+    return each.join(known, "__title", "left_semi").dropDuplicates(["__id"]).select("row.*")
+
+
 def judged_pages(lines: DataFrame) -> DataFrame:
     """``doc, page, lines, junk, drop_reason`` (null: the page stays)."""
     return judged_lines(lines).filter("line_no = 0").select("doc", "page", "lines", "junk", "drop_reason")
@@ -95,8 +106,11 @@ def with_typical(lines: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 
 
 def typical_length(lines: DataFrame) -> DataFrame:
-    """``doc, typical``."""
-    return with_typical(lines).groupBy("doc").agg(F.min("typical").alias("typical"))
+    """``doc, typical``, from the counts of the lengths of each document: no lines are sorted or gathered."""
+    counts = lines.groupBy("doc", F.char_length("text").alias("size")).agg(F.count("*").alias("n"))
+    up = Window.partitionBy("doc").orderBy("size")
+    reached = counts.withColumns({"upto": F.sum("n").over(up), "all": F.sum("n").over(Window.partitionBy("doc"))})
+    return reached.filter(F.col("upto") > F.floor(F.col("all") * 0.75)).groupBy("doc").agg(F.min("size").alias("typical"))
 
 
 def relative_lines(lines: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,7 +70,12 @@ def encode(dtype: str, values: np.ndarray) -> bytes:
 
 def merge_low_rank(base: DataFrame, adapter: DataFrame, scaling: float) -> DataFrame:
     """``base`` (name, dtype, shape, data) with each paired tensor plus ``scaling * B @ A``, computed in
-    32-bit floats and cast back; ``merged`` tells which.  Unequal shapes are an error."""
+    32-bit floats and cast back; ``merged`` tells which.  Unequal shapes are an error.
+
+    If ``base`` has ``at`` (place of the first value, as the tensor source gives it with ``tile_bytes``), its
+    rows are stretches of values, and only the rows of the product that a stretch touches are computed.
+    """
+    tiled = "at" in base.columns
     pairs = adapter_pairs(adapter)
     side = lambda p: adapter.select(F.col("name").alias(f"{p}_key"), F.struct("dtype", "shape", "data").alias(p))
     both = pairs.join(side("a"), "a_key").join(side("b"), "b_key").select("name", "a", "b")
@@ -81,20 +87,58 @@ def merge_low_rank(base: DataFrame, adapter: DataFrame, scaling: float) -> DataF
                 data = r.data
                 if r.a is not None:
                     a, b = (decode(x["dtype"], x["data"]).reshape(x["shape"]) for x in (r.a, r.b))
-                    delta = (b @ a) * np.float32(scaling)
-                    if list(delta.shape) != list(r.shape):
-                        raise ValueError(f"shape mismatch on {r.name}: {delta.shape} and {tuple(r.shape)}")
-                    data = encode(r.dtype, decode(r.dtype, data) + delta.ravel())
-                out.append((r.name, r.dtype, list(r.shape), data, r.a is not None))
-            yield pd.DataFrame(out, columns=["name", "dtype", "shape", "data", "merged"])
-
-    joined = base.select("name", "dtype", "shape", "data").join(both, "name", "left")
-    return joined.mapInPandas(run, "name string, dtype string, shape array<bigint>, data binary, merged boolean")
-
-
-def low_rank_product(a: DataFrame, b: DataFrame, scaling: float) -> DataFrame:
-    """Relational form over coordinates: ``b(i, k, v)`` times ``a(k, j, v)``."""
-    return b.select("i", "k", F.col("v").alias("y")).join(a.select("k", "j", F.col("v").alias("x")), "k").groupBy("i", "j").agg((F.sum(F.col("y") * F.col("x")) * scaling).alias("v"))
+                    if [b.shape[0], a.shape[1]] != list(r.shape):
+                        raise ValueError(f"shape mismatch on {r.name}: {(b.shape[0], a.shape[1])} and {tuple(r.shape)}")
+                    values = decode(r.dtype, data)
+                    low, high = r.at // a.shape[1], -(-(r.at + len(values)) // a.shape[1])
+                    skip = r.at - low * a.shape[1]
+                    delta = ((b[low:high] @ a) * np.float32(scaling)).ravel()[skip : skip + len(values)]
+                    data = encode(r.dtype, values + delta)
+                out.append((r.name, r.dtype, list(r.shape), data, r.at, r.a is not None))
+            yield pd.DataFrame(out, columns=["name", "dtype", "shape", "data", "at", "merged"])
+
+    at = F.col("at") if tiled else F.lit(0).cast("bigint").alias("at")
+    joined = base.select("name", "dtype", "shape", "data", at).join(both, "name", "left")
+    merged = joined.mapInPandas(run, "name string, dtype string, shape array<bigint>, data binary, at bigint, merged boolean")
+    return merged if tiled else merged.drop("at")
+
+
+TILE = 256  # rows and columns of a tile of a matrix of coordinates
+
+
+def _tiles(cells: DataFrame, row: str, column: str, tile: int, names: tuple[str, str, str]) -> DataFrame:
+    """Coordinates by tile: number of the row's and of the column's tile, and the cells within as arrays."""
+    number = lambda c: F.expr(f"(`{c}` - pmod(`{c}`, {tile})) div {tile}")
+    cell = F.struct(F.expr(f"int(pmod(`{row}`, {tile}))").alias("r"), F.expr(f"int(pmod(`{column}`, {tile}))").alias("c"), F.col("v").cast("double").alias("v"))
+    gathered = cells.groupBy(number(row).alias(names[0]), number(column).alias(names[1])).agg(F.collect_list(cell).alias("x"))
+    return gathered.select(names[0], names[1], F.struct(*[F.col(f"x.{n}").alias(n) for n in "rcv"]).alias(names[2]))
+
+
+def low_rank_product(a: DataFrame, b: DataFrame, scaling: float, tile: int = TILE) -> DataFrame:
+    """``i, j, v``: the matrix of the coordinates ``b(i, k, v)`` times that of ``a(k, j, v)``, times ``scaling``;
+    a cell for each (i, j) that share a k.
+
+    Coordinates are gathered into tiles, at most ``tile`` by ``tile`` cells each.  Tiles that meet in k are
+    multiplied in a task, so what is shuffled for the sum are the cells of the result, once for each tile of k
+    that adds to them, and not the products of single cells.
+    """
+    rows, columns = _tiles(b, "i", "k", tile, ("ti", "tk", "y")), _tiles(a, "k", "j", tile, ("tk", "tj", "x"))
+
+    def dense(part: dict) -> tuple[np.ndarray, np.ndarray]:
+        values, there = np.zeros((tile, tile)), np.zeros((tile, tile), np.float32)
+        np.add.at(values, (part["r"], part["c"]), part["v"])
+        there[part["r"], part["c"]] = 1
+        return values, there
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for ti, tj, y, x in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                (p, p_there), (q, q_there) = dense(y), dense(x)
+                i, j = np.nonzero(p_there @ q_there)
+                yield pa.RecordBatch.from_arrays([pa.array(ti * tile + i), pa.array(tj * tile + j), pa.array((p @ q)[i, j])], names=["i", "j", "v"])
+
+    parts = rows.join(columns, "tk").select("ti", "tj", "y", "x").mapInArrow(run, "i long, j long, v double")
+    return parts.groupBy("i", "j").agg((F.sum("v") * scaling).alias("v"))
 
 
 def shard_index(placed: DataFrame) -> DataFrame:

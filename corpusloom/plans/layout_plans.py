@@ -36,6 +36,13 @@ def body_lines(spark, d):
     return _big(L.body_lines(spans(spark, d)))
 
 
+def titled_documents(spark, d):
+    """Documents that begin with one of many titles: the first two words of every long one."""
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    titles = docs.filter("n_chars > 500").select(F.lower(F.substring_index("text", " ", 2)).alias("title"))
+    return L.titled(docs.select("doc_id", F.lower("text").alias("head")), "head", titles, "title").select("doc_id")
+
+
 def junk_lines(spark, d):
     lines = spans(spark, d)
     return _big(lines.select("doc", "page", "block", "line", T.is_junk_line(F.col("text")).alias("junk")))
@@ -104,6 +111,7 @@ ORACLES = {
     "body_font": f"WITH {_SPANS}{_FONT} SELECT doc, body_font FROM font",
     "page_sampling": "WITH pg AS (SELECT doc_id AS doc, (len(string_split(text, chr(10))) - 1) // 10 + 1 AS pages FROM documents), p AS (SELECT doc, pages, unnest(range(0, pages)) AS page FROM pg) SELECT doc, page FROM p WHERE page % greatest(1, pages // 3) = 0",
     "body_lines": f"WITH {_SPANS}{_FONT}{_LINES} SELECT doc, page, line_no, text, x0 FROM bl",
+    "titled_documents": "WITH t AS (SELECT DISTINCT lower(array_to_string(string_split(text, ' ')[1:2], ' ')) AS title FROM documents WHERE n_chars > 500) SELECT doc_id FROM documents WHERE EXISTS (SELECT 1 FROM t WHERE title <> '' AND starts_with(lower(text), title))",
     "junk_lines": f"WITH {_SPANS} SELECT doc, page, block, line, {_junk('text')} AS junk FROM spans",
     "page_filter": f"WITH {_SPANS}{_FONT}{_LINES}{_PAGES} SELECT doc, page, lines, junk, drop_reason FROM jp",
     "page_margin": f"WITH {_ALL}{_MARGIN} SELECT doc, page, margin FROM mg",

@@ -9,12 +9,16 @@ total of bytes) is written.  An aborted job, or a task that was lost, leaves not
 A file is the header's length (8 bytes, little-endian), the header (name to dtype, shape and offsets)
 and the data.  Headers are read once, on the driver, and dealt out as byte ranges of about
 ``RANGE_BYTES``, so a file of any size is read by many tasks.  With the option ``headers`` only names,
-types and shapes are read and ``data`` is null.
+types and shapes are read and ``data`` is null.  With the option ``tile_bytes`` a tensor comes in rows of at
+most so many bytes, each with ``at``, the place of its first value, so a tensor of any size can be read;
+rows with ``at`` are written as one tensor if they lie in order.
 """
 
 from __future__ import annotations
 
+import itertools
 import json
+import math
 import struct
 import uuid
 from collections.abc import Iterator
@@ -63,8 +67,17 @@ class _Range(InputPartition):
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, uri: str, headers: bool):
-        self.uri, self.headers = uri, headers
+    def __init__(self, uri: str, headers: bool, tile_bytes: int):
+        self.uri, self.headers, self.tile_bytes = uri, headers, tile_bytes
+
+    def _stretches(self, tensor: dict) -> list[dict]:
+        """A tensor whole, or in stretches of whole values."""
+        size = tensor["high"] - tensor["low"]
+        if self.headers or not self.tile_bytes or not size:
+            return [tensor | {"at": 0}]
+        width = size // max(1, math.prod(tensor["shape"]))
+        step = max(1, self.tile_bytes // width)
+        return [tensor | {"at": at, "low": tensor["low"] + at * width, "high": min(tensor["high"], tensor["low"] + (at + step) * width)} for at in range(0, size // width, step)]
 
     def partitions(self) -> list[_Range]:
         fs, path = _open(self.uri)
@@ -77,23 +90,24 @@ class _Reader(DataSourceReader):
         for p in found:
             with fs.open_input_file(p) as file:
                 table = header_table(file)
-            numbers = [(r["low"] - table["low"][0].as_py()) // RANGE_BYTES for r in table.to_pylist()] if table.num_rows else []
-            for k in sorted(set(numbers)):
-                out.append(_Range(p, [r for n, r in zip(numbers, table.to_pylist(), strict=True) if n == k]))
+            first = table["low"][0].as_py() if table.num_rows else 0
+            stretches = [x for r in table.to_pylist() for x in self._stretches(r)]
+            for _, rows in itertools.groupby(stretches, lambda r: (r["low"] - first) // RANGE_BYTES):
+                out.append(_Range(p, list(rows)))
         return out or [_Range(found[0], [])]
 
     def read(self, part: _Range) -> Iterator[tuple]:
         fs, _ = _open(self.uri)
         file = part.uri.rsplit("/", 1)[-1]
         if self.headers:
-            yield from ((file, r["name"], r["dtype"], r["shape"], None) for r in part.rows)
+            yield from ((file, r["name"], r["dtype"], r["shape"], None, *([0] if self.tile_bytes else [])) for r in part.rows)
             return
         with fs.open_input_file(part.uri) as source:
             for r in part.rows:
                 data = source.read_at(r["high"] - r["low"], r["low"])
                 if len(data) < r["high"] - r["low"]:
                     raise OSError(f"{part.uri} ends within {r['name']}")
-                yield file, r["name"], r["dtype"], r["shape"], data
+                yield (file, r["name"], r["dtype"], r["shape"], data, r["at"]) if self.tile_bytes else (file, r["name"], r["dtype"], r["shape"], data)
 
 
 INDEX = "model.safetensors.index.json"  # fixed value
@@ -115,8 +129,13 @@ class _Shard:
         self.tensors: list[tuple[str, str, list[int], int]] = []
         self.data = fs.open_output_stream(self.path + ".data")
 
-    def add(self, name: str, dtype: str, shape: list[int], data: pa.Buffer) -> None:
-        self.tensors.append((name, dtype, shape, data.size))
+    def add(self, name: str, dtype: str, shape: list[int], at: int, data: pa.Buffer) -> None:
+        if at:
+            if not self.tensors or self.tensors[-1][0] != name:
+                raise ValueError(f"the stretches of {name} must lie side by side")
+            self.tensors[-1] = (name, dtype, shape, self.tensors[-1][3] + data.size)
+        else:
+            self.tensors.append((name, dtype, shape, data.size))
         self.data.write(data)
 
     def close(self) -> tuple[int, str, list[str], int]:
@@ -146,14 +165,16 @@ class _Writer(DataSourceArrowWriter):
         done, now = [], None
         for batch in iterator:
             columns = [batch.column(batch.schema.get_field_index(c)) for c in ("shard", "name", "dtype", "shape", "data")]
-            for shard, name, dtype, shape, data in zip(*columns, strict=True):
+            at = batch.schema.get_field_index("at")
+            places = batch.column(at).to_pylist() if at >= 0 else [0] * batch.num_rows
+            for place, shard, name, dtype, shape, data in zip(places, *columns, strict=True):
                 if not (shard.is_valid and name.is_valid and data.is_valid):
                     raise ValueError("a tensor needs a shard, a name and data")
                 if now is None or now.number != shard.as_py():
                     if now is not None:
                         done.append(now.close())
                     now = _Shard(fs, folder, shard.as_py())
-                now.add(name.as_py(), dtype.as_py(), shape.as_py(), data.as_buffer())
+                now.add(name.as_py(), dtype.as_py(), shape.as_py(), place, data.as_buffer())
         if now is not None:
             done.append(now.close())
         return _Written(done)
@@ -188,8 +209,8 @@ class _Writer(DataSourceArrowWriter):
 
 
 def by_shard(tensors):
-    """``tensors`` as the writer takes them: a shard in one partition, its tensors by name."""
-    return tensors.repartition("shard").sortWithinPartitions("shard", "name")
+    """``tensors`` as the writer takes them: a shard in one partition, its tensors by name and place."""
+    return tensors.repartition("shard").sortWithinPartitions("shard", "name", *[c for c in tensors.columns if c == "at"])
 
 
 class TensorSource(DataSource):
@@ -197,14 +218,17 @@ class TensorSource(DataSource):
     def name(cls) -> str:
         return "tensors"
 
+    def _tile_bytes(self) -> int:
+        return int(self.options.get("tile_bytes", "0"))
+
     def schema(self) -> str:
-        return SCHEMA
+        return SCHEMA + (", at bigint" if self._tile_bytes() else "")
 
     def writer(self, schema: StructType, overwrite: bool) -> _Writer:
         return _Writer(self.options["path"], schema, overwrite)
 
     def reader(self, schema: StructType) -> _Reader:
-        return _Reader(self.options["path"], self.options.get("headers", "false").lower() == "true")
+        return _Reader(self.options["path"], self.options.get("headers", "false").lower() == "true", self._tile_bytes())
 
 
 def write_shards(tensors, folder: str):
