@@ -154,10 +154,9 @@ def _word_lists(buckets: int):
         place[order] = np.arange(len(raw))
         ids = np.array([0 if d[0] is None else d[0] for d in docs], np.int64).tobytes() + np.array([d[0] is None for d in docs], np.bool_).tobytes()
         rows = [(name, -1, n, ids, _pack_ints(np.array([len(d[1]) for d in docs], np.uint32)), _pack_ints(place[by_use]), _pack_ints(rank[flat]))]
-        cuts = np.searchsorted(np.array(keys, np.int64)[order], np.arange(buckets + 1)).tolist()
-        for b in range(buckets):
-            if cuts[b] < cuts[b + 1]:
-                rows.append((name, b, cuts[b + 1] - cuts[b], None, None, None, _pack_words([raw[i] for i in order[cuts[b] : cuts[b + 1]]])))
+        some, first = np.unique(np.array(keys, np.int64)[order], return_index=True)  # no more than there are words
+        for b, low, high in zip(some.tolist(), first.tolist(), np.append(first, len(order))[1:].tolist(), strict=True):
+            rows.append((name, b, high - low, None, None, None, _pack_words([raw[i] for i in order[low:high]])))
         kinds = [pa.string(), pa.int32(), pa.int64(), *[pa.binary()] * 4]
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=_LIST_NAMES)
 
