@@ -77,3 +77,21 @@ def test_a_family_of_near_lines(spark):
         lines.append(line)
     want, got = test_fuzzy_lines.brute_kept(lines), test_fuzzy_lines.kept(spark, lines)
     assert want <= got and len(got - want) <= (len(lines) - len(want)) / 50
+
+
+def test_secrets_in_other_wordings():
+    """Names that no training sentence has, and names that tell of something else."""
+    rng = random.Random(77)
+    value = lambda n=40: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    found = lambda text: [text[a:b] for a, b, k in pii_crf.field().spans(text, []) if k == "secret"]
+    for form in ("aws_secret_access_key = {}", "GITHUB_TOKEN={}", "secret_key: {}", "passwort = {}", "my key is {}", "Authorization: bearer {}", "export DEPLOY_PASSWORD={}", "stripe-secret: {} and", "the token is {} now"):
+        v = value()
+        assert found("so " + form.format(v)) == [v], form
+    for form in ("commit = {}", "sha256: {}", "the file {} is", "house = {}", "merge_commit: {}", "checksum={}", "page {}"):
+        assert found("so " + form.format(value())) == [], form
+    for n in (96, 119, 120, 121, 128):
+        v = value(n)
+        assert found(f'so token = "{v}" end') == [v], n
+    v = "sk_live_" + value(24)
+    assert found(f"use {v} here") == [v]
+    assert pii_crf.field().spans("a1" * 50_000, []) == []
