@@ -68,6 +68,16 @@ def encode(dtype: str, values: np.ndarray) -> bytes:
     return values.astype(kinds[dtype]).tobytes()
 
 
+def shape_mismatches(base: DataFrame, adapter: DataFrame) -> DataFrame:
+    """``name, expected, found`` of the paired tensors whose product has another shape than the base; from
+    names and shapes alone (``name, shape``), before anything is merged."""
+    side = lambda p: adapter.select(F.col("name").alias(f"{p}_key"), F.col("shape").alias(p))
+    both = adapter_pairs(adapter).join(side("a"), "a_key").join(side("b"), "b_key")
+    found = F.array(F.get("b", F.lit(0)), F.get("a", F.lit(1)))
+    met = base.select("name", F.col("shape").alias("expected")).join(both.select("name", found.alias("found")), "name")
+    return met.filter(~F.col("expected").eqNullSafe(F.col("found")))
+
+
 def merge_low_rank(base: DataFrame, adapter: DataFrame, scaling: float) -> DataFrame:
     """``base`` (name, dtype, shape, data) with each paired tensor plus ``scaling * B @ A``, computed in
     32-bit floats and cast back; ``merged`` tells which.  Unequal shapes are an error.

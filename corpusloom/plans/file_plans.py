@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
+
 from pyspark.sql import functions as F
 
+from corpusloom import validate
 from corpusloom.functions.tokens import vocabulary_counter
 from corpusloom.operators import records as R
 from corpusloom.operators import segment
@@ -84,6 +88,32 @@ def appended_records(spark, d):
     return R.jsonl_records(spark, folder, "*.json").select(read.alias("r")).select("r.*")
 
 
+def validator_status(spark, d):
+    """Exit status of the command line for the records of each source: 1 for those with a broken line (every
+    hundredth document is cut short), 2 for a file that is not there."""
+    folder = files.work_folder(spark, "validate")
+    line = F.to_json(F.struct("instruction", "response"))
+    value = F.when(F.col("doc_id") % 100 == 0, F.substring(line, 1, 10)).otherwise(line)
+    _records(spark, d).select("doc_id", F.col("response").alias("source"), value.alias("value")).select("source", "value").write.partitionBy("source").text(folder)
+    names = sorted(r[0] for r in _docs(spark, d).select("source").distinct().collect())
+    with contextlib.redirect_stdout(io.StringIO()), contextlib.redirect_stderr(io.StringIO()):
+        found = [(n, validate.main([f"{folder}/source={n}"])) for n in names] + [("missing", validate.main([f"{folder}/missing"]))]
+    return spark.createDataFrame(found, "source string, status bigint")
+
+
+def sidecar_files(spark, d):
+    """A file of each source, copied from the first of two folders that has it: sources with a document
+    whose id is divisible by seven have one in the first."""
+    folder = files.work_folder(spark, "sidecars")
+    docs = _docs(spark, d)
+    for name, rows in (("model", docs.filter("doc_id % 7 = 0")), ("adapter", docs)):
+        files.write_texts(rows.groupBy(F.col("source").alias("doc")).agg(F.concat(F.lit(f"{name} "), F.count("*").cast("string")).alias("text")), f"{folder}/{name}")
+    names = [f"doc={r[0]}" for r in docs.select("source").distinct().collect()]
+    copied = files.copy_first(spark, [*names, "doc=nobody"], [f"{folder}/model", f"{folder}/adapter"], f"{folder}/out")
+    back = files.whole_texts(spark, f"{folder}/out", recursive=True)
+    return back.select(F.regexp_extract("path", r"/doc=([^/]+)/", 1).alias("source"), F.regexp_replace("text", r"\n\z", "").alias("body"), F.lit(len(copied)).cast("bigint").alias("copied"))
+
+
 def strict_records(spark, d):
     """Repeated keys, numbers without a strict form and broken lines, as the validator takes them."""
     value = F.expr("""CASE doc_id % 5 WHEN 0 THEN '{"instruction": "a", "instruction": "b", "response": "c"}' WHEN 1 THEN '{"instruction": "a", "response": "c", "score": NaN}'
@@ -282,6 +312,8 @@ ORACLES = {
     "jsonl_lines": "SELECT doc_id, CAST(sum(CASE WHEN doc_id % 3 = 0 THEN 2 ELSE 1 END) OVER (PARTITION BY doc_id // 100 ORDER BY doc_id) AS BIGINT) AS line_no, true AS valid FROM documents",
     "appended_records": "SELECT doc_id, 'Q' || doc_id AS instruction, source AS response FROM documents",
     "strict_records": "SELECT doc_id, CASE doc_id % 5 WHEN 2 THEN 'invalid JSON: Expecting '','' delimiter' WHEN 3 THEN '''response'' must be non-empty text' WHEN 4 THEN 'record must be a JSON object' END AS errors FROM documents",
+    "validator_status": "SELECT source, CAST(max(CASE WHEN doc_id % 100 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS status FROM documents GROUP BY source UNION ALL SELECT 'missing', 2",
+    "sidecar_files": "SELECT source, CASE WHEN count(*) FILTER (doc_id % 7 = 0) > 0 THEN 'model ' || count(*) FILTER (doc_id % 7 = 0) ELSE 'adapter ' || count(*) END AS body, (SELECT count(DISTINCT source) FROM documents) AS copied FROM documents GROUP BY source",
     "adapter_config": "SELECT source AS base_model, round(CAST(count(*) AS DOUBLE) / (max(n_chars) % 32 + 1), 6) AS scaling FROM documents GROUP BY source",
     "newest_snapshot": "SELECT '/cache/models--a--b/snapshots/' || lpad(CAST(max(doc_id) AS VARCHAR), 8, '0') AS path FROM documents",
     "tensor_files": "SELECT printf('model-%05d.safetensors', n_regionkey + 1) AS file, n_name AS name, 'U8' AS dtype, length(n_name) AS n, n_name AS body FROM nation",

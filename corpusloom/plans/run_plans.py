@@ -30,6 +30,18 @@ def unmatched_adapters(spark, d):
     return adapter_pairs(spark, d).join(base, "name", "left_anti").select("name")
 
 
+def shape_mismatches(spark, d):
+    """Every part as a layer: base of its size by 7, factors whose product fits for three of four."""
+    p = _table(spark, d, "part").select("p_partkey", F.col("p_size").cast("bigint").alias("n"))
+    layer = F.concat(F.lit("layers."), F.col("p_partkey").cast("string"))
+    base = p.select(F.concat(layer, F.lit(".weight")).alias("name"), F.array("n", F.lit(7).cast("bigint")).alias("shape"))
+    key = lambda x: F.concat(F.lit("base_model.model."), layer, F.lit(f".lora_{x}.weight")).alias("name")
+    wrong = F.when(F.col("p_partkey") % 4 == 0, 1).otherwise(0)
+    a = p.select(key("A"), F.array(F.lit(2).cast("bigint"), F.lit(7).cast("bigint")).alias("shape"))
+    b = p.select(key("B"), F.array(F.col("n") + wrong, F.lit(2).cast("bigint")).alias("shape"))
+    return X.shape_mismatches(base, a.unionByName(b)).select("name", F.array_join(F.col("expected").cast("array<string>"), "x").alias("expected"), F.array_join(F.col("found").cast("array<string>"), "x").alias("found"))
+
+
 def _cells(spark, d, low, i, j):
     """Coordinates of four of every twelve vectors; ``l`` numbers the twelves."""
     e = _table(spark, d, "embeddings").filter(f"vec_id % 12 between {low} and {low + 3}").select(F.expr("vec_id div 12").alias("l"), (F.col("vec_id") % 4).alias("m"), F.posexplode("embedding").alias("pos", "x"))
@@ -120,6 +132,7 @@ s AS (SELECT source, doc_id, k, n, CAST(1 AS BIGINT) AS shard FROM d WHERE k = 1
 ORACLES = {
     "adapter_pairs": f"WITH {_PAIRS} SELECT name, a_key, b_key FROM pairs",
     "unmatched_adapters": f"WITH {_PAIRS} SELECT name FROM pairs WHERE name NOT IN (SELECT 'layers.' || vec_id || '.attn.weight' FROM embeddings WHERE vec_id % 3 <> 0)",
+    "shape_mismatches": "SELECT 'layers.' || p_partkey || '.weight' AS name, CAST(p_size AS BIGINT) || 'x7' AS expected, (CAST(p_size AS BIGINT) + 1) || 'x7' AS found FROM part WHERE p_partkey % 4 = 0",
     "lora_merge": f"WITH {_CELL}, c AS (SELECT vec_id // 12 AS l, vec_id % 12 // 4 AS s, vec_id % 4 AS m, pos, x FROM u), p AS (SELECT b.l, b.m, a.pos, sum(b.x * a.x) * 2.0 AS v FROM c b JOIN c a ON a.s = 0 AND b.s = 1 AND a.l = b.l AND a.m = b.pos % 4 GROUP BY b.l, b.m, a.pos) SELECT CAST(c.l * 4 + c.m AS BIGINT) AS i, CAST(c.pos AS BIGINT) AS j, round(x + coalesce(v, 0), 6) AS v FROM c LEFT JOIN p ON p.l = c.l AND p.m = c.m AND p.pos = c.pos WHERE s = 2",
     "tensor_sizes": "SELECT p_partkey, CAST(p_size AS BIGINT) * (p_partkey % 7 + 1) AS n_values, CAST(p_size AS BIGINT) * (p_partkey % 7 + 1) * ([2, 4, 1, 8])[p_partkey % 4 + 1] AS n_bytes FROM part",
     "trainable_share": "SELECT CAST(sum(CASE WHEN p_partkey % 10 = 0 THEN p_size * 1000 ELSE 0 END) AS BIGINT) AS trainable, CAST(sum(p_size * 1000) AS BIGINT) AS total, round(100 * sum(CASE WHEN p_partkey % 10 = 0 THEN p_size * 1000 ELSE 0 END) / sum(p_size * 1000), 4) AS percent FROM part",
