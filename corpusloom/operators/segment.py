@@ -100,14 +100,13 @@ def chunk_ranges(tokens: Column, target: int = TARGET_TOKENS, overlap: int = OVE
 def chunks(docs: DataFrame, paragraphs: str, count: Callable[[Column], Column] = T.word_count, target: int = TARGET_TOKENS, overlap: int = OVERLAP_TOKENS) -> DataFrame:
     """``docs`` with one row for each chunk: ``chunk_no`` (from 1), ``chunk`` and ``n_tokens``.
 
-    ``count`` is the token counter.  Blank paragraphs are dropped; a document without any gives none.
+    ``count`` is the token counter.  Blank paragraphs are dropped; a document without any gives none.  The
+    paragraphs of a document follow each other where they are, so nothing is shuffled.
     """
     keep = [c for c in docs.columns if c != paragraphs]
-    solid = docs.select(*keep, F.filter(paragraphs, lambda p: p.isNotNull() & (T.strip(p) != "")).alias("__p"))
-    counted = solid.withColumn("__t", F.transform("__p", lambda p: count(p).cast("bigint")))
-    cut = counted.withColumn("__r", chunk_ranges(F.col("__t"), target, overlap))
-    each = cut.select(*keep, "__p", F.posexplode("__r").alias("__k", "__c"))
-    return each.select(*keep, (F.col("__k") + 1).alias("chunk_no"), F.array_join(F.slice("__p", F.col("__c.lo") + 1, F.col("__c.hi") - F.col("__c.lo") + 1), "\n\n").alias("chunk"), F.col("__c.n").alias("n_tokens"))
+    each = docs.select(*[F.col(f"`{c}`") for c in keep], F.monotonically_increasing_id().alias("__doc"), F.col(paragraphs).alias("__p")).select(*keep, "__doc", F.explode("__p").alias("__text"))
+    rows = each.filter(T.strip(F.col("__text")) != "").withColumn("__n", count(F.col("__text")).cast("bigint"))
+    return _folded(rows, ["__doc"], target, overlap).select(*keep, "chunk_no", "chunk", "n_tokens")
 
 
 def chunk_rows(paragraphs: DataFrame, doc: list[str], order: list[str], text: str, count: Callable[[Column], Column] = T.word_count, target: int = TARGET_TOKENS, overlap: int = OVERLAP_TOKENS) -> DataFrame:
@@ -119,30 +118,52 @@ def chunk_rows(paragraphs: DataFrame, doc: list[str], order: list[str], text: st
     """
     solid = paragraphs.filter(F.col(text).isNotNull() & (T.strip(F.col(text)) != ""))
     rows = solid.select(*doc, *[c for c in order if c not in doc], F.col(text).alias("__text"), count(F.col(text)).cast("bigint").alias("__n"))
-    rows = rows.repartition(*doc).sortWithinPartitions(*doc, *order).select(*doc, "__text", "__n")
-    schema = StructType([*(rows.schema[c] for c in doc), StructField("chunk_no", IntegerType()), StructField("chunk", StringType()), StructField("n_tokens", LongType())])
+    return _folded(rows.repartition(*doc).sortWithinPartitions(*doc, *order).select(*doc, "__text", "__n"), doc, target, overlap)
+
+
+def _folded(rows: DataFrame, doc: list[str], target: int, overlap: int) -> DataFrame:
+    """Chunks of ``rows`` with ``__text`` and its size ``__n``; rows of one document, told by the columns of
+    ``doc``, follow each other.  All other columns are those of the document's first row."""
+    keep = [c for c in rows.columns if c not in ("__text", "__n")]
+    schema = StructType([*(rows.schema[c] for c in keep), StructField("chunk_no", IntegerType()), StructField("chunk", StringType()), StructField("n_tokens", LongType())])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, number, open_chunk = None, 0, OpenChunk(target, overlap)
+        owner: pa.RecordBatch | None = None  # first row of the open document
+        number, open_chunk = 0, OpenChunk(target, overlap)
         for batch in batches:
-            done: list[tuple] = []
-            keys = list(zip(*(batch.column(i).to_pylist() for i in range(len(doc))), strict=True))
-            for now, part, size in zip(keys, batch.column(len(doc)).to_pylist(), batch.column(len(doc) + 1).to_pylist(), strict=True):
-                if now != key:
+            if not batch.num_rows:
+                continue
+            own = batch.select(keep)
+            keys = [own.column(c) for c in doc]
+            new = _changes(keys) if keys else np.arange(batch.num_rows) == 0
+            if owner is not None and all(owner.column(c)[0].as_py() == k[0].as_py() for c, k in zip(doc, keys, strict=True)):
+                new[0] = False
+            heads = own if owner is None else pa.Table.from_batches([owner, own]).combine_chunks().to_batches()[0]
+            shift = 0 if owner is None else 1
+            row, done = 0, ([], [], [], [])  # row of the document in ``heads``, number, text, tokens
+
+            def close(row: int, number: int, done: tuple, open_chunk: OpenChunk) -> None:
+                for to, value in zip(done, (row, number, "\n\n".join(open_chunk.parts), open_chunk.total), strict=True):
+                    to.append(value)
+
+            for i, (starts, part, size) in enumerate(zip(new.tolist(), batch.column("__text").to_pylist(), batch.column("__n").to_pylist(), strict=True)):
+                if starts:
                     if open_chunk.parts:
-                        done.append((*key, number + 1, "\n\n".join(open_chunk.parts), open_chunk.total))
-                    key, number, open_chunk = now, 0, OpenChunk(target, overlap)
+                        close(row, number + 1, done, open_chunk)
+                    row, number, open_chunk = i + shift, 0, OpenChunk(target, overlap)
                 if open_chunk.closes_before(size):
                     number += 1
-                    done.append((*key, number, "\n\n".join(open_chunk.parts), open_chunk.total))
+                    close(row, number, done, open_chunk)
                     open_chunk.reopen()
                 open_chunk.add(part, size)
-            if done:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*done, strict=True), arrow, strict=True)], schema=arrow)
+            owner = heads.slice(row, 1)
+            if done[0]:
+                own_columns = heads.take(pa.array(done[0])).columns
+                yield pa.RecordBatch.from_arrays([c if c.type == f.type else c.cast(f.type) for c, f in zip([*own_columns, pa.array(done[1], pa.int32()), pa.array(done[2], pa.string()), pa.array(done[3], pa.int64())], arrow, strict=True)], schema=arrow)
         if open_chunk.parts:
-            last = (*key, number + 1, "\n\n".join(open_chunk.parts), open_chunk.total)
-            yield pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(last, arrow, strict=True)], schema=arrow)
+            last = [*owner.columns, pa.array([number + 1], pa.int32()), pa.array(["\n\n".join(open_chunk.parts)], pa.string()), pa.array([open_chunk.total], pa.int64())]
+            yield pa.RecordBatch.from_arrays([c if c.type == f.type else c.cast(f.type) for c, f in zip(last, arrow, strict=True)], schema=arrow)
 
     return rows.mapInArrow(run, schema)
 
