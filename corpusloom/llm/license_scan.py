@@ -33,7 +33,7 @@ from corpusloom.llm.common import written
 
 UNKNOWN = "unknown"
 LEAST_SHARED = 0.6  # of the words of a template, stop words aside
-MOST_LINES = 8  # the longest template wrapped after every fourth word
+MOST_LINES = 8  # of a run; templates of up to 32 words may be wrapped after every fourth, the longest (34) after every fifth
 _EVERY = "\u0000"
 _GAP = "\u0001"  # stands for a line without a word
 

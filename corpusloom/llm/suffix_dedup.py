@@ -16,7 +16,9 @@ with the least hash, leftmost on ties.  Neighbouring starts with the same anchor
 4. blocks mark what is not first and cut it from their documents.
 
 Documents are shuffled by block once.  Null text counts as empty.  A null doc_id comes first; rows
-with the same doc_id follow each other by text, and equal rows are copies of each other.
+with the same doc_id follow each other by text, and equal rows are copies of each other.  An empty table
+gives an empty one.  A text is never cut, so the block of a very long one is as large as it; columns other
+than ``doc_id`` and ``text`` are not read.
 """
 
 from __future__ import annotations
