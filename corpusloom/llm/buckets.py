@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import forget, written
 from corpusloom.llm.components import connected_components, merged
 
-HUBS = 4
+HUBS = 2
 LEAF = 16
 PASSES = 2
 

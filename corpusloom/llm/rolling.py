@@ -234,8 +234,8 @@ def rolling(rows: DataFrame, key: str, step: str, value: str, category: str, wid
 
 def event_second(doc_id: Column) -> Column:
     """60 * floor((doc_id + h mod 4000) / 6) with h the CRC-32 of the decimal id."""
-    spread = F.crc32(doc_id.cast("string").cast("binary")) % 4000
-    return F.floor((doc_id + spread) / 6).cast("long") * 60
+    at = doc_id + F.crc32(doc_id.cast("string").cast("binary")) % 4000
+    return F.call_function("div", at - F.pmod(at, F.lit(6)), F.lit(6)) * 60  # in whole numbers, so exact for ids of any size
 
 
 def document_windows(docs: DataFrame, widths_s: tuple[int, ...] = (3600, 21600)) -> DataFrame:

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corpusloom.llm import rolling as W
 
@@ -64,5 +65,11 @@ def test_documents_equal_brute_force(spark):
     assert [tuple(r)[2:] for r in got.filter("doc_id is null").collect()] == [(None, 0, 0, 0, None, None)] * 4
 
 
+def test_times_of_large_and_negative_ids(spark):
+    ids = [2**55 + 12345, 2**54 + 1, -1, -5000, 0, 7]
+    got = spark.createDataFrame([(i,) for i in ids], "i long").select("i", W.event_second(F.col("i")).alias("e")).collect()
+    assert {r.i: r.e for r in got} == {i: 60 * ((i + zlib.crc32(str(i).encode()) % 4000) // 6) for i in ids}
+
+
 def test_empty_table(spark):
     assert W.document_windows(spark.createDataFrame([], "doc_id long, text string, lang string, source string")).collect() == []
