@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as T
+from corpusloom.operators.ranges import stored
 
 # Layout thresholds.
 SIZE_TOLERANCE = 1.0
@@ -65,14 +66,19 @@ def judged_lines(lines: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 
 
 def titled(heads: DataFrame, head: str, titles: DataFrame, title: str) -> DataFrame:
-    """``heads`` that begin with one of many titles: a join of equal beginnings, one for each length that a
-    title has (as many as the longest title has characters, at most)."""
-    lengths = sorted(r[0] for r in titles.select(F.char_length(title)).distinct().collect() if r[0])
-    known = titles.select(F.col(title).alias("__title")).distinct()
-    own = heads.select(F.struct(*[F.col(f"`{c}`") for c in heads.columns]).alias("row"), F.col(head).alias("__head"), F.monotonically_increasing_id().alias("__id"))
-    begins = F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.char_length("__head")) if lengths else F.array().cast("array<int>")
-    each = own.select("row", "__id", F.explode(F.transform(begins, lambda n: F.substr(F.col("__head"), F.lit(1), n))).alias("__title"))
-    return each.join(known, "__title", "left_semi").dropDuplicates(["__id"]).select("row.*")
+    """``heads`` that begin with one of many titles.  What is compared are the distinct beginnings of heads,
+    as long as the longest title: each is cut to every length that a title has, and one of the cuts must be
+    a title.  So no row moves more than its beginning; titles are stored first, and while they are few Spark
+    sends them to the beginnings."""
+    known = stored(titles.select(F.col(title).alias("__title")).filter(F.char_length("__title") > 0).distinct(), "titles")
+    lengths = sorted(r[0] for r in known.select(F.char_length("__title")).distinct().collect())
+    if not lengths:
+        return heads.limit(0)
+    begin = F.substr(F.col(head), F.lit(1), F.lit(lengths[-1]))
+    cuts = F.transform(F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.char_length("__begin")), lambda n: F.substr(F.col("__begin"), F.lit(1), n))
+    each = heads.select(begin.alias("__begin")).distinct().select("__begin", F.explode(cuts).alias("__title"))
+    found = each.join(known, "__title", "left_semi").select("__begin").distinct()
+    return heads.withColumn("__begin", begin).join(found, "__begin", "left_semi").drop("__begin")
 
 
 def judged_pages(lines: DataFrame) -> DataFrame:

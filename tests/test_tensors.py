@@ -104,3 +104,12 @@ def test_typical_length_and_titles(spark):
     titles = spark.createDataFrame([("contents",), ("index",), ("index",), (None,), ("",)], "title string")
     assert sorted(r["row"] for r in L.titled(heads, "head", titles, "title").collect()) == [1, 4, 4]
     assert L.titled(heads, "head", titles.limit(0), "title").count() == 0
+
+
+def test_titles_move_beginnings_only(spark):
+    heads = spark.createDataFrame([(1, "capital and interest", "x"), (2, None, "y"), (3, "a capital", "z")], "row int, head string, other string")
+    titles = spark.createDataFrame([("capital",), ("a c",), (None,), ("",)], "title string")
+    got = L.titled(heads, "head", titles, "title")
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "capital and interest", "x"), (3, "a capital", "z")]
+    cut = [x for x in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Generate explode" in x]
+    assert cut and not any("other" in x or "row#" in x for x in cut)
