@@ -20,10 +20,17 @@ def base_name(key: Column) -> Column:
     return F.concat(F.regexp_replace(F.substring_index(key, ".lora_A", 1), r"^base_model\.model\.", ""), F.lit(".weight"))
 
 
+def _paired(adapter: DataFrame, *columns: str) -> DataFrame:
+    """Down-projections with their up-projections: ``name, a_key, b_key`` and, as structs ``a`` and ``b``, the
+    ``columns`` of both.  Names are as many as the tensors, so they are shuffled and never broadcast."""
+    a = adapter.filter(F.contains("name", F.lit(".lora_A"))).select(F.col("name").alias("a_key"), F.replace("name", F.lit(".lora_A"), F.lit(".lora_B")).alias("b_key"), base_name(F.col("name")).alias("name"), *([F.struct(*columns).alias("a")] if columns else []))
+    b = adapter.select(F.col("name").alias("b_key"), *([F.struct(*columns).alias("b")] if columns else []))
+    return a.hint("merge").join(b.hint("merge"), "b_key").select("name", "a_key", "b_key", *(["a", "b"] if columns else []))
+
+
 def adapter_pairs(adapter: DataFrame) -> DataFrame:
     """``name, a_key, b_key`` of all down-projections that have an up-projection."""
-    a = adapter.filter(F.contains("name", F.lit(".lora_A"))).select(F.col("name").alias("a_key"), F.replace("name", F.lit(".lora_A"), F.lit(".lora_B")).alias("b_key"), base_name(F.col("name")).alias("name"))
-    return a.join(adapter.select(F.col("name").alias("b_key")), "b_key").select("name", "a_key", "b_key")
+    return _paired(adapter)
 
 
 def scaling(config: DataFrame) -> DataFrame:
@@ -71,10 +78,9 @@ def encode(dtype: str, values: np.ndarray) -> bytes:
 def shape_mismatches(base: DataFrame, adapter: DataFrame) -> DataFrame:
     """``name, expected, found`` of the paired tensors whose product has another shape than the base; from
     names and shapes alone (``name, shape``), before anything is merged."""
-    side = lambda p: adapter.select(F.col("name").alias(f"{p}_key"), F.col("shape").alias(p))
-    both = adapter_pairs(adapter).join(side("a"), "a_key").join(side("b"), "b_key")
-    found = F.array(F.get("b", F.lit(0)), F.get("a", F.lit(1)))
-    met = base.select("name", F.col("shape").alias("expected")).join(both.select("name", found.alias("found")), "name")
+    found = F.array(F.get("b.shape", F.lit(0)), F.get("a.shape", F.lit(1)))
+    pairs = _paired(adapter, "shape").select("name", found.alias("found"))
+    met = base.select("name", F.col("shape").alias("expected")).hint("merge").join(pairs.hint("merge"), "name")
     return met.filter(~F.col("expected").eqNullSafe(F.col("found")))
 
 
@@ -86,9 +92,7 @@ def merge_low_rank(base: DataFrame, adapter: DataFrame, scaling: float) -> DataF
     rows are stretches of values, and only the rows of the product that a stretch touches are computed.
     """
     tiled = "at" in base.columns
-    pairs = adapter_pairs(adapter)
-    side = lambda p: adapter.select(F.col("name").alias(f"{p}_key"), F.struct("dtype", "shape", "data").alias(p))
-    both = pairs.join(side("a"), "a_key").join(side("b"), "b_key").select("name", "a", "b")
+    both = _paired(adapter, "dtype", "shape", "data").select("name", "a", "b")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
@@ -108,7 +112,7 @@ def merge_low_rank(base: DataFrame, adapter: DataFrame, scaling: float) -> DataF
             yield pd.DataFrame(out, columns=["name", "dtype", "shape", "data", "at", "merged"])
 
     at = F.col("at") if tiled else F.lit(0).cast("bigint").alias("at")
-    joined = base.select("name", "dtype", "shape", "data", at).join(both, "name", "left")
+    joined = base.select("name", "dtype", "shape", "data", at).hint("merge").join(both.hint("merge"), "name", "left")
     merged = joined.mapInPandas(run, "name string, dtype string, shape array<bigint>, data binary, at bigint, merged boolean")
     return merged if tiled else merged.drop("at")
 

@@ -27,7 +27,7 @@ def adapter_pairs(spark, d):
 
 def unmatched_adapters(spark, d):
     base = _table(spark, d, "embeddings").filter("vec_id % 3 <> 0").select(F.expr("concat('layers.', vec_id, '.attn.weight')").alias("name"))
-    return adapter_pairs(spark, d).join(base, "name", "left_anti").select("name")
+    return adapter_pairs(spark, d).hint("merge").join(base.hint("merge"), "name", "left_anti").select("name")
 
 
 def shape_mismatches(spark, d):

@@ -113,3 +113,11 @@ def test_titles_move_beginnings_only(spark):
     assert sorted(tuple(r) for r in got.collect()) == [(1, "capital and interest", "x"), (3, "a capital", "z")]
     cut = [x for x in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Generate explode" in x]
     assert cut and not any("other" in x or "row#" in x for x in cut)
+
+
+def test_names_of_tensors_are_never_broadcast(spark):
+    t = spark.createDataFrame([("base_model.model.l.lora_A.weight", [2, 7]), ("base_model.model.l.lora_B.weight", [4, 2])], "name string, shape array<bigint>")
+    base = spark.createDataFrame([("l.weight", [5, 7])], "name string, shape array<bigint>")
+    got = X.shape_mismatches(base, t)
+    assert [tuple(r) for r in got.collect()] == [("l.weight", [5, 7], [4, 7])]
+    assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()
