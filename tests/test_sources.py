@@ -142,3 +142,14 @@ def test_replies_are_tried_again(spark):
     got = runner.with_replies(rows, lambda c: "no json").first()
     assert list(got.replies) == ["no json", "no json"]
     assert runner.examples(rows, lambda c: "no json").first().examples == []
+
+
+def test_texts_are_put_in_place_by_tasks(spark, tmp_path):
+    kind = "doc string, text string"
+    first = [("a/b: 50%", "one"), ("é", "two"), (None, "three"), ("c", None), ("c", "x")]
+    files.write_texts(spark.createDataFrame(first, kind).coalesce(1), f"file://{tmp_path}/t")
+    files.write_texts(spark.createDataFrame([("é", "new")], kind), f"file://{tmp_path}/t")
+    found = {p.parent.name: p.read_text("utf-8") for p in (tmp_path / "t").rglob("*") if p.is_file()}  # one file each, no checksums or marks of a driver's commit
+    assert sum(p.is_file() for p in (tmp_path / "t").rglob("*")) == len(found) == 4
+    assert found.pop("doc=c") in ("\nx\n", "x\n\n")
+    assert found == {"doc=a%2Fb%3A 50%25": "one\n", "doc=é": "new\n", "doc=__HIVE_DEFAULT_PARTITION__": "three\n"}
