@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import text as T
 from corpusloom.operators.records import reply_examples
+from corpusloom.sources import files
 
 ATTEMPTS = 2
 _REPLIES = "path string, chunk string, replies array<string>"
@@ -64,7 +65,7 @@ def run_counters(done: DataFrame) -> DataFrame:
 
 def run(spark: SparkSession, chunks: str, out: str, checkpoint: str, generate: Callable[[str], str]) -> None:
     """Work off all chunk files that no earlier run has finished."""
-    stream = spark.readStream.option("pathGlobFilter", "*.txt").option("recursiveFileLookup", "true").option("wholetext", "true").text(chunks)
+    stream = files.many_files(spark).readStream.option("pathGlobFilter", "*.txt").option("recursiveFileLookup", "true").option("wholetext", "true").text(chunks)
     named = stream.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("chunk"))
 
     def write(batch: DataFrame, number: int) -> None:
