@@ -110,3 +110,10 @@ def test_merge(spark):
     assert got["m.weight"].merged and not got["n.weight"].merged and bytes(got["n.weight"].data) == w.tobytes()
     want = X.decode("BF16", X.encode("BF16", X.decode("BF16", X.encode("BF16", w)).reshape(4, 3) + (b @ a) * np.float32(2)))
     assert np.allclose(X.decode("BF16", bytes(got["m.weight"].data)), want)
+
+
+def test_messages_without_an_answer_are_kept_on_demand(spark):
+    rows = spark.createDataFrame([('{"messages": [{"role": "user", "content": "Q"}]}',), ('{"instruction": "a", "response": "b"}',)], "value string")
+    got = rows.select(R.to_messages(F.try_parse_json("value"), answered=False).alias("m"), R.to_messages(F.try_parse_json("value")).alias("n")).collect()
+    assert [[tuple(x) for x in r.m] for r in got] == [[("user", "Q")], [("user", "a"), ("assistant", "b")]]
+    assert got[0].n is None and got[1].n == got[1].m
