@@ -11,7 +11,8 @@ a document with an empty register is done again with a later limit.
 1. Documents with equal multisets are copies: one node for all of them.
 2. Bands of registers put nodes into buckets.  Members of a bucket meet its least one, and where classes
    stay apart those with whom they share rare shingles (see ``buckets``); the multisets of a pair that
-   agrees in enough registers are compared exactly, over whole texts.
+   agrees in enough registers, and whose parities (see ``buckets.may_share``) do not rule it out, are
+   compared exactly, over whole texts.
 3. The components of all links are the classes.  No step makes all pairs of a group.
 
 Words are runs of ASCII letters and digits or any other non-ASCII bytes, with ASCII lower-cased.
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from corpusloom.llm.buckets import agreed, settled, shared_buckets
+from corpusloom.llm.buckets import agreed, may_share, settled, shared_buckets
 from corpusloom.llm.common import forget, id_order, packed_row, spans_of, written
 
 SHINGLE = 5
@@ -43,6 +44,7 @@ REGISTERS = BANDS * ROWS
 SIMILAR = 0.8
 MEMO_WORDS = 150_000  # about 45 MB of a worker
 SENT_IDS = 4_000_000
+PARITIES = 2048  # bits of a document in which its shingles are counted by parity
 SLICE_BYTES = 4 << 20  # of texts or bags that are worked on at once
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -137,7 +139,21 @@ def _poisson_part(element, weight, own, limit, part, low, rate, got) -> None:
         np.minimum.at(got, own[take] * REGISTERS + register[take], time[take])
 
 
-_SIGNED = "doc_id long, bag binary, weight long, bands array<long>, packs array<long>"
+_SIGNED = "doc_id long, bag binary, weight long, bands array<long>, packs array<long>, bits array<long>"
+
+
+def each(b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """A multiset as a set, in which the second and later copies of a shingle are elements of their own."""
+    hashes, counts = b
+    copy = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+    own = np.repeat(hashes, counts)
+    return np.where(copy > 0, mix(own + copy.astype(np.uint64) * _STEP), own)
+
+
+def parities(b: tuple[np.ndarray, np.ndarray]) -> list[int]:
+    """``PARITIES`` bits as longs: whether an odd number of elements falls on each."""
+    falls = np.bincount((each(b) % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES)
+    return np.packbits((falls & 1).astype(np.uint8)).view(np.int64).tolist()
 
 
 def _name(b: tuple[np.ndarray, np.ndarray]) -> bytes:
@@ -150,7 +166,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for low, high in spans_of(texts, SLICE_BYTES // 4):
             bags = [bag(t) for t in texts[low:high]]
             some = [k for k, b in enumerate(bags) if len(b[0])]
-            names, bands, packs = ([None] * len(bags) for _ in range(3))
+            names, bands, packs, sums = ([None] * len(bags) for _ in range(4))
             if some:
                 bits = signatures([bags[k] for k in some]).view(np.uint64).reshape(len(some), BANDS, ROWS)
                 key = np.full((len(some), BANDS), 17, np.uint64) + np.arange(BANDS, dtype=np.uint64)
@@ -158,15 +174,15 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     key = mix(key * _STEP + bits[:, :, r])
                 tags = (mix(bits.reshape(len(some), -1)) & np.uint64(255)).astype(np.uint8).view(np.int64)
                 for k, row, tag in zip(some, key.view(np.int64).tolist(), tags.tolist(), strict=True):
-                    names[k], bands[k], packs[k] = _name(bags[k]), row, tag
+                    names[k], bands[k], packs[k], sums[k] = _name(bags[k]), row, tag, parities(bags[k])
             longs = pa.list_(pa.int64())
-            arrays = [batch.column(0)[low:high], pa.array(names, pa.binary()), pa.array([int(b[1].sum()) for b in bags], pa.int64()), pa.array(bands, longs), pa.array(packs, longs)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "bag", "weight", "bands", "packs"])
+            arrays = [batch.column(0)[low:high], pa.array(names, pa.binary()), pa.array([int(b[1].sum()) for b in bags], pa.int64()), *[pa.array(c, longs) for c in (bands, packs, sums)]]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "bag", "weight", "bands", "packs", "bits"])
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """``doc_id``, node (hash of the multiset; null without words), total weight, band keys and one
-    byte of each register, packed into longs."""
+    """``doc_id``, node (hash of the multiset; null without words), total weight, band keys, one byte of each
+    register, packed into longs, and the parities."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(_sign, _SIGNED)
 
 
@@ -199,14 +215,11 @@ def _read(body: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``node, n, element``: the multiset of each ``node, body`` as a set, in which the second and later copies
-    of a shingle are elements of their own."""
+    """``node, n, element`` of each ``node, body``."""
     for batch in batches:
         for node, body in zip(batch.column(0), batch.column(1), strict=True):
-            hashes, counts = _read(body.as_py())
-            copy = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
-            each = np.where(copy > 0, mix(np.repeat(hashes, counts) + copy.astype(np.uint64) * _STEP), np.repeat(hashes, counts)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array([node.as_py()] * len(each), pa.binary()), pa.array(np.full(len(each), len(each))), pa.array(each)], names=["node", "n", "element"])
+            own = each(_read(body.as_py())).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array([node.as_py()] * len(own), pa.binary()), pa.array(np.full(len(own), len(own))), pa.array(own)], names=["node", "n", "element"])
 
 
 def _similar(least: float):
@@ -228,16 +241,17 @@ def near_duplicates(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     """
     docs = docs.select("doc_id", "text")
     signs = written(signed(docs), "signatures")
-    nodes = signs.filter("bag is not null").groupBy(F.col("bag").alias("node")).agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("weight", "bands", "packs")])
+    nodes = signs.filter("bag is not null").groupBy(F.col("bag").alias("node")).agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("weight", "bands", "packs", "bits")])
     shared = shared_buckets(nodes.select("node", F.explode("bands").alias("key")), "buckets")
     involved = written(nodes.join(shared.select("node").distinct(), "node", "left_semi").drop("bands"), "nodes")
     bags = written(node_bags(docs, involved), "bags")
-    own = involved.select("node", "weight", "packs")
+    own = involved.select("node", "weight", "packs", "bits")
     floor = int(REGISTERS * least - 4.2 * (REGISTERS * least * (1 - least)) ** 0.5)  # a similar pair is under it once in 70,000
 
     def likely(pairs: DataFrame) -> DataFrame:
-        known = pairs.join(own.toDF("a", "weight_a", "packs_a"), "a").join(own.toDF("b", "weight_b", "packs_b"), "b")
+        known = pairs.join(own.toDF("a", "weight_a", "packs_a", "bits_a"), "a").join(own.toDF("b", "weight_b", "packs_b", "bits_b"), "b")
         close = F.least("weight_a", "weight_b") >= least * F.greatest("weight_a", "weight_b")
+        close &= may_share(F.col("bits_a"), F.col("bits_b"), F.col("weight_a"), F.col("weight_b"), least)
         return known.filter(close & (agreed(F.col("packs_a"), F.col("packs_b"), REGISTERS, 8) >= floor))
 
     def verify(pairs: DataFrame) -> DataFrame:
