@@ -242,7 +242,7 @@ def near_duplicates(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     docs = docs.select("doc_id", "text")
     signs = written(signed(docs), "signatures")
     nodes = signs.filter("bag is not null").groupBy(F.col("bag").alias("node")).agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("weight", "bands", "packs", "bits")])
-    shared = shared_buckets(nodes.select("node", F.explode("bands").alias("key")), "buckets")
+    shared = shared_buckets([nodes.select("node", F.explode("bands").alias("key"))], "buckets")
     involved = written(nodes.join(shared.select("node").distinct(), "node", "left_semi").drop("bands"), "nodes")
     bags = written(node_bags(docs, involved), "bags")
     own = involved.select("node", "weight", "packs", "bits")
