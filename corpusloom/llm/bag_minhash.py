@@ -259,7 +259,7 @@ def near_duplicates(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
         return met.select("a", "b", "body_a", "body_b").mapInArrow(_similar(least), "a binary, b binary")
 
     def elements(nodes: DataFrame) -> DataFrame:
-        return bags.join(nodes, "node").select("node", "body").mapInArrow(_elements, "node binary, n long, element long")
+        return bags.join(nodes, "node").select("node", "body").repartition("node").mapInArrow(_elements, "node binary, n long, element long")
 
     classes = settled(shared, verify, likely, elements, least, "near")
     for table in (shared, involved, bags):
