@@ -32,12 +32,14 @@ def body_font(spans: DataFrame, sample_pages: int = SAMPLE_PAGES) -> DataFrame:
     return weights.groupBy("doc").agg(F.min_by("size", F.struct((-F.col("w")).alias("w"), "first")).alias("body_font"))
 
 
-def book_lines(spans: DataFrame, sample_pages: int = SAMPLE_PAGES) -> DataFrame:
+def book_lines(spans: DataFrame, sample_pages: int | None = None) -> DataFrame:
     """All lines with the ``pages`` and ``body_font`` of their document: ``is_line`` tells those with text
-    of body size, which have a ``line_no`` in reading order, ``text`` and ``x0``."""
+    of body size, which have a ``line_no`` in reading order, ``text`` and ``x0``.  The body font is that of
+    all pages, or of evenly sampled ones if ``sample_pages`` is given."""
     doc = Window.partitionBy("doc")
     size = spans.repartition("doc").withColumns({"size1": F.round("size", 1), "n": F.char_length(T.strip(F.col("text"))), "pages": F.max("page").over(doc) + 1})
-    sampled = (F.pmod(F.col("page"), F.greatest(F.lit(1), F.floor(F.col("pages") / sample_pages))) == 0) & (F.col("n") > 0)
+    step = F.lit(1) if sample_pages is None else F.greatest(F.lit(1), F.floor(F.col("pages") / sample_pages))
+    sampled = (F.pmod(F.col("page"), step) == 0) & (F.col("n") > 0)
     alike, place = Window.partitionBy("doc", "size1"), F.struct("page", "block", "line", "span")
     weighed = size.withColumns({"w": F.sum(F.when(sampled, F.col("n"))).over(alike), "first": F.min(F.when(sampled, place)).over(alike)})
     rank = F.when(F.col("w").isNotNull(), F.struct((-F.col("w")).alias("w"), "first"))
@@ -50,9 +52,9 @@ def book_lines(spans: DataFrame, sample_pages: int = SAMPLE_PAGES) -> DataFrame:
     return clean.withColumn("line_no", F.when(F.col("is_line"), F.row_number().over(order) - 1))
 
 
-def body_lines(spans: DataFrame) -> DataFrame:
+def body_lines(spans: DataFrame, sample_pages: int | None = None) -> DataFrame:
     """``doc, page, line_no, text, x0``: lines of body-sized spans, in reading order."""
-    return book_lines(spans).filter("is_line").select("doc", "page", "line_no", "text", "x0")
+    return book_lines(spans, sample_pages).filter("is_line").select("doc", "page", "line_no", "text", "x0")
 
 
 def judged_lines(lines: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
