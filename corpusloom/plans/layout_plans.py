@@ -58,7 +58,7 @@ def page_filter(spark, d):
 
 
 def page_margin(spark, d):
-    return _big(L.page_margin(L.kept_lines(_sampled_lines(spark, d))))
+    return _big(L.page_margin(L.kept_lines(L.body_lines(spans(spark, d)))))
 
 
 def typical_length(spark, d):
@@ -120,7 +120,7 @@ ORACLES = {
     "titled_documents": "WITH t AS (SELECT DISTINCT lower(array_to_string(string_split(text, ' ')[1:2], ' ')) AS title FROM documents WHERE n_chars > 500) SELECT doc_id FROM documents WHERE EXISTS (SELECT 1 FROM t WHERE title <> '' AND starts_with(lower(text), title))",
     "junk_lines": f"WITH {_SPANS} SELECT doc, page, block, line, {_junk('text')} AS junk FROM spans",
     "page_filter": f"WITH {_SPANS}{_FONT}{_LINES}{_PAGES} SELECT doc, page, lines, junk, drop_reason FROM jp",
-    "page_margin": f"WITH {_ALL}{_MARGIN} SELECT doc, page, margin FROM mg",
+    "page_margin": f"WITH {_EVERY_PAGE}{_MARGIN} SELECT doc, page, margin FROM mg",
     "typical_length": f"WITH {_ALL}{_TYPICAL} SELECT doc, typical FROM ty",
     "indent_rate": f"WITH {_ALL}{_MARGIN}{_REL} SELECT doc, indent_rate FROM ir",
     "reflow": f"WITH {_ALL}{_MARGIN}{_TYPICAL}{_REL}{_FLOW} SELECT doc, para_no, text FROM fl",

@@ -28,3 +28,7 @@ def both(spark, tables, name):
 def test_book_stats_weigh_every_page(spark, tables):
     assert both(spark, tables, "book_stats").filter("doc = 1").first().body_font == 10.7
     assert both(spark, tables, "body_font").filter("doc = 1").first().body_font == 8.0
+
+
+def test_page_margin_takes_lines_by_the_font_of_every_page(spark, tables):
+    assert {r.margin for r in both(spark, tables, "page_margin").filter("doc = 1").collect()} == {72.0}
