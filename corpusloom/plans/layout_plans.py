@@ -74,7 +74,7 @@ def reflow(spark, d):
 
 
 def prose(spark, d):
-    return _big(L.prose(L.kept_lines(_sampled_lines(spark, d))))
+    return _big(L.prose(L.kept_lines(L.body_lines(spans(spark, d)))))
 
 
 def book_stats(spark, d):
@@ -124,7 +124,7 @@ ORACLES = {
     "typical_length": f"WITH {_ALL}{_TYPICAL} SELECT doc, typical FROM ty",
     "indent_rate": f"WITH {_ALL}{_MARGIN}{_REL} SELECT doc, indent_rate FROM ir",
     "reflow": f"WITH {_ALL}{_MARGIN}{_TYPICAL}{_REL}{_FLOW} SELECT doc, para_no, text FROM fl",
-    "prose": f"WITH {_ALL}{_MARGIN}{_TYPICAL}{_REL}{_FLOW}{_PROSE} SELECT doc, para_no, text FROM pr",
+    "prose": f"WITH {_EVERY_PAGE}{_MARGIN}{_TYPICAL}{_REL}{_FLOW}{_PROSE} SELECT doc, para_no, text FROM pr",
     "book_stats": f"""WITH {_EVERY_PAGE}{_MARGIN}{_TYPICAL}{_REL}{_FLOW}{_PROSE}, k AS (SELECT doc, count(*) FILTER (drop_reason IS NULL) AS kept FROM jp GROUP BY doc), t AS (SELECT doc, count(*) AS paragraphs, sum(length(text)) AS chars FROM pr GROUP BY doc)
 SELECT pg.doc, pages, body_font, coalesce(kept, 0) AS pages_kept, pages - coalesce(kept, 0) AS pages_dropped, coalesce(paragraphs, 0) AS paragraphs, CAST(coalesce(chars, 0) AS BIGINT) AS chars, CASE WHEN body_font IS NOT NULL THEN coalesce(indent_rate, 0.0) END AS indent_rate
 FROM pg LEFT JOIN font ON pg.doc = font.doc LEFT JOIN k ON pg.doc = k.doc LEFT JOIN t ON pg.doc = t.doc LEFT JOIN ir ON pg.doc = ir.doc""",

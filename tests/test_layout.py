@@ -32,3 +32,8 @@ def test_book_stats_weigh_every_page(spark, tables):
 
 def test_page_margin_takes_lines_by_the_font_of_every_page(spark, tables):
     assert {r.margin for r in both(spark, tables, "page_margin").filter("doc = 1").collect()} == {72.0}
+
+
+def test_prose_is_text_in_the_font_of_every_page(spark, tables):
+    text = " ".join(r.text for r in both(spark, tables, "prose").filter("doc = 1").collect())
+    assert "common body" in text and "small" not in text
