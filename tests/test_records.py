@@ -117,3 +117,16 @@ def test_messages_without_an_answer_are_kept_on_demand(spark):
     got = rows.select(R.to_messages(F.try_parse_json("value"), answered=False).alias("m"), R.to_messages(F.try_parse_json("value")).alias("n")).collect()
     assert [[tuple(x) for x in r.m] for r in got] == [[("user", "Q")], [("user", "a"), ("assistant", "b")]]
     assert got[0].n is None and got[1].n == got[1].m
+
+
+def test_normalised_messages_are_all_turns(spark, tmp_path):
+    import duckdb
+
+    from corpusloom.plans import record_plans
+
+    turns = [(1, 0, "user", None), (1, 1, "assistant", "A"), (2, 0, "user", "Q"), (3, 0, "user", "Q"), (3, 1, "assistant", None), (4, 0, "user", "Q"), (4, 1, "assistant", "A"), (4, 2, "user", "R"), (5, 0, None, "x")]
+    spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    got = record_plans.normalise_messages(spark, str(tmp_path)).select("conv_id", "turn", "role", "content").collect()
+    assert set(map(tuple, got)) == set(con.execute(record_plans.ORACLES["normalise_messages"]).fetchall()) == set(turns)
