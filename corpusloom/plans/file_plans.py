@@ -220,7 +220,7 @@ def generated_files(spark, d):
     docs = _docs(spark, d).select("doc_id", F.col("doc_id").cast("string").alias("doc"), F.replace("text", F.lit("\n"), F.lit(" ")).alias("text"))
     answer = lambda c: '{"examples": [{"instruction": "length?", "response": "%d"}]}' % len(c.strip())
     for part in (0, 1):
-        files.write_texts(docs.filter(F.col("doc_id") % 2 == part), f"{folder}/in")
+        files.write_texts(docs.filter(F.col("doc_id") % 2 == part), f"{folder}/in", spread=files.SPREAD)
         runner.run(spark, f"{folder}/in", f"{folder}/out", f"{folder}/check", answer)
     done = spark.read.option("recursiveFileLookup", "true").schema("path string, instruction string, response string").json(f"{folder}/out")
     return done.select(F.regexp_extract("path", r"/doc=([^/]+)/", 1).alias("doc"), "response")

@@ -64,16 +64,24 @@ def run_counters(done: DataFrame) -> DataFrame:
 
 
 def run(spark: SparkSession, chunks: str, out: str, checkpoint: str, generate: Callable[[str], str]) -> None:
-    """Work off all chunk files that no earlier run has finished."""
-    stream = files.many_files(spark).readStream.option("pathGlobFilter", "*.txt").option("recursiveFileLookup", "true").option("wholetext", "true").text(chunks)
-    named = stream.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("chunk"))
+    """Work off all chunk files that no earlier run has finished.
+
+    Tasks list the files; names that no earlier run has listed are added to a table beside the checkpoint, and the
+    stream is that table's, so its source on the driver sees tables of names and never the files.
+    """
+    names = f"{checkpoint.rstrip('/')}-names"
+    listed = files.found(spark, chunks, "*.txt").select("path")
+    if files.exists(spark, names):
+        listed = listed.join(spark.read.schema("path string").parquet(names), "path", "left_anti")
+    listed.write.mode("append").parquet(names)
+    stream = spark.readStream.schema("path string").parquet(names)
 
     def write(batch: DataFrame, number: int) -> None:
-        done = examples(batch, generate)
+        done = examples(files.texts_of(batch, chunks).withColumnRenamed("value", "chunk"), generate)
         rows = done.select("path", F.explode("examples").alias("e")).select("path", "e.instruction", "e.response")
         rows.write.mode("overwrite").json(f"{out}/batch={number}")
 
-    query = named.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
 
 

@@ -153,3 +153,27 @@ def test_texts_are_put_in_place_by_tasks(spark, tmp_path):
     assert sum(p.is_file() for p in (tmp_path / "t").rglob("*")) == len(found) == 4
     assert found.pop("doc=c") in ("\nx\n", "x\n\n")
     assert found == {"doc=a%2Fb%3A 50%25": "one\n", "doc=é": "new\n", "doc=__HIVE_DEFAULT_PARTITION__": "three\n"}
+
+
+def test_files_are_found_and_read_by_tasks(spark, tmp_path):
+    rows = [(f"d{k}", f"text {k}\r\n") for k in range(40)]
+    files.write_texts(spark.createDataFrame(rows, "doc string, text string"), f"file://{tmp_path}/t", spread=7)
+    assert len(list((tmp_path / "t").glob("among=*"))) == 7
+    (tmp_path / "t" / "_hidden").mkdir()
+    for name in ("_hidden/x.txt", ".y.txt", "z.md"):
+        (tmp_path / "t" / name).write_text("no")
+    for folder in (f"file://{tmp_path}/t", f"{tmp_path}/t/"):
+        found = files.found(spark, folder, "*.txt")
+        want = {str(p.relative_to(tmp_path)): p.stat().st_size for p in (tmp_path / "t").glob("among=*/*/*.txt")}
+        assert {r.path.split(f"{tmp_path}/")[1]: r.bytes for r in found.collect()} == want and len(want) == 40
+        assert sorted(r.value for r in files.texts_of(found, folder).collect()) == sorted(text + "\n" for _, text in rows)
+
+
+def test_the_stream_sees_tables_of_names(spark, tmp_path):
+    (tmp_path / "chunks").mkdir()
+    for k in range(30):
+        (tmp_path / "chunks" / f"{k}.txt").write_text(f"{GOOD} {k}")
+    runner.run(spark, f"file://{tmp_path}/chunks", f"{tmp_path}/out", f"{tmp_path}/check", lambda c: '{"examples": [{"instruction": "n", "response": "%s"}]}' % c.split()[-1])
+    seen = "".join(p.read_text() for p in (tmp_path / "check" / "sources").rglob("*") if p.is_file() and p.suffix != ".crc")
+    assert ".parquet" in seen and ".txt" not in seen  # what the source keeps on the driver
+    assert sorted(int(r.response) for r in spark.read.json(f"{tmp_path}/out").collect()) == list(range(30))
