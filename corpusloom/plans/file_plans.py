@@ -32,20 +32,19 @@ def _paragraphs(spark, d):
 
 def text_files(spark, d):
     """The lines of each document as paragraphs of its file, read back whole (sinks of texts and of
-    paragraphs, text source)."""
+    paragraphs, files listed and read by tasks)."""
     folder = files.work_folder(spark, "texts")
-    files.write_texts(files.corpus(_paragraphs(spark, d)), folder)
-    back = files.whole_texts(spark, folder, recursive=True)
-    name = F.regexp_extract("path", r"/doc=([^/]+)/", 1)
-    return back.select(name.alias("doc"), F.md5(F.regexp_replace("text", r"\n\z", "").cast("binary")).alias("text_md5"))
+    files.write_texts(files.corpus(_paragraphs(spark, d)), folder, spread=files.SPREAD)
+    back = files.texts_of(files.found(spark, folder, "*.txt"), folder)
+    name, text = F.regexp_extract("path", r"/doc=([^/]+)/", 1), F.regexp_replace("value", "\r\n?", "\n")
+    return back.select(name.alias("doc"), F.md5(F.regexp_replace(text, r"\n\z", "").cast("binary")).alias("text_md5"))
 
 
 def file_sizes(spark, d):
     """Number, total and largest size of the documents' files, from the listing alone."""
     folder = files.work_folder(spark, "sizes")
-    files.write_texts(_docs(spark, d).select(F.col("doc_id").cast("string").alias("doc"), "text"), folder)
-    listed = files.listed(spark, folder, "*.txt")
-    return listed.agg(F.count("*").alias("files"), F.sum("bytes").cast("bigint").alias("bytes"), F.max("bytes").alias("largest"))
+    files.write_texts(_docs(spark, d).select(F.col("doc_id").cast("string").alias("doc"), "text"), folder, spread=files.SPREAD)
+    return files.found(spark, folder, "*.txt").agg(F.count("*").alias("files"), F.sum("bytes").cast("bigint").alias("bytes"), F.max("bytes").alias("largest"))
 
 
 def chunk_files(spark, d):

@@ -177,3 +177,10 @@ def test_the_stream_sees_tables_of_names(spark, tmp_path):
     seen = "".join(p.read_text() for p in (tmp_path / "check" / "sources").rglob("*") if p.is_file() and p.suffix != ".crc")
     assert ".parquet" in seen and ".txt" not in seen  # what the source keeps on the driver
     assert sorted(int(r.response) for r in spark.read.json(f"{tmp_path}/out").collect()) == list(range(30))
+
+
+def test_text_files_are_not_indexed_by_the_driver(spark):
+    import __spark_entry__
+
+    plan = __spark_entry__.queries()["text_files"](spark, "/root/testdata/sf0.001")
+    assert {p.rsplit(".", 1)[-1] for p in plan.inputFiles()} == {"parquet"}
