@@ -17,6 +17,8 @@ from corpusloom.plans import text_plans
 from corpusloom.sources import files, safetensors
 from corpusloom.streaming import runner, stages
 
+PARTS = 4  # in which documents go to files
+
 
 def _docs(spark, d):
     return spark.read.parquet(f"{d}/documents.parquet")
@@ -48,11 +50,14 @@ def file_sizes(spark, d):
 
 
 def chunk_files(spark, d):
-    """One file for each chunk of a document; a second, shorter version leaves none of the first behind."""
+    """One file for each chunk of a document; a second, shorter version leaves none of the first behind.  Documents
+    are written in parts, so that shuffle files and new files beside the old ones are those of a part."""
     folder = files.work_folder(spark, "chunks")
     for target in (300, 2000):
-        files.write_chunks(segment.chunk_rows(_paragraphs(spark, d), ["doc"], ["para_no"], "text", target=target, overlap=0), folder)
-    listed = files.listed(spark, folder, "*.txt").withColumn("doc", F.regexp_extract("path", r"/doc=([^/]+)/", 1))
+        for part in range(PARTS):
+            own = _paragraphs(spark, d).filter(F.pmod(F.xxhash64("doc"), F.lit(PARTS)) == part)
+            files.write_chunks(segment.chunk_rows(own, ["doc"], ["para_no"], "text", target=target, overlap=0), folder, ordered=True, spread=files.SPREAD)
+    listed = files.found(spark, folder, "*.txt").withColumn("doc", F.regexp_extract("path", r"/doc=([^/]+)/", 1))
     return listed.groupBy("doc").agg(F.count("*").alias("chunks"))
 
 

@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 
@@ -184,3 +185,21 @@ def test_text_files_are_not_indexed_by_the_driver(spark):
 
     plan = __spark_entry__.queries()["text_files"](spark, "/root/testdata/sf0.001")
     assert {p.rsplit(".", 1)[-1] for p in plan.inputFiles()} == {"parquet"}
+
+
+def test_written_chunks_leave_no_shuffle_files(spark, tmp_path):
+    kept = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle")}
+    before = kept()
+    chunks = spark.createDataFrame([("a", k, random.Random(k).randbytes(20000).hex()) for k in (2, 1, 3)], "doc string, chunk_no int, chunk string")
+    files.write_chunks(chunks, f"{tmp_path}/c")
+    assert not {n for n in kept() - before if n.endswith(".data")}
+    assert [p.read_text()[:-1] for p in sorted((tmp_path / "c" / "doc=a").iterdir())] == [random.Random(k).randbytes(20000).hex() for k in (1, 2, 3)]
+
+
+def test_chunks_in_order_are_not_moved_again(spark, tmp_path):
+    chunks = spark.createDataFrame([(d, k, f"{d}{k}") for d in "ab" for k in (1, 2)], "doc string, chunk_no int, chunk string").coalesce(1)
+    files.write_chunks(chunks, f"{tmp_path}/c", ordered=True, spread=3)
+    got = {str(p.parent.name): [] for p in (tmp_path / "c").glob("among=*/*/*.txt")}
+    for p in sorted((tmp_path / "c").glob("among=*/*/*.txt"), key=lambda p: p.name):
+        got[p.parent.name].append(p.read_text().strip())
+    assert got == {"doc=a": ["a1", "a2"], "doc=b": ["b1", "b2"]}
